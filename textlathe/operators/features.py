@@ -320,22 +320,26 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     of classes) and the vocabulary size. The model table is checkpointed to
     the shared checkpoint folder, so transforms read a small stored table.
     """
+    from pyspark import StorageLevel
     keep = [id_col] + ([label_col] if label_col else [])
-    dt = doc_terms(df, text_col, cfg, keep)
+    # The per-document term arrays feed three jobs (class counts, vocabulary,
+    # scores): persist them (memory, spilling to disk; lost blocks are
+    # recomputed from lineage).
+    dt = doc_terms(df, text_col, cfg, keep).persist(StorageLevel.MEMORY_AND_DISK)
     if label_col:
-        cc_rows = df.groupBy(label_col).count().limit(1_000_001).collect()
+        cc_rows = dt.groupBy(label_col).count().limit(1_000_001).collect()
         if len(cc_rows) > 1_000_000:
             raise ValueError("more than 1,000,000 classes")
         class_counts = {r[0]: r[1] for r in cc_rows}
         n_docs = int(sum(class_counts.values()))
     else:
-        class_counts, n_docs = {}, df.count()
+        class_counts, n_docs = {}, dt.count()
     if n_docs == 0:
+        dt.unpersist()
         raise ValueError("empty training input")
     stats = term_statistics(dt)
     vocab = with_idf(top_vocabulary(prune_vocabulary(stats, cfg, n_docs), cfg.max_features), n_docs)
-    if checkpoint:
-        vocab = vocab.checkpoint()
+    vocab = vocab.checkpoint() if checkpoint else vocab.persist()
     n_terms = vocab.count()
     if n_terms == 0:
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
@@ -365,6 +369,10 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     table = table.select("term", "term_idx", "df", "ctf", "idf", "score", "selected", "sel_idx")
     if checkpoint:
         table = table.checkpoint()
+    else:
+        table = table.persist()
+        table.count()
+    dt.unpersist()
     return FeatureModel(table, cfg, n_docs, int(n_terms), int(n_selected), text_col,
                         {"class_counts": class_counts})
 

@@ -94,3 +94,254 @@ def chi2_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.features import LIVE_CONFIG, fit
     model = fit(_processed(spark, sf_dir), "cleaned_text", "sentiment", "doc_id", LIVE_CONFIG)
     return model.importance().select("term", r6("score").alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# B: cleaning
+# ---------------------------------------------------------------------------
+
+def _lbl_docs_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, label = quality + toxic (0, 1, 2) where labelled, null
+    otherwise: natural nulls and out-of-range labels for the checks."""
+    from ..operators.cleaning import spread
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") + F.col("toxic")).alias("sentiment"))
+    return docs.join(lab, "doc_id", "left")
+
+
+LEFT_DOCS_SQL = ("SELECT d.doc_id, d.text, l.quality + l.toxic AS sentiment "
+                 "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+
+
+@register("standardize_columns", "SELECT doc_id, lang AS text, source AS sentiment, lang, source FROM documents")
+def q_standardize(spark, sf_dir):
+    from ..operators.cleaning import standardize_columns
+    return standardize_columns(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "lang", "source")
+
+
+@register("drop_null_keys", f"SELECT doc_id, sentiment FROM ({LEFT_DOCS_SQL}) WHERE text IS NOT NULL AND sentiment IS NOT NULL")
+def q_drop_null(spark, sf_dir):
+    from ..operators.cleaning import drop_null_keys
+    return drop_null_keys(_lbl_docs_left(spark, sf_dir)).select("doc_id", "sentiment")
+
+
+@register("lowercase_text", f"SELECT doc_id, md5({S.lowercase('text')}) AS text_md5, "
+                            f"CAST(length({S.lowercase('text')}) AS INTEGER) AS n FROM documents")
+def q_lower(spark, sf_dir):
+    from ..operators.cleaning import lowercase_text
+    d = lowercase_text(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n"))
+
+
+@register("drop_blank_text", f"SELECT doc_id FROM documents WHERE NOT ({S.is_blank(S.lowercase('text'))})")
+def q_blank(spark, sf_dir):
+    from ..operators.cleaning import drop_blank_text, lowercase_text
+    return drop_blank_text(lowercase_text(table(spark, sf_dir, "documents"))).select("doc_id")
+
+
+@register("cleaning_report", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows_in,
+       CAST(count(*) FILTER (WHERE text IS NULL OR sentiment IS NULL) AS BIGINT) AS dropped_null,
+       CAST(count(*) FILTER (WHERE text IS NOT NULL AND sentiment IS NOT NULL AND {S.is_blank(S.lowercase('text'))}) AS BIGINT) AS dropped_blank,
+       CAST(count(*) FILTER (WHERE text IS NOT NULL AND sentiment IS NOT NULL AND NOT ({S.is_blank(S.lowercase('text'))})) AS BIGINT) AS rows_out
+FROM ({LEFT_DOCS_SQL})""")
+def q_cleaning_report(spark, sf_dir):
+    from ..operators.cleaning import cleaning_report
+    return cleaning_report(_lbl_docs_left(spark, sf_dir))
+
+
+@register("strip_special", f"SELECT doc_id, md5({S.strip_special(S.lowercase('text'))}) AS h FROM documents")
+def q_strip(spark, sf_dir):
+    from ..functions import text as T
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.strip_special(T.lowercase("text"))).alias("h"))
+
+
+@register("tokenize", f"SELECT doc_id, unnest({S.tokenize(S.strip_special(S.lowercase('text')))}) AS token FROM documents")
+def q_tokenize(spark, sf_dir):
+    from ..functions import text as T
+    from ..operators.cleaning import spread
+    d = spread(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", F.explode(T.tokenize(T.strip_special(T.lowercase("text")))).alias("token"))
+
+
+@register("remove_stopwords", f"SELECT doc_id, CAST(len({S.remove_stopwords(S.tokenize(S.strip_special(S.lowercase('text'))))}) AS INTEGER) AS n_tokens FROM documents")
+def q_stop(spark, sf_dir):
+    from ..functions import text as T
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.size(T.remove_stopwords(T.tokenize(T.strip_special(T.lowercase("text"))))).alias("n_tokens"))
+
+
+@register("lemmatize", f"""
+SELECT lemma, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT unnest({S.clean_tokens('text')}) AS lemma FROM documents) GROUP BY lemma""")
+def q_lemma(spark, sf_dir):
+    from ..functions import text as T
+    from ..operators.cleaning import spread
+    d = spread(table(spark, sf_dir, "documents"))
+    return (d.select(F.explode(T.clean_tokens("text")).alias("lemma"))
+             .groupBy("lemma").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("clean_text", f"SELECT doc_id, {S.clean_text('text')} AS cleaned_text FROM documents")
+def q_clean(spark, sf_dir):
+    from ..functions import text as T
+    from ..operators.cleaning import spread
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", T.clean_text("text").alias("cleaned_text"))
+
+
+@register("text_length", f"SELECT doc_id, text_length FROM ({processed_sql(LABELLED_DOCS_SQL)})")
+def q_text_length(spark, sf_dir):
+    return _processed(spark, sf_dir).select("doc_id", "text_length")
+
+
+@register("process_data", f"SELECT doc_id, sentiment, cleaned AS cleaned_text, text_length FROM ({processed_sql(LANG_DOCS_SQL)})")
+def q_process(spark, sf_dir):
+    from ..operators.cleaning import process_data
+    return process_data(lang_docs(spark, sf_dir)).select("doc_id", "sentiment", "cleaned_text", "text_length")
+
+
+@register("features_labels", f"SELECT cleaned AS features, sentiment AS label FROM ({processed_sql(LABELLED_DOCS_SQL)})")
+def q_features_labels(spark, sf_dir):
+    from ..operators.cleaning import features_labels
+    return features_labels(_processed(spark, sf_dir))
+
+
+@register("normalize_nulls", f"""
+SELECT CAST(count(*) FILTER (WHERE role IN ({', '.join(S.q(t) for t in __import__('textlathe.functions.constants', fromlist=['x']).NA_TOKENS)})) AS BIGINT) AS null_roles,
+       CAST(count(*) AS BIGINT) AS n FROM conversations""")
+def q_normalize_nulls(spark, sf_dir):
+    from ..operators.cleaning import normalize_nulls
+    c = normalize_nulls(table(spark, sf_dir, "conversations"), ["role"])
+    return c.agg(F.count_if(F.col("role").isNull()).alias("null_roles"), F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# C: labels
+# ---------------------------------------------------------------------------
+
+@register("label_mapping", "SELECT source AS label, CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS label_idx "
+                           "FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)")
+def q_label_mapping(spark, sf_dir):
+    from ..operators.labels import label_mapping
+    return label_mapping(table(spark, sf_dir, "documents"), "source")
+
+
+@register("apply_label_mapping", """
+WITH m AS (SELECT lang AS label, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label_idx
+           FROM (SELECT DISTINCT d.lang FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 1)),
+j AS (SELECT d.doc_id, m.label_idx FROM documents d LEFT JOIN m ON d.lang = m.label)
+SELECT doc_id, CAST(coalesce(label_idx, (SELECT coalesce(max(label_idx), -1) + 1 FROM j)) AS INTEGER) AS sentiment FROM j""")
+def q_apply_label_mapping(spark, sf_dir):
+    """Mapping fitted on a subset (languages of quality-1 documents) and
+    applied to all documents: unmapped labels get max + 1."""
+    from ..operators.labels import apply_label_mapping, label_mapping
+    docs = table(spark, sf_dir, "documents")
+    fit_on = docs.join(table(spark, sf_dir, "labels").where("quality = 1"), "doc_id")
+    m = label_mapping(fit_on, "lang")
+    return apply_label_mapping(docs.select("doc_id", F.col("lang").alias("sentiment")), m).select("doc_id", "sentiment")
+
+
+@register("label_distribution", """
+WITH m AS (SELECT source AS label, CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS label_idx
+           FROM (SELECT DISTINCT d.source FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 0)),
+j AS (SELECT m.label_idx FROM documents d LEFT JOIN m ON d.source = m.label),
+f AS (SELECT CAST(coalesce(label_idx, (SELECT coalesce(max(label_idx), -1) + 1 FROM j)) AS INTEGER) AS label_idx FROM j)
+SELECT f.label_idx, coalesce(m.label, 'Unknown_' || CAST(f.label_idx AS VARCHAR)) AS label_name, CAST(count(*) AS BIGINT) AS n
+FROM f LEFT JOIN m ON f.label_idx = m.label_idx GROUP BY f.label_idx, m.label""")
+def q_label_distribution(spark, sf_dir):
+    from ..operators.labels import apply_label_mapping, label_distribution, label_mapping
+    docs = table(spark, sf_dir, "documents")
+    m = label_mapping(docs.join(table(spark, sf_dir, "labels").where("toxic = 0"), "doc_id"), "source")
+    mapped = apply_label_mapping(docs.select("doc_id", F.col("source").alias("sentiment")), m)
+    return label_distribution(mapped, m)
+
+
+# ---------------------------------------------------------------------------
+# D: quality
+# ---------------------------------------------------------------------------
+
+@register("quality_report", f"""
+WITH s AS ({LEFT_DOCS_SQL}),
+pc AS (SELECT sentiment, count(*) AS n FROM s GROUP BY sentiment),
+a AS (SELECT CAST(count(*) FILTER (WHERE sentiment IS NULL OR sentiment NOT IN (0, 1)) AS DOUBLE) AS bad,
+             (count(*) FILTER (WHERE doc_id IS NULL) + count(*) FILTER (WHERE text IS NULL)
+              + count(*) FILTER (WHERE sentiment IS NULL)) / (count(*) * 3.0) AS mr,
+             CAST(count(*) FILTER (WHERE length(text) < 10) AS DOUBLE) AS short,
+             CAST(count(*) FILTER (WHERE length(text) > 1000) AS DOUBLE) AS long,
+             (SELECT CAST(count(*) AS DOUBLE) FROM pc WHERE sentiment IS NOT NULL AND n < 10) AS small FROM s)
+SELECT * FROM (VALUES ('required_columns', 'error', 0.0::DOUBLE, 0.0::DOUBLE, true)) t("check", severity, value, threshold, passed)
+UNION ALL SELECT 'label_numeric', 'error', 1.0, 1.0, true
+UNION ALL SELECT 'label_values', 'error', bad, 0.0, bad = 0 FROM a
+UNION ALL SELECT 'missing_ratio', 'error', mr, 0.05, mr <= 0.05 FROM a
+UNION ALL SELECT 'short_texts', 'warning', short, 10.0, short = 0 FROM a
+UNION ALL SELECT 'long_texts', 'warning', long, 1000.0, long = 0 FROM a
+UNION ALL SELECT 'small_classes', 'warning', small, 10.0, small = 0 FROM a""")
+def q_quality_report(spark, sf_dir):
+    from ..operators.quality import quality_report
+    return quality_report(_lbl_docs_left(spark, sf_dir))
+
+
+@register("invalid_labels", f"SELECT sentiment, CAST(count(*) AS BIGINT) AS n FROM ({LEFT_DOCS_SQL}) "
+                            "WHERE sentiment IS NULL OR sentiment NOT IN (0, 1) GROUP BY sentiment")
+def q_invalid_labels(spark, sf_dir):
+    from ..operators.quality import invalid_labels
+    return invalid_labels(_lbl_docs_left(spark, sf_dir))
+
+
+@register("missing_ratio", f"""
+SELECT CAST(nc AS BIGINT) AS null_cells, CAST(tc AS BIGINT) AS total_cells, nc / tc AS missing_ratio FROM (
+  SELECT CAST(count(*) FILTER (WHERE doc_id IS NULL) + count(*) FILTER (WHERE text IS NULL)
+         + count(*) FILTER (WHERE sentiment IS NULL) AS DOUBLE) AS nc, count(*) * 3.0 AS tc FROM ({LEFT_DOCS_SQL}))""")
+def q_missing_ratio(spark, sf_dir):
+    from ..operators.quality import missing_ratio
+    return missing_ratio(_lbl_docs_left(spark, sf_dir))
+
+
+@register("text_length_bounds", "SELECT CAST(count(*) FILTER (WHERE length(text) < 10) AS BIGINT) AS short_texts, "
+                                "CAST(count(*) FILTER (WHERE length(text) > 1000) AS BIGINT) AS long_texts FROM conversations")
+def q_text_bounds(spark, sf_dir):
+    from ..operators.quality import text_length_bounds
+    return text_length_bounds(table(spark, sf_dir, "conversations"))
+
+
+@register("small_classes", "SELECT source AS sentiment, CAST(count(*) AS BIGINT) AS n FROM documents d JOIN labels l "
+                           "ON d.doc_id = l.doc_id WHERE l.toxic = 1 GROUP BY source HAVING count(*) < 10")
+def q_small_classes(spark, sf_dir):
+    from ..operators.quality import small_classes
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").where("toxic = 1"), "doc_id")
+    return small_classes(d.select(F.col("source").alias("sentiment")))
+
+
+@register("null_summary", f"""
+WITH s AS ({LEFT_DOCS_SQL})
+SELECT 'doc_id' AS "column", 'bigint' AS dtype, CAST(count(*) FILTER (WHERE doc_id IS NULL) AS BIGINT) AS nulls, CAST(count(*) AS BIGINT) AS total_rows FROM s
+UNION ALL SELECT 'text', 'string', count(*) FILTER (WHERE text IS NULL), count(*) FROM s
+UNION ALL SELECT 'sentiment', 'int', count(*) FILTER (WHERE sentiment IS NULL), count(*) FROM s""")
+def q_null_summary(spark, sf_dir):
+    from ..operators.quality import null_summary
+    return null_summary(_lbl_docs_left(spark, sf_dir))
+
+
+@register("class_balance", f"""
+SELECT sentiment, CAST(count(*) AS BIGINT) AS n, count(*) / (SELECT count(*) FROM ({LEFT_DOCS_SQL})) AS share
+FROM ({LEFT_DOCS_SQL}) WHERE sentiment IS NOT NULL GROUP BY sentiment""")
+def q_class_balance(spark, sf_dir):
+    from ..operators.quality import class_balance
+    return class_balance(_lbl_docs_left(spark, sf_dir))
+
+
+def _length_stats_sql(expr: str, src: str) -> str:
+    return (f"SELECT avg(L) AS mean, stddev_samp(L) AS std, CAST(min(L) AS BIGINT) AS min, CAST(max(L) AS BIGINT) AS max, "
+            f"CAST(median(L) AS DOUBLE) AS median FROM (SELECT CAST(length({expr}) AS BIGINT) AS L FROM ({src}) WHERE {expr} IS NOT NULL)")
+
+
+@register("text_length_stats", _length_stats_sql("text", "SELECT * FROM documents"))
+def q_length_stats(spark, sf_dir):
+    from ..operators.quality import length_stats
+    return length_stats(table(spark, sf_dir, "documents"))
+
+
+@register("cleaned_length_stats", _length_stats_sql("cleaned", processed_sql(LABELLED_DOCS_SQL)))
+def q_cleaned_stats(spark, sf_dir):
+    from ..operators.quality import length_stats
+    return length_stats(_processed(spark, sf_dir), "cleaned_text")
