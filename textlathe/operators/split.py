@@ -180,7 +180,7 @@ def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quota
     return done.unionByName(mixed).drop(*drop)
 
 
-def stratified_split(df: DataFrame, label_col: str = "sentiment", id_col: str = "doc_id",
+def stratified_split(df: DataFrame, label_col: str | None = "sentiment", id_col: str = "doc_id",
                      params: SplitParams = SplitParams(), stratify: bool = True) -> DataFrame:
     """``df`` + ``split`` in {train, test, val}. ``df`` is read
     twice (class counts, assignment): pass a stored or persisted table."""

@@ -345,3 +345,108 @@ def q_length_stats(spark, sf_dir):
 def q_cleaned_stats(spark, sf_dir):
     from ..operators.quality import length_stats
     return length_stats(_processed(spark, sf_dir), "cleaned_text")
+
+
+# ---------------------------------------------------------------------------
+# E: splits
+# ---------------------------------------------------------------------------
+
+def _approx_mode_sql(name: str, counts: str, col: str, ndraw: str) -> str:
+    """CTE ``name``(sentiment, part): largest-remainder draw of ``ndraw``
+    rows from per-class ``counts.col`` (ties: label ascending)."""
+    return f"""
+{name}_c AS (SELECT sentiment, CAST({col} AS DOUBLE) / (SELECT sum({col}) FROM {counts}) * ({ndraw}) AS cont FROM {counts}),
+{name}_f AS (SELECT sentiment, floor(cont) AS fl, cont - floor(cont) AS rem FROM {name}_c),
+{name} AS (SELECT sentiment, CAST(fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, sentiment) <=
+              ({ndraw}) - (SELECT sum(fl) FROM {name}_f) THEN 1 ELSE 0 END AS BIGINT) AS part FROM {name}_f)"""
+
+
+def split_sql(src: str, share1: str, share2: str, seed: int, names=("train", "test", "val"),
+              test_first: bool = False) -> str:
+    """CTEs ending in ``assigned``(doc_id, sentiment, split) over CTE ``src``
+    (doc_id, sentiment). Two draws as in the Spark operator."""
+    n_keep1 = f"(SELECT sum(n) FROM cc) - CAST(ceil(({share1}) * (SELECT sum(n) FROM cc)) AS BIGINT)"
+    c2 = "part" if test_first else "r1"  # second draw: over kept rows (test first) or the rest
+    n_keep2 = f"(SELECT sum({c2}) FROM d1) - CAST(ceil(({share2}) * (SELECT sum({c2}) FROM d1)) AS BIGINT)"
+    if test_first:
+        # draw 1 keeps the rest (train+val), its remainder is test; draw 2
+        # keeps train, its remainder is val. Rank order: test, val, train.
+        q = "q AS (SELECT d1.sentiment, d1.r1 AS c1, d1.r1 + d2.r2 AS c2 FROM d1 JOIN d2 ON d1.sentiment = d2.sentiment)"
+    else:
+        q = "q AS (SELECT d1.sentiment, d1.part AS c1, d1.part + d2.part AS c2 FROM d1 JOIN d2 ON d1.sentiment = d2.sentiment)"
+    return f"""
+cc AS (SELECT sentiment, count(*) AS n FROM {src} GROUP BY sentiment),
+{_approx_mode_sql('a1', 'cc', 'n', n_keep1)},
+d1 AS (SELECT cc.sentiment, a1.part, cc.n - a1.part AS r1 FROM cc JOIN a1 ON cc.sentiment = a1.sentiment),
+{_approx_mode_sql('a2', 'd1', c2, n_keep2)},
+d2 AS (SELECT d1.sentiment, a2.part, d1.{c2} - a2.part AS r2 FROM d1 JOIN a2 ON d1.sentiment = a2.sentiment),
+{q},
+ranked AS (SELECT s.doc_id, s.sentiment, row_number() OVER (PARTITION BY s.sentiment
+             ORDER BY md5('{seed}:' || CAST(s.doc_id AS VARCHAR)), s.doc_id) AS rk FROM {src} s),
+assigned AS (SELECT r.doc_id, r.sentiment, CASE WHEN rk <= c1 THEN '{names[0]}' WHEN rk <= c2 THEN '{names[1]}'
+             ELSE '{names[2]}' END AS split FROM ranked r JOIN q ON r.sentiment = q.sentiment)"""
+
+
+SHARE1 = "0.2::DOUBLE + 0.1::DOUBLE"
+SHARE2 = "0.1::DOUBLE / (0.2::DOUBLE + 0.1::DOUBLE)"
+
+
+def _split_input(spark, sf_dir):
+    return _processed(spark, sf_dir).select("doc_id", "sentiment")
+
+
+SPLIT_SRC = f"src AS (SELECT doc_id, sentiment FROM ({processed_sql(LABELLED_DOCS_SQL)}))"
+
+
+@register("stratified_split", f"WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)} SELECT * FROM assigned")
+def q_stratified_split(spark, sf_dir):
+    from ..operators.split import stratified_split
+    return stratified_split(_split_input(spark, sf_dir))
+
+
+@register("split_report", f"WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)} "
+                          "SELECT split, sentiment, CAST(count(*) AS BIGINT) AS n FROM assigned GROUP BY split, sentiment")
+def q_split_report(spark, sf_dir):
+    from ..operators.split import split_report, stratified_split
+    return split_report(stratified_split(_split_input(spark, sf_dir)))
+
+
+@register("random_split", f"WITH src AS (SELECT doc_id, 0 AS sentiment FROM documents), "
+                          f"{split_sql('src', SHARE1, SHARE2, 69)} SELECT doc_id, split FROM assigned")
+def q_random_split(spark, sf_dir):
+    from ..operators.split import stratified_split
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    return stratified_split(d, label_col=None, stratify=False).select("doc_id", "split")
+
+
+@register("reproduce_split", f"WITH src AS (SELECT doc_id, lang AS sentiment FROM documents), "
+                             f"{split_sql('src', '0.25::DOUBLE + 0.1::DOUBLE', '0.1::DOUBLE / (0.25::DOUBLE + 0.1::DOUBLE)', 7)} "
+                             "SELECT split, sentiment, CAST(count(*) AS BIGINT) AS n, sum(doc_id) AS id_sum FROM assigned GROUP BY split, sentiment")
+def q_reproduce_split(spark, sf_dir):
+    """Split rebuilt from stored params (val_size missing -> default)."""
+    from ..operators.split import reproduce_split
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("sentiment"))
+    s = reproduce_split(d, '{"test_size": 0.25, "random_state": 7}')
+    return s.groupBy("split", "sentiment").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"))
+
+
+@register("split_test_first", f"WITH src AS (SELECT doc_id, source AS sentiment FROM documents), "
+                              f"{split_sql('src', '0.2::DOUBLE', '0.1::DOUBLE / (1 - 0.2::DOUBLE)', 69, ('test', 'val', 'train'), True)} "
+                              "SELECT doc_id, sentiment, split FROM assigned")
+def q_split_test_first(spark, sf_dir):
+    from ..operators.split import split_test_first
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("sentiment"))
+    return split_test_first(d).select("doc_id", "sentiment", "split")
+
+
+@register("stratified_folds", """
+WITH src AS (SELECT doc_id, lang AS sentiment FROM documents),
+cc AS (SELECT sentiment, count(*) AS n FROM src GROUP BY sentiment),
+off AS (SELECT sentiment, coalesce(sum(n) OVER (ORDER BY sentiment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM cc),
+ranked AS (SELECT s.doc_id, s.sentiment, row_number() OVER (PARTITION BY s.sentiment
+             ORDER BY md5('69:' || CAST(s.doc_id AS VARCHAR)), s.doc_id) AS rk FROM src s)
+SELECT r.doc_id, r.sentiment, CAST((off.o + r.rk - 1) % 5 AS INTEGER) AS fold FROM ranked r JOIN off ON r.sentiment = off.sentiment""")
+def q_folds(spark, sf_dir):
+    from ..operators.split import stratified_folds
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("sentiment"))
+    return stratified_folds(d, 5)
