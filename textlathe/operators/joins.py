@@ -9,6 +9,7 @@ partitions).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,17 @@ def counted_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[Da
     return F.broadcast(df), n
 
 
+def _ranged(rp: DataFrame) -> DataFrame:
+    """Tag rows with their range partition and persist the result.
+
+    The range bounds come from sampling the input; two branches that each
+    plan their own range exchange (e.g. after different column pruning) could
+    sample different bounds. Persisting the tagged rows makes both branches
+    read one assignment; lost blocks are rebuilt through the same shuffle
+    dependency (same bounds)."""
+    return rp.withColumn("_pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def global_index(df: DataFrame, order_cols: list, name: str = "idx",
                  base: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Dense 0/1-based position of each row in a total order, without moving
@@ -51,8 +63,7 @@ def global_index(df: DataFrame, order_cols: list, name: str = "idx",
     """
     spark = df.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(p, *order_cols)
-                .withColumn("_pid", F.spark_partition_id()))
+    ranged = _ranged(df.repartitionByRange(p, *order_cols))
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -79,8 +90,7 @@ def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str =
     """
     spark = df.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
-                .withColumn("_pid", F.spark_partition_id()))
+    ranged = _ranged(df.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols))
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order_cols)))
     slices = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -89,3 +99,45 @@ def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str =
     out = local.join(offsets, ["_pid", *keys])
     return out.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")) \
               .drop("_pid", "_lrn", "_off")
+
+
+def segmented_running(df: DataFrame, keys: list[str], order_cols: list,
+                      sums: dict | None = None, lasts: dict | None = None,
+                      inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
+    """Running sums and running "last non-null" values inside ``keys``
+    ordered by ``order_cols`` (a total order), safe under key skew.
+
+    ``sums``: {out: numeric Column}; ``lasts``: {out: Column} (last non-null
+    value so far). ``inclusive=False`` excludes the current row.
+
+    Rows are range-partitioned on ``keys + order``; each (partition, key)
+    slice is scanned with a local window; a small table of per-slice totals
+    and last values (at most partitions + keys rows) gives each slice its
+    carry-in, joined back on (partition, key).
+    """
+    sums, lasts = sums or {}, lasts or {}
+    spark = df.sparkSession
+    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()],
+                     *[c.alias(f"_l_{n}") for n, c in lasts.items()])
+    ranged = _ranged(base.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols))
+    wl = Window.partitionBy("_pid", *keys).orderBy(*order_cols)
+    frame = wl.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    local = ranged.select("*", *[F.sum(f"_v_{n}").over(frame).alias(f"_s_{n}") for n in sums],
+                          *[F.last(f"_l_{n}", ignorenulls=True).over(frame).alias(f"_t_{n}") for n in lasts])
+    # per-slice totals and last non-null values (by position, order-free)
+    o = F.struct(*order_cols)
+    slices = ranged.groupBy("_pid", *keys).agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        *[F.sum(f"_v_{n}").alias(f"_S_{n}") for n in sums],
+        *[F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), o)).alias(f"_L_{n}") for n in lasts])
+    wk = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = slices.select("_pid", *keys,
+                          *[F.coalesce(F.sum(f"_S_{n}").over(wk), F.lit(0)).alias(f"_c_{n}") for n in sums],
+                          *[F.last(f"_L_{n}", ignorenulls=True).over(wk).alias(f"_k_{n}") for n in lasts])
+    out = local.join(carry, ["_pid", *keys])
+    out = out.select("*", *[(F.col(f"_c_{n}") + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in sums],
+                     *[F.coalesce(f"_t_{n}", f"_k_{n}").alias(n) for n in lasts])
+    drop = ["_pid"] + [x for n in sums for x in (f"_v_{n}", f"_s_{n}", f"_c_{n}")] \
+        + [x for n in lasts for x in (f"_l_{n}", f"_t_{n}", f"_k_{n}")]
+    return out.drop(*drop)

@@ -450,3 +450,375 @@ def q_folds(spark, sf_dir):
     from ..operators.split import stratified_folds
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("sentiment"))
     return stratified_folds(d, 5)
+
+
+# ---------------------------------------------------------------------------
+# F: features
+# ---------------------------------------------------------------------------
+
+FEAT_SRC = f"p AS ({processed_sql(LABELLED_DOCS_SQL)}), src AS (SELECT doc_id, sentiment, cleaned FROM p)"
+
+
+def _fit(spark, sf_dir, **cfg_kw):
+    from ..operators.features import LIVE_CONFIG, fit
+    from dataclasses import replace
+    cfg = replace(LIVE_CONFIG, **cfg_kw)
+    return fit(_processed(spark, sf_dir), "cleaned_text", "sentiment", "doc_id", cfg)
+
+
+@register("tfidf_tokens", f"WITH {FEAT_SRC} SELECT doc_id, CAST(len({S.vectorizer_tokens('cleaned')}) AS INTEGER) AS n_tokens FROM src")
+def q_tfidf_tokens(spark, sf_dir):
+    from ..functions import text as T
+    return _processed(spark, sf_dir).select("doc_id", F.size(T.vectorizer_tokens("cleaned_text")).alias("n_tokens"))
+
+
+@register("ngrams", f"WITH {FEAT_SRC}, tk AS (SELECT doc_id, {S.vectorizer_tokens('cleaned')} AS tk FROM src) "
+                    f"SELECT doc_id, CAST(len({S.ngrams_1_2('tk')}) AS INTEGER) AS n_grams, "
+                    f"{S.ngrams_1_2('tk')}[-1] AS last_gram FROM tk")
+def q_ngrams(spark, sf_dir):
+    from ..operators.features import LIVE_CONFIG, grams
+    g = grams(_processed(spark, sf_dir).select("doc_id", "cleaned_text"), "cleaned_text", LIVE_CONFIG)
+    return g.select("doc_id", F.size("grams").alias("n_grams"), F.element_at("grams", -1).alias("last_gram"))
+
+
+@register("term_frequency", f"WITH {FEAT_SRC}, {features_ctes('src')} SELECT doc_id, term, tf FROM tf")
+def q_tf(spark, sf_dir):
+    from ..operators.features import LIVE_CONFIG, doc_terms, exploded_terms
+    dt = doc_terms(_processed(spark, sf_dir), "cleaned_text", LIVE_CONFIG, ["doc_id"])
+    return exploded_terms(dt, ["doc_id"])
+
+
+@register("document_frequency", f"WITH {FEAT_SRC}, {features_ctes('src')} SELECT term, df, ctf FROM stats")
+def q_df(spark, sf_dir):
+    from ..operators.features import LIVE_CONFIG, doc_terms, term_statistics
+    return term_statistics(doc_terms(_processed(spark, sf_dir), "cleaned_text", LIVE_CONFIG, ["doc_id"]))
+
+
+@register("prune_vocabulary", f"WITH {FEAT_SRC}, {features_ctes('src')} "
+                              "SELECT term, df FROM stats, nd WHERE df >= 2 AND df <= CAST(0.5 AS DOUBLE) * nd.n")
+def q_prune(spark, sf_dir):
+    from dataclasses import replace
+    from ..operators.features import LIVE_CONFIG, doc_terms, prune_vocabulary, term_statistics
+    p = _processed(spark, sf_dir)
+    n = p.count()
+    st = term_statistics(doc_terms(p, "cleaned_text", LIVE_CONFIG, ["doc_id"]))
+    return prune_vocabulary(st, replace(LIVE_CONFIG, min_df=2, max_df=0.5), n).select("term", "df")
+
+
+@register("top_vocabulary", f"WITH {FEAT_SRC}, {features_ctes('src')} SELECT term, term_idx, ctf FROM vocab")
+def q_top_vocab(spark, sf_dir):
+    return _fit(spark, sf_dir, use_chi2=False).table.select("term", "term_idx", "ctf")
+
+
+@register("idf", f"WITH {FEAT_SRC}, {features_ctes('src')} SELECT term, round(idf, 6) AS idf FROM vocab")
+def q_idf(spark, sf_dir):
+    return _fit(spark, sf_dir, use_chi2=False).table.select("term", r6("idf").alias("idf"))
+
+
+@register("tfidf", f"WITH {FEAT_SRC}, {features_ctes('src')} SELECT doc_id, term, round(value, 6) AS value FROM nw")
+def q_tfidf(spark, sf_dir):
+    m = _fit(spark, sf_dir, use_chi2=False)
+    out = m.transform(_processed(spark, sf_dir), "doc_id")
+    return out.select("doc_id", "term", r6("value").alias("value"))
+
+
+@register("chi2_scores", f"WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')} "
+                         "SELECT term, round(score, 6) AS score FROM chi")
+def q_chi2(spark, sf_dir):
+    m = _fit(spark, sf_dir, chi2_k=10 ** 9)
+    return m.table.select("term", r6("score").alias("score"))
+
+
+def mi_ctes(src: str) -> str:
+    return f"""
+cells AS (SELECT term_idx, round(value, 9) AS v, sentiment, count(*) AS n_vy FROM nw GROUP BY term_idx, v, sentiment),
+ny AS (SELECT sentiment, count(*) AS n_y FROM {src} GROUP BY sentiment),
+nv AS (SELECT term_idx, v, sum(n_vy) AS n_v FROM cells GROUP BY term_idx, v),
+nz AS (SELECT term_idx, sentiment, sum(n_vy) AS nz_y FROM cells GROUP BY term_idx, sentiment),
+zero AS (SELECT vv.term_idx, ny.n_y, ny.n_y - coalesce(nz.nz_y, 0) AS n0y, nd.n - vv.df AS n0
+         FROM vocab vv CROSS JOIN ny CROSS JOIN nd LEFT JOIN nz ON nz.term_idx = vv.term_idx AND nz.sentiment = ny.sentiment),
+parts AS (SELECT c.term_idx, c.n_vy / nd.n * ln(nd.n * c.n_vy / (nv.n_v * ny.n_y)) AS x
+          FROM cells c JOIN nv ON c.term_idx = nv.term_idx AND c.v = nv.v JOIN ny ON c.sentiment = ny.sentiment CROSS JOIN nd
+          UNION ALL
+          SELECT term_idx, CASE WHEN n0y > 0 AND n0 > 0 THEN n0y / nd.n * ln(nd.n * n0y / (n0 * n_y)) ELSE 0 END FROM zero CROSS JOIN nd),
+mi AS (SELECT term_idx, greatest(sum(x), 0) AS score FROM parts GROUP BY term_idx)"""
+
+
+@register("mutual_info_scores", f"WITH {FEAT_SRC}, {features_ctes('src')}, {mi_ctes('src')} "
+                                "SELECT v.term, round(coalesce(mi.score, 0), 6) AS score FROM vocab v LEFT JOIN mi ON v.term_idx = mi.term_idx")
+def q_mi(spark, sf_dir):
+    m = _fit(spark, sf_dir, use_chi2=False, use_mutual_info=True, mutual_info_k=10 ** 9)
+    return m.table.select("term", r6("score").alias("score"))
+
+
+@register("select_k_best", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
+top AS (SELECT term_idx, term FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50)
+SELECT term, CAST(row_number() OVER (ORDER BY term_idx) - 1 AS INTEGER) AS sel_idx FROM top""")
+def q_select(spark, sf_dir):
+    return _fit(spark, sf_dir).feature_names().select("term", "sel_idx")
+
+
+@register("feature_names", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {mi_ctes('src')},
+sc AS (SELECT v.term_idx, v.term, coalesce(mi.score, 0) AS score FROM vocab v LEFT JOIN mi ON v.term_idx = mi.term_idx),
+top AS (SELECT term_idx, term FROM sc ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50)
+SELECT CAST(row_number() OVER (ORDER BY term_idx) - 1 AS INTEGER) AS sel_idx, term FROM top""")
+def q_feature_names(spark, sf_dir):
+    """Names after mutual-information selection of 50 terms."""
+    return _fit(spark, sf_dir, use_chi2=False, use_mutual_info=True).feature_names()
+
+
+@register("feature_importance", f"""WITH {FEAT_SRC}, {features_ctes('src', 5000, 2)}, {chi2_ctes('src')}
+SELECT term, round(score, 6) AS score FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 1000""")
+def q_importance(spark, sf_dir):
+    """Training preset: 5000 features, min_df 2, 1000 best by chi-square."""
+    from ..operators.features import TRAINING_CONFIG, fit
+    m = fit(_processed(spark, sf_dir), "cleaned_text", "sentiment", "doc_id", TRAINING_CONFIG)
+    return m.importance().select("term", r6("score").alias("score"))
+
+
+def _split_features_sql() -> str:
+    return f"""WITH {FEAT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)},
+tr AS (SELECT s.doc_id, s.sentiment, s.cleaned FROM src s JOIN assigned a ON s.doc_id = a.doc_id WHERE a.split = 'train'),
+{features_ctes('tr')}, {chi2_ctes('tr')},
+top AS (SELECT term_idx FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50),
+sel AS (SELECT term_idx, CAST(row_number() OVER (ORDER BY term_idx) - 1 AS INTEGER) AS sel_idx FROM top),
+atk AS (SELECT a.split, s.doc_id, {S.vectorizer_tokens('s.cleaned')} AS tk FROM src s JOIN assigned a ON s.doc_id = a.doc_id),
+ag AS (SELECT split, doc_id, unnest({S.ngrams_1_2('tk')}) AS term FROM atk),
+atf AS (SELECT split, doc_id, term, count(*) AS tf FROM ag GROUP BY split, doc_id, term),
+aw AS (SELECT atf.split, atf.doc_id, v.term_idx, atf.tf * v.idf AS w FROM atf JOIN vocab v ON atf.term = v.term),
+anw AS (SELECT split, doc_id, term_idx, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS value FROM aw)"""
+
+
+@register("features_for_splits", _split_features_sql() + """
+SELECT split, sel.sel_idx, CAST(count(*) AS BIGINT) AS n_docs, round(sum(value), 6) AS total
+FROM anw JOIN sel ON anw.term_idx = sel.term_idx GROUP BY split, sel.sel_idx""")
+def q_features_for_splits(spark, sf_dir):
+    """Fit on the train split only; transform train, test and val."""
+    from ..plans.prepare import features_for_splits
+    from ..operators.split import stratified_split
+    splits = stratified_split(_processed(spark, sf_dir))
+    feats, _ = features_for_splits(splits)
+    return feats.groupBy("split", "sel_idx").agg(F.count(F.lit(1)).alias("n_docs"), r6(F.sum("value")).alias("total"))
+
+
+@register("transform_unseen", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
+top AS (SELECT term_idx FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50),
+u AS (SELECT item_id, {S.clean_text('text')} AS cleaned FROM benchmark),
+utk AS (SELECT item_id, {S.vectorizer_tokens('cleaned')} AS tk FROM u),
+ug AS (SELECT item_id, unnest({S.ngrams_1_2('tk')}) AS term FROM utk),
+utf AS (SELECT item_id, term, count(*) AS tf FROM ug GROUP BY item_id, term),
+uw AS (SELECT utf.item_id, v.term_idx, utf.tf * v.idf AS w FROM utf JOIN vocab v ON utf.term = v.term),
+unw AS (SELECT item_id, term_idx, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS value FROM uw),
+sel AS (SELECT unw.item_id, unw.value FROM unw JOIN top ON unw.term_idx = top.term_idx)
+SELECT b.item_id, CAST(count(sel.value) AS BIGINT) AS n_features, round(coalesce(sum(sel.value), 0), 6) AS total
+FROM benchmark b LEFT JOIN sel ON b.item_id = sel.item_id GROUP BY b.item_id""")
+def q_transform_unseen(spark, sf_dir):
+    """Extractor fitted on labelled documents, applied to benchmark passages:
+    unknown terms ignored; items with no known term report zero."""
+    from ..functions import text as T
+    m = _fit(spark, sf_dir)
+    bench = table(spark, sf_dir, "benchmark").withColumn("cleaned_text", T.clean_text("text"))
+    f = m.transform(bench, "item_id")
+    agg = f.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_features"), F.sum("value").alias("total"))
+    return (bench.select("item_id").join(agg, "item_id", "left")
+                 .select("item_id", F.coalesce("n_features", F.lit(0)).alias("n_features"),
+                         r6(F.coalesce("total", F.lit(0.0))).alias("total")))
+
+
+@register("feature_vectors")
+def q_vectors(spark, sf_dir):
+    """Spark ML vector form (rows-only check)."""
+    from ..operators.features import feature_vectors
+    m = _fit(spark, sf_dir)
+    return feature_vectors(m, _processed(spark, sf_dir), "doc_id")
+
+
+@register("extractor_roundtrip", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
+top AS (SELECT term_idx FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50),
+sel AS (SELECT term_idx, CAST(row_number() OVER (ORDER BY term_idx) - 1 AS INTEGER) AS sel_idx FROM top)
+SELECT nw.doc_id, sel.sel_idx, round(nw.value, 6) AS value FROM nw JOIN sel ON nw.term_idx = sel.term_idx""")
+def q_roundtrip(spark, sf_dir):
+    """Fit, save the model table to the shared checkpoint folder, load it
+    back and transform."""
+    import uuid
+    from ..operators.features import FeatureModel
+    from ..session import scratch_path
+    m = _fit(spark, sf_dir)
+    path = scratch_path(spark, f"extractor-{uuid.uuid4().hex}")
+    m.save(path)
+    m2 = FeatureModel.load(spark, path)
+    out = m2.transform(_processed(spark, sf_dir), "doc_id")
+    return out.select("doc_id", "sel_idx", r6("value").alias("value"))
+
+
+@register("label_map_roundtrip", "SELECT source AS label, CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS label_idx "
+                                 "FROM (SELECT DISTINCT source FROM documents)")
+def q_label_roundtrip(spark, sf_dir):
+    import uuid
+    from ..operators.labels import label_mapping, load_label_mapping, save_label_mapping
+    from ..session import scratch_path
+    path = scratch_path(spark, f"labelmap-{uuid.uuid4().hex}")
+    save_label_mapping(label_mapping(table(spark, sf_dir, "documents"), "source"), path)
+    return load_label_mapping(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# G: tracking log
+# ---------------------------------------------------------------------------
+
+LOG_SQL = """SELECT CAST(user_id AS VARCHAR) AS dataset, event_id AS seq, ts,
+  CASE WHEN event_type = 'signup' THEN 'split_params' ELSE event_type END AS artifact_type,
+  CASE WHEN event_type = 'signup' THEN '{"train_size": 0.7, "test_size": 0.2, "val_size": 0.1, "random_state": '
+       || CAST(CAST(floor(CAST(json_extract_string(props, '$.k') AS DOUBLE) / 50) AS BIGINT) AS VARCHAR) || '}'
+       ELSE 'event-' || CAST(event_id AS VARCHAR) END AS value,
+  CAST(floor(CAST(json_extract_string(props, '$.k') AS DOUBLE) / 50) AS BIGINT) AS cur_seed
+FROM events"""
+
+EXP_SQL = f"""
+lg AS ({LOG_SQL}),
+a AS (SELECT *, coalesce(count(*) FILTER (WHERE artifact_type = 'split_params') OVER w1, 0) AS g,
+             last_value(CASE WHEN artifact_type = 'split_params' THEN value END IGNORE NULLS) OVER w1 AS v
+      FROM lg WINDOW w1 AS (PARTITION BY dataset ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+b AS (SELECT *, CASE WHEN v IS NOT NULL AND v <> '' AND
+                  CAST(json_extract(v, '$.random_state') AS BIGINT) IS DISTINCT FROM cur_seed THEN 1 ELSE 0 END AS d FROM a),
+c AS (SELECT *, coalesce(sum(d) OVER (PARTITION BY dataset, g ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS db FROM b),
+e AS (SELECT dataset, seq, ts, artifact_type, value,
+             CAST(sum(CASE WHEN d = 1 AND db = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY dataset ORDER BY ts, seq
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS exp_id FROM c)"""
+
+
+def _log(spark, sf_dir):
+    from ..operators.tracking import events_as_log
+    return events_as_log(table(spark, sf_dir, "events"))
+
+
+@register("artifact_log")
+def q_artifact_log(spark, sf_dir):
+    """Append the derived log to a table in the shared folder and read it back."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"log-{uuid.uuid4().hex}")
+    _log(spark, sf_dir).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("experiment_ids", f"WITH {EXP_SQL} SELECT dataset, seq, exp_id FROM e")
+def q_exp_ids(spark, sf_dir):
+    from ..operators.tracking import experiment_ids
+    return experiment_ids(_log(spark, sf_dir)).select("dataset", "seq", "exp_id")
+
+
+@register("experiment_index", f"""WITH {EXP_SQL}
+SELECT dataset, exp_id, min(ts) AS created_at,
+  arg_max(CASE WHEN artifact_type = 'split_params' THEN value END, CASE WHEN artifact_type = 'split_params' THEN ts END) AS split_params,
+  arg_max(CASE WHEN artifact_type = 'view' THEN value END, CASE WHEN artifact_type = 'view' THEN ts END) AS view_art,
+  CAST(count(*) AS BIGINT) AS n_artifacts
+FROM e GROUP BY dataset, exp_id""")
+def q_exp_index(spark, sf_dir):
+    from ..operators.tracking import SLOTS, experiment_ids
+    e = experiment_ids(_log(spark, sf_dir))
+    o = F.struct("ts", "seq")
+    def last(t):
+        return F.max_by(F.when(F.col("artifact_type") == t, F.col("value")), F.when(F.col("artifact_type") == t, o))
+    return e.groupBy("dataset", "exp_id").agg(F.min("ts").alias("created_at"), last("split_params").alias("split_params"),
+                                              last("view").alias("view_art"), F.count(F.lit(1)).alias("n_artifacts"))
+
+
+@register("dataset_experiments", f"WITH {EXP_SQL} SELECT DISTINCT exp_id FROM e WHERE dataset = '7'")
+def q_dataset_exps(spark, sf_dir):
+    from ..operators.tracking import dataset_experiments, experiment_index
+    return dataset_experiments(experiment_index(_log(spark, sf_dir)), "7").select("exp_id")
+
+
+@register("list_datasets", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS dataset FROM events")
+def q_list_datasets(spark, sf_dir):
+    from ..operators.tracking import list_datasets
+    return list_datasets(_log(spark, sf_dir))
+
+
+@register("get_params", f"""WITH {EXP_SQL},
+ix AS (SELECT dataset, exp_id, arg_max(CASE WHEN artifact_type = 'split_params' THEN value END,
+                                       CASE WHEN artifact_type = 'split_params' THEN ts END) AS sp FROM e GROUP BY dataset, exp_id)
+SELECT dataset, exp_id, CAST(json_extract(sp, '$.random_state') AS BIGINT) AS random_state,
+       CAST(json_extract(sp, '$.train_size') AS DOUBLE) AS train_size FROM ix""")
+def q_get_params(spark, sf_dir):
+    from ..operators.tracking import experiment_index, get_params
+    p = get_params(experiment_index(_log(spark, sf_dir)))
+    return p.select("dataset", "exp_id", F.col("split_params.random_state").alias("random_state"),
+                    F.col("split_params.train_size").alias("train_size"))
+
+
+# ---------------------------------------------------------------------------
+# H: run log and registry
+# ---------------------------------------------------------------------------
+
+def _runs(spark, sf_dir):
+    from ..operators.runs import events_as_runs
+    return events_as_runs(table(spark, sf_dir, "events"))
+
+
+RUNS_SQL = """SELECT event_type AS experiment, CAST(event_id AS VARCHAR) AS run_id, 'user_' || CAST(user_id AS VARCHAR) AS run_name,
+  ts AS start_time, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS f1 FROM events"""
+
+
+@register("run_log")
+def q_run_log(spark, sf_dir):
+    from ..operators.runs import run_log_long
+    return run_log_long(_runs(spark, sf_dir))
+
+
+@register("experiments", """SELECT experiment, created, CAST(row_number() OVER (ORDER BY created, experiment) - 1 AS INTEGER) AS experiment_id
+FROM (SELECT event_type AS experiment, min(ts) AS created FROM events GROUP BY event_type)""")
+def q_experiments(spark, sf_dir):
+    from ..operators.runs import experiments
+    return experiments(_runs(spark, sf_dir))
+
+
+@register("experiment_runs", f"SELECT run_id, run_name, start_time FROM ({RUNS_SQL}) WHERE experiment = 'purchase'")
+def q_exp_runs(spark, sf_dir):
+    from ..operators.runs import experiment_runs
+    return experiment_runs(_runs(spark, sf_dir), "purchase")
+
+
+COMPARE_SQL = f"""r AS ({RUNS_SQL}),
+k AS (SELECT run_name, arg_min(run_id, (start_time, run_id)) AS run_id FROM r WHERE experiment = '{{exp}}' GROUP BY run_name),
+c AS (SELECT r.run_name, r.run_id, coalesce(r.f1, 0.0) AS metric_value FROM r JOIN k ON r.run_id = k.run_id AND r.run_name = k.run_name)
+SELECT run_name, run_id, metric_value, CAST(row_number() OVER (ORDER BY metric_value DESC, run_name) AS INTEGER) AS rank FROM c"""
+
+
+@register("compare_runs", "WITH " + COMPARE_SQL.replace("{exp}", "click"))
+def q_compare(spark, sf_dir):
+    from ..operators.runs import compare_runs
+    return compare_runs(_runs(spark, sf_dir), "click")
+
+
+@register("best_run", "SELECT * FROM (WITH " + COMPARE_SQL.replace("{exp}", "error") + ") WHERE rank = 1")
+def q_best(spark, sf_dir):
+    """Missing metric on every run: all 0.0, best by name order."""
+    from ..operators.runs import best_run, compare_runs
+    return best_run(compare_runs(_runs(spark, sf_dir), "error"))
+
+
+@register("retain_last_runs", f"""SELECT experiment, run_id, start_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id DESC) AS rn FROM ({RUNS_SQL})) WHERE rn > 10""")
+def q_retain(spark, sf_dir):
+    from ..operators.runs import retain_last_runs
+    return retain_last_runs(_runs(spark, sf_dir), 10)
+
+
+REG_SQL = """SELECT 'model_' || event_type AS name, CAST(event_id AS VARCHAR) AS run_id, ts,
+  ['Staging', 'Production', 'Archived'][CAST(((floor(value) % 3) + 3) % 3 AS INTEGER) + 1] AS stage
+FROM events WHERE event_type IN ('purchase', 'signup')"""
+VERS_SQL = f"SELECT *, CAST(row_number() OVER (PARTITION BY name ORDER BY ts, run_id) AS INTEGER) AS version FROM ({REG_SQL})"
+
+
+@register("model_versions", f"SELECT name, run_id, stage, version FROM ({VERS_SQL})")
+def q_versions(spark, sf_dir):
+    from ..operators.runs import events_as_registrations, model_versions
+    return model_versions(events_as_registrations(table(spark, sf_dir, "events"))).select("name", "run_id", "stage", "version")
+
+
+@register("latest_stage_version", f"SELECT name, stage, max(version) AS version, arg_max(run_id, version) AS run_id FROM ({VERS_SQL}) GROUP BY name, stage")
+def q_latest(spark, sf_dir):
+    from ..operators.runs import events_as_registrations, latest_stage_version, model_versions
+    return latest_stage_version(model_versions(events_as_registrations(table(spark, sf_dir, "events"))))
