@@ -822,3 +822,150 @@ def q_versions(spark, sf_dir):
 def q_latest(spark, sf_dir):
     from ..operators.runs import events_as_registrations, latest_stage_version, model_versions
     return latest_stage_version(model_versions(events_as_registrations(table(spark, sf_dir, "events"))))
+
+
+# ---------------------------------------------------------------------------
+# I: evaluation and training
+# ---------------------------------------------------------------------------
+
+PRED_SQL = ("SELECT d.doc_id, l.quality AS label, (d.n_chars % 997) / 997.0 AS score, "
+            "CAST((d.n_chars % 997) / 997.0 >= 0.5 AS INTEGER) AS prediction FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+
+
+def _pred(spark, sf_dir):
+    from ..operators.evaluation import predictions_from_docs
+    return predictions_from_docs(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id"))
+
+
+@register("confusion_matrix", f"SELECT label, prediction, CAST(count(*) AS BIGINT) AS n FROM ({PRED_SQL}) GROUP BY label, prediction")
+def q_confusion(spark, sf_dir):
+    from ..operators.evaluation import confusion_matrix
+    return confusion_matrix(_pred(spark, sf_dir))
+
+
+METRICS_SQL = f"""m AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = prediction) AS ok,
+  count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp,
+  count(*) FILTER (WHERE label = 1 AND prediction <> 1) AS fn FROM ({PRED_SQL})),
+mm AS (SELECT ok / n AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision,
+  coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1 FROM m)"""
+
+
+@register("classification_metrics", f"WITH {METRICS_SQL} SELECT * FROM mm")
+def q_metrics(spark, sf_dir):
+    from ..operators.evaluation import classification_metrics
+    return classification_metrics(_pred(spark, sf_dir))
+
+
+@register("roc_auc", f"""WITH p AS ({PRED_SQL}),
+per AS (SELECT score AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM p GROUP BY score),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM per)
+SELECT sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc FROM r""")
+def q_auc(spark, sf_dir):
+    from ..operators.evaluation import roc_auc
+    return roc_auc(_pred(spark, sf_dir))
+
+
+@register("threshold_gate", f"""WITH {METRICS_SQL}
+SELECT 'accuracy' AS metric, accuracy AS value, 0.8::DOUBLE AS threshold, accuracy >= 0.8 AS passed FROM mm
+UNION ALL SELECT 'f1', f1, 0.8::DOUBLE, f1 >= 0.8 FROM mm
+UNION ALL SELECT 'precision', precision, 0.75::DOUBLE, precision >= 0.75 FROM mm
+UNION ALL SELECT 'recall', recall, 0.75::DOUBLE, recall >= 0.75 FROM mm""")
+def q_gate(spark, sf_dir):
+    from ..operators.evaluation import classification_metrics, threshold_gate
+    return threshold_gate(classification_metrics(_pred(spark, sf_dir)))
+
+
+def _ml_data(spark, sf_dir):
+    """(doc_id, features vector, label double, split, fold) on labelled docs."""
+    from ..operators.features import feature_vectors
+    from ..operators.split import stratified_folds, stratified_split
+    from ..plans.prepare import features_for_splits
+    p = _processed(spark, sf_dir)
+    s = stratified_split(p)
+    _, model = features_for_splits(s)
+    v = feature_vectors(model, s, "doc_id")
+    folds = stratified_folds(p.select("doc_id", "sentiment"), 5).select("doc_id", "fold")
+    return (s.select("doc_id", "split", F.col("sentiment").cast("double").alias("label"))
+             .join(v, "doc_id").join(folds, "doc_id"))
+
+
+def _train_eval(spark, sf_dir, make):
+    from ..operators.training import evaluate
+    d = _ml_data(spark, sf_dir).persist()
+    train, test = d.where("split = 'train'"), d.where("split = 'test'")
+    n = train.count()
+    model = make(n).fit(train)
+    out = evaluate(model, test)
+    return out
+
+
+@register("train_lr")
+def q_train_lr(spark, sf_dir):
+    from ..operators.training import logistic_regression
+    return _train_eval(spark, sf_dir, lambda n: logistic_regression(n, 1.0, 1000))
+
+
+@register("train_rf")
+def q_train_rf(spark, sf_dir):
+    from ..operators.training import random_forest
+    return _train_eval(spark, sf_dir, lambda n: random_forest(100, 10))
+
+
+@register("train_svc")
+def q_train_svc(spark, sf_dir):
+    from ..operators.training import linear_svc
+    return _train_eval(spark, sf_dir, lambda n: linear_svc(n, 1.0))
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    from ..operators.training import gradient_boosting
+    return _train_eval(spark, sf_dir, lambda n: gradient_boosting(50, 0.1, 3))
+
+
+@register("train_nb")
+def q_train_nb(spark, sf_dir):
+    """Relational multinomial naive Bayes on the selected TF-IDF features:
+    fit on train, (doc_id, label, prediction) on test."""
+    from ..operators.split import stratified_split
+    from ..operators.training import naive_bayes_fit, naive_bayes_predict
+    from ..plans.prepare import features_for_splits
+    s = stratified_split(_processed(spark, sf_dir))
+    feats, model = features_for_splits(s)
+    lab = s.select("doc_id", F.col("sentiment").alias("label"), "split")
+    tr = feats.where("split = 'train'")
+    classes, lik = naive_bayes_fit(tr, lab.where("split = 'train'"), n_features=model.n_selected)
+    te_docs = lab.where("split = 'test'")
+    pred = naive_bayes_predict(feats.where("split = 'test'"), te_docs, classes, lik, n_features=model.n_selected)
+    return te_docs.join(pred, "doc_id").select("doc_id", "label", "prediction")
+
+
+@register("cross_validate")
+def q_cv(spark, sf_dir):
+    from ..operators.training import cross_validate, logistic_regression
+    d = _ml_data(spark, sf_dir).where("split <> 'test'").persist()
+    n = d.count()
+    cvm = cross_validate(logistic_regression(n), d, fold_col="fold", num_folds=5)
+    return spark.createDataFrame([(float(x),) for x in cvm.avgMetrics], "avg_f1 double")
+
+
+@register("grid_search")
+def q_grid(spark, sf_dir):
+    from ..operators.training import cross_validate, logistic_regression, lr_grid
+    d = _ml_data(spark, sf_dir).where("split <> 'test'").persist()
+    n = d.count()
+    est = logistic_regression(n)
+    grid = lr_grid(est, n)
+    cvm = cross_validate(est, d, grid, fold_col=None, num_folds=3)
+    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(cvm.avgMetrics)], "candidate int, avg_f1 double")
+
+
+@register("random_search")
+def q_random(spark, sf_dir):
+    from ..operators.training import cross_validate, logistic_regression, lr_grid, random_draws
+    d = _ml_data(spark, sf_dir).where("split <> 'test'").persist()
+    n = d.count()
+    est = logistic_regression(n)
+    grid = random_draws(lr_grid(est, n), 4, seed=42)
+    cvm = cross_validate(est, d, grid, fold_col=None, num_folds=3)
+    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(cvm.avgMetrics)], "candidate int, avg_f1 double")
