@@ -969,3 +969,113 @@ def q_random(spark, sf_dir):
     grid = random_draws(lr_grid(est, n), 4, seed=42)
     cvm = cross_validate(est, d, grid, fold_col=None, num_folds=3)
     return spark.createDataFrame([(i, float(x)) for i, x in enumerate(cvm.avgMetrics)], "candidate int, avg_f1 double")
+
+
+# ---------------------------------------------------------------------------
+# A: sources and sinks (files written to the shared folder, read back)
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("scan_json", "SELECT doc_id, lang, source, n_chars FROM documents")
+def q_scan_json(spark, sf_dir):
+    from ..sources.readers import scan_json
+    from ..sources.writers import write_json
+    p = _scratch(spark, "json")
+    write_json(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars"), p)
+    return scan_json(spark, p, "doc_id bigint, lang string, source string, n_chars bigint")
+
+
+@register("scan_json_columns", "SELECT event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS total FROM events GROUP BY event_type")
+def q_scan_json_columns(spark, sf_dir):
+    """Column-form JSON: one object of arrays per event type, zipped back."""
+    from ..sources.readers import scan_json_columns
+    p = _scratch(spark, "jsoncols")
+    ev = table(spark, sf_dir, "events")
+    (ev.groupBy("event_type").agg(F.collect_list("event_id").alias("event_id"), F.collect_list("value").alias("value"))
+       .select("event_id", "value", "event_type").write.json(p))
+    rows = scan_json_columns(spark, p, ["event_id", "value"], "event_id bigint, value double", multiline=False)
+    return (ev.select("event_id", "event_type").join(rows, "event_id")
+              .groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), r6(F.sum("value")).alias("total")))
+
+
+def _write_two_encodings(spark, sf_dir, p):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    d.where("lang IN ('de', 'fr')").write.option("header", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(p + "/latin1")
+    d.where("lang NOT IN ('de', 'fr')").write.option("header", True).option("escape", '"').csv(p + "/utf8")
+
+
+@register("scan_csv", "SELECT doc_id, lang, source FROM documents")
+def q_scan_csv(spark, sf_dir):
+    from ..sources.readers import scan_csv
+    p = _scratch(spark, "csv")
+    _write_two_encodings(spark, sf_dir, p)
+    d = scan_csv(spark, [p + "/latin1", p + "/utf8"], "doc_id bigint, lang string, source string, text string")
+    return d.select("doc_id", "lang", "source")
+
+
+@register("detect_encoding")
+def q_detect(spark, sf_dir):
+    from ..sources.readers import detect_encoding
+    p = _scratch(spark, "enc")
+    _write_two_encodings(spark, sf_dir, p)
+    return detect_encoding(spark, [p + "/latin1", p + "/utf8"]).groupBy("encoding").count()
+
+
+@register("write_json")
+def q_write_json(spark, sf_dir):
+    from ..sources.writers import write_json
+    p = _scratch(spark, "wjson")
+    write_json(_processed(spark, sf_dir).select("doc_id", "sentiment", "cleaned_text"), p)
+    return spark.read.json(p)
+
+
+@register("write_processed")
+def q_write_processed(spark, sf_dir):
+    from ..sources.writers import write_processed
+    p = _scratch(spark, "wproc")
+    write_processed(_processed(spark, sf_dir).select("doc_id", "sentiment", "cleaned_text", "text_length"), p, "csv")
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(p)
+
+
+@register("write_splits", f"WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)} "
+                          "SELECT split, CAST(count(*) AS BIGINT) AS n FROM assigned GROUP BY split")
+def q_write_splits(spark, sf_dir):
+    from ..operators.split import stratified_split
+    from ..sources.writers import write_splits
+    p = _scratch(spark, "wsplit")
+    write_splits(stratified_split(_split_input(spark, sf_dir)), p)
+    return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("write_features", _split_features_sql() + """
+SELECT split, CAST(count(*) AS BIGINT) AS n FROM anw JOIN sel ON anw.term_idx = sel.term_idx GROUP BY split""")
+def q_write_features(spark, sf_dir):
+    from ..operators.split import stratified_split
+    from ..sources.writers import write_features
+    from .prepare import features_for_splits
+    p = _scratch(spark, "wfeat")
+    feats, _ = features_for_splits(stratified_split(_processed(spark, sf_dir)))
+    write_features(feats, p)
+    return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sample_data")
+def q_sample(spark, sf_dir):
+    """Synthetic labelled rows, one per document id."""
+    from ..sources.readers import sample_data
+    return sample_data(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))).drop("created_at")
+
+
+@register("prep_summary")
+def q_prep_summary(spark, sf_dir):
+    """The whole flow (scan -> clean -> split -> features -> tracking) into the
+    shared folder; one row per stage."""
+    from .prepare import prepare
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id") \
+        .select("doc_id", F.col("text").alias("body"), F.col("quality").alias("y"))
+    return prepare(spark, d, _scratch(spark, "prep"), "documents", "body", "y", map_labels=True)
