@@ -180,7 +180,8 @@ def term_counts(sorted_terms, starts) -> Column:
     Counting inside each row means (doc, term) frequencies need no shuffle.
     """
     s, st = _col(sorted_terms), _col(starts)
-    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(F.size(s) + 1))
+    ends = F.slice(F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(F.size(s) + 1)),
+                   1, F.size(st))
     return F.zip_with(st, ends, lambda a, b: F.struct(F.element_at(s, a).alias("term"),
                                                        (b - a).cast("long").alias("tf")))
 
