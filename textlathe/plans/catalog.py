@@ -1079,3 +1079,45 @@ def q_prep_summary(spark, sf_dir):
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id") \
         .select("doc_id", F.col("text").alias("body"), F.col("quality").alias("y"))
     return prepare(spark, d, _scratch(spark, "prep"), "documents", "body", "y", map_labels=True)
+
+
+# ---------------------------------------------------------------------------
+# Streaming
+# ---------------------------------------------------------------------------
+
+@register("stream_clean_text", f"SELECT doc_id, cleaned AS cleaned_text, text_length FROM ("
+                               f"SELECT doc_id, {S.clean_text(S.lowercase('text'))} AS cleaned, "
+                               f"CAST(length({S.clean_text(S.lowercase('text'))}) AS INTEGER) AS text_length FROM documents "
+                               f"WHERE text IS NOT NULL AND NOT ({S.is_blank(S.lowercase('text'))})) WHERE length(cleaned) > 0")
+def q_stream_clean(spark, sf_dir):
+    """documents read as a file stream, cleaned with the same column
+    functions, written by an available-now trigger, read back."""
+    from ..streaming.featurize import clean_stream, document_stream, run_available
+    out, ck = _scratch(spark, "stream-out"), _scratch(spark, "stream-ck")
+    s = clean_stream(document_stream(spark, sf_dir)).select("doc_id", "cleaned_text", "text_length")
+    run_available(spark, s, out, ck)
+    return spark.read.parquet(out)
+
+
+@register("stream_features", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
+top AS (SELECT term_idx FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50),
+u AS (SELECT doc_id, cleaned FROM ({processed_sql(LANG_DOCS_SQL)})),
+utk AS (SELECT doc_id, {S.vectorizer_tokens('cleaned')} AS tk FROM u),
+ug AS (SELECT doc_id, unnest({S.ngrams_1_2('tk')}) AS term FROM utk),
+utf AS (SELECT doc_id, term, count(*) AS tf FROM ug GROUP BY doc_id, term),
+uw AS (SELECT utf.doc_id, v.term_idx, utf.tf * v.idf AS w FROM utf JOIN vocab v ON utf.term = v.term),
+unw AS (SELECT doc_id, term_idx, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS value FROM uw)
+SELECT unw.doc_id, CAST(count(*) AS BIGINT) AS n_features, round(sum(value), 6) AS total
+FROM unw JOIN top ON unw.term_idx = top.term_idx GROUP BY unw.doc_id""")
+def q_stream_features(spark, sf_dir):
+    """Extractor fitted on labelled documents; every document streamed
+    through it batch by batch (foreachBatch), features read back."""
+    from ..streaming.featurize import clean_stream, document_stream, featurize_batches
+    m = _fit(spark, sf_dir)
+    out, ck = _scratch(spark, "fstream-out"), _scratch(spark, "fstream-ck")
+    s = clean_stream(document_stream(spark, sf_dir)).select("doc_id", "cleaned_text")
+    q = (s.writeStream.foreachBatch(featurize_batches(m, "doc_id", out, ck))
+          .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    f = spark.read.parquet(out)
+    return f.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_features"), r6(F.sum("value")).alias("total"))
