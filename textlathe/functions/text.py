@@ -32,17 +32,20 @@ def lowercase(c) -> Column:
 # --- B5 helpers -------------------------------------------------------------
 def strip_unicode(c) -> Column:
     """Remove leading/trailing Unicode whitespace (``trim`` only drops 0x20)."""
-    return F.regexp_replace(_col(c), K.EDGE_WHITESPACE_PATTERN, "")
+    ws = r"[\s\x1C-\x1F]+"
+    return F.regexp_replace(_col(c), "(?U)^" + ws + "|" + ws + "$", "")
 
 
 def is_blank(c) -> Column:
-    return strip_unicode(c) == F.lit("")
+    """True when the string has no non-whitespace character (stops at the
+    first one, so it costs O(1) on ordinary text)."""
+    return ~_col(c).rlike(K.J_NON_WS_PATTERN)
 
 
 # --- B8 ---------------------------------------------------------------------
 def strip_special(c) -> Column:
     """Drop every character that is not an ASCII letter or whitespace."""
-    return F.regexp_replace(_col(c), K.NON_LETTER_PATTERN, "")
+    return F.regexp_replace(_col(c), K.J_NON_LETTER_PATTERN, "")
 
 
 def _contraction_pattern() -> str:
@@ -61,7 +64,7 @@ def tokenize(c) -> Column:
     this. Empty strings from leading whitespace are removed.
     """
     spaced = F.regexp_replace(_col(c), CONTRACTION_PATTERN, "$1 ")
-    return F.filter(F.split(spaced, K.WHITESPACE_RUN_PATTERN), lambda t: t != F.lit(""))
+    return F.filter(F.split(spaced, K.J_WHITESPACE_RUN_PATTERN), lambda t: t != F.lit(""))
 
 
 # --- B10 / B11 --------------------------------------------------------------

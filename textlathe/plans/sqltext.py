@@ -62,7 +62,7 @@ def clean_text(x: str, lemmas: bool = True) -> str:
 
 
 def is_blank(x: str) -> str:
-    return f"regexp_replace({x}, {q(K.EDGE_WHITESPACE_PATTERN)}, '', 'g') = ''"
+    return f"NOT regexp_matches({x}, {q(K.NON_WS_PATTERN)})"
 
 
 def vectorizer_tokens(x: str, stopwords=K.CLEANING_STOPWORDS) -> str:
