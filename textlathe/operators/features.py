@@ -321,6 +321,9 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     the shared checkpoint folder, so transforms read a small stored table.
     """
     from pyspark import StorageLevel
+    from ..session import ensure_checkpoint_dir
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
     keep = [id_col] + ([label_col] if label_col else [])
     # The per-document term arrays feed three jobs (class counts, vocabulary,
     # scores): persist them (memory, spilling to disk; lost blocks are

@@ -923,7 +923,26 @@ def q_train_gbt(spark, sf_dir):
     return _train_eval(spark, sf_dir, lambda n: gradient_boosting(50, 0.1, 3))
 
 
-@register("train_nb")
+@register("train_nb", _split_features_sql() + """,
+trf AS (SELECT anw.doc_id, sel.sel_idx, anw.value, a.sentiment FROM anw JOIN sel ON anw.term_idx = sel.term_idx
+        JOIN assigned a ON a.doc_id = anw.doc_id WHERE anw.split = 'train'),
+cls AS (SELECT sentiment, count(*) AS n_c FROM assigned WHERE split = 'train' GROUP BY sentiment),
+nsel AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM sel),
+fc AS (SELECT sentiment, sel_idx, sum(value) AS fc FROM trf GROUP BY sentiment, sel_idx),
+tot AS (SELECT cls.sentiment, coalesce(sum(fc.fc), 0) + 1.0 * (SELECT n FROM nsel) AS denom
+        FROM cls LEFT JOIN fc ON cls.sentiment = fc.sentiment GROUP BY cls.sentiment),
+nbp AS (SELECT cls.sentiment, ln(n_c / (SELECT sum(n_c) FROM cls)) AS lp, ln(1.0 / tot.denom) AS lu
+        FROM cls JOIN tot ON cls.sentiment = tot.sentiment),
+lik AS (SELECT fc.sentiment, fc.sel_idx, ln((fc.fc + 1.0) / tot.denom) AS lk FROM fc JOIN tot ON fc.sentiment = tot.sentiment),
+te AS (SELECT doc_id, sentiment AS label FROM assigned WHERE split = 'test'),
+tef AS (SELECT anw.doc_id, sel.sel_idx, anw.value FROM anw JOIN sel ON anw.term_idx = sel.term_idx WHERE anw.split = 'test'),
+xs AS (SELECT doc_id, sum(value) AS x FROM tef GROUP BY doc_id),
+seen AS (SELECT tef.doc_id, lik.sentiment, sum(tef.value * (lik.lk - nbp.lu)) AS sv FROM tef JOIN lik ON tef.sel_idx = lik.sel_idx
+         JOIN nbp ON nbp.sentiment = lik.sentiment GROUP BY tef.doc_id, lik.sentiment),
+sc AS (SELECT te.doc_id, te.label, nbp.sentiment AS c, nbp.lp + coalesce(xs.x, 0) * nbp.lu + coalesce(seen.sv, 0) AS score
+       FROM te CROSS JOIN nbp LEFT JOIN xs ON xs.doc_id = te.doc_id
+       LEFT JOIN seen ON seen.doc_id = te.doc_id AND seen.sentiment = nbp.sentiment)
+SELECT doc_id, label, arg_max(c, (score, -c)) AS prediction FROM sc GROUP BY doc_id, label""")
 def q_train_nb(spark, sf_dir):
     """Relational multinomial naive Bayes on the selected TF-IDF features:
     fit on train, (doc_id, label, prediction) on test."""
@@ -1026,20 +1045,21 @@ def q_detect(spark, sf_dir):
     return detect_encoding(spark, [p + "/latin1", p + "/utf8"]).groupBy("encoding").count()
 
 
-@register("write_json")
+@register("write_json", f"SELECT doc_id, sentiment, cleaned AS cleaned_text FROM ({processed_sql(LABELLED_DOCS_SQL)})")
 def q_write_json(spark, sf_dir):
     from ..sources.writers import write_json
     p = _scratch(spark, "wjson")
     write_json(_processed(spark, sf_dir).select("doc_id", "sentiment", "cleaned_text"), p)
-    return spark.read.json(p)
+    return spark.read.schema("doc_id bigint, sentiment int, cleaned_text string").json(p)
 
 
-@register("write_processed")
+@register("write_processed", f"SELECT doc_id, sentiment, cleaned AS cleaned_text, text_length FROM ({processed_sql(LABELLED_DOCS_SQL)})")
 def q_write_processed(spark, sf_dir):
     from ..sources.writers import write_processed
     p = _scratch(spark, "wproc")
     write_processed(_processed(spark, sf_dir).select("doc_id", "sentiment", "cleaned_text", "text_length"), p, "csv")
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(p)
+    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                 .schema("doc_id bigint, sentiment int, cleaned_text string, text_length int").csv(p))
 
 
 @register("write_splits", f"WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)} "
