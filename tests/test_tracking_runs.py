@@ -24,8 +24,9 @@ def test_experiment_numbering(spark):
     ]
     log = spark.createDataFrame([(d, s, t + dt.timedelta(seconds=s), a, v, p) for d, s, a, v, p in rows],
                                 tracking.LOG_SCHEMA)
-    ids = {r.seq: r.exp_id for r in tracking.experiment_ids(log).collect()}
-    assert ids == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1, 7: 2, 8: 2}
+    for plain in (True, False):  # per-dataset windows, and the skew-safe scan
+        ids = {r.seq: r.exp_id for r in tracking.experiment_ids(log, plain).collect()}
+        assert ids == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1, 7: 2, 8: 2}
     ix = {r.exp_id: r for r in tracking.experiment_index(log).collect()}
     assert ix[0].split_params == P0 and ix[0].train_split == "t1"
     assert ix[1].train_split == "t2" and ix[1].split_params == "not json"
@@ -35,7 +36,7 @@ def test_experiment_numbering(spark):
 def test_segmented_rank_with_hot_key(spark):
     rows = [("hot", i) for i in range(500)] + [("cold%d" % (i % 7), i) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, o long")
-    r = joins.segmented_rank(df, ["k"], [F.col("o")], "rk", num_partitions=9)
+    r = joins.segmented_rank(df, ["k"], [F.col("o")], "rk", num_partitions=9, plain=False)
     got = {(x.k, x.o): x.rk for x in r.collect()}
     exp = {}
     for k in {k for k, _ in rows}:
@@ -55,3 +56,15 @@ def test_compare_runs_missing_metric_and_equal_names(spark):
     assert c["other"].metric_value == 0.0
     assert runs.best_run(runs.compare_runs(df, "e")).first().run_name == "same"
     assert {r.run_id for r in runs.retain_last_runs(df, 1).collect()} == {"r1", "r3"}
+
+
+def test_segmented_running_matches_windows(spark):
+    from pyspark.sql import Window
+    rows = [("hot", i, i % 3 if i % 5 else None) for i in range(400)] + [("c%d" % (i % 4), i, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    out = joins.segmented_running(df, ["k"], [F.col("o")], sums={"s": F.coalesce("v", F.lit(0))},
+                                  lasts={"l": F.col("v")}, inclusive=False, num_partitions=7, plain=False)
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    exp = df.select("k", "o", F.coalesce(F.sum(F.coalesce("v", F.lit(0))).over(w), F.lit(0)).alias("s"),
+                    F.last("v", ignorenulls=True).over(w).alias("l"))
+    assert sorted(map(tuple, out.select("k", "o", "s", "l").collect())) == sorted(map(tuple, exp.collect()))

@@ -77,8 +77,21 @@ def global_index(df: DataFrame, order_cols: list, name: str = "idx",
               .drop("_pid", "_lrn", "_off")
 
 
+# Largest per-key group a plain ``Window.partitionBy(keys)`` may take on one
+# task; beyond it the range-partitioned scan is used.
+MAX_PLAIN_GROUP = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest ``keys`` group (one small aggregation)."""
+    if not keys:
+        return df.count()
+    r = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(r or 0)
+
+
 def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str = "rank",
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, plain: bool | None = None) -> DataFrame:
     """``row_number()`` within ``keys`` ordered by ``order_cols`` (1-based),
     safe when one key holds a large share of all rows.
 
@@ -87,7 +100,14 @@ def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str =
     partitions; each (partition, key) slice is numbered locally, and a small
     table of slice counts (at most partitions + keys rows) supplies the
     offsets. ``order_cols`` must make the order total inside a key.
+
+    ``plain``: force (True) or forbid (False) the one-shuffle window; by
+    default it is used when the largest group is at most ``MAX_PLAIN_GROUP``.
     """
+    if plain is None:
+        plain = bool(keys) and largest_group(df, keys) <= MAX_PLAIN_GROUP
+    if plain:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long"))
     spark = df.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = _ranged(df.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols))
@@ -103,7 +123,8 @@ def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str =
 
 def segmented_running(df: DataFrame, keys: list[str], order_cols: list,
                       sums: dict | None = None, lasts: dict | None = None,
-                      inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
+                      inclusive: bool = True, num_partitions: int | None = None,
+                      plain: bool | None = None) -> DataFrame:
     """Running sums and running "last non-null" values inside ``keys``
     ordered by ``order_cols`` (a total order), safe under key skew.
 
@@ -113,9 +134,17 @@ def segmented_running(df: DataFrame, keys: list[str], order_cols: list,
     Rows are range-partitioned on ``keys + order``; each (partition, key)
     slice is scanned with a local window; a small table of per-slice totals
     and last values (at most partitions + keys rows) gives each slice its
-    carry-in, joined back on (partition, key).
+    carry-in, joined back on (partition, key). ``plain`` as in
+    :func:`segmented_rank`.
     """
     sums, lasts = sums or {}, lasts or {}
+    if plain is None:
+        plain = bool(keys) and largest_group(df, keys) <= MAX_PLAIN_GROUP
+    if plain:
+        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
+            Window.unboundedPreceding, 0 if inclusive else -1)
+        return df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(n) for n, c in sums.items()],
+                         *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in lasts.items()])
     spark = df.sparkSession
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = df.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()],

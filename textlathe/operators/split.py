@@ -182,8 +182,13 @@ def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quota
 
 def stratified_split(df: DataFrame, label_col: str | None = "sentiment", id_col: str = "doc_id",
                      params: SplitParams = SplitParams(), stratify: bool = True) -> DataFrame:
-    """``df`` + ``split`` in {train, test, val}. ``df`` is read
-    twice (class counts, assignment): pass a stored or persisted table."""
+    """``df`` + ``split`` in {train, test, val}.
+
+    ``df`` is read for class counts, bucket counts and the assignment, so it
+    is persisted (memory, spilling to disk) unless it is already cached."""
+    from pyspark import StorageLevel
+    if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if stratify:
         counts = _class_counts(df, label_col)
         quotas = quotas_train_first(counts, params, True)

@@ -49,13 +49,19 @@ def append_artifacts(spark: SparkSession, log_path: str, dataset: str, entries,
     spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(log_path)
 
 
-def experiment_ids(log: DataFrame) -> DataFrame:
-    """``log`` + ``exp_id`` (0-based per dataset)."""
+def experiment_ids(log: DataFrame, plain: bool | None = None) -> DataFrame:
+    """``log`` + ``exp_id`` (0-based per dataset).
+
+    ``plain``: use per-dataset windows (None: when the largest dataset is
+    small enough for one task, checked once)."""
+    from .joins import MAX_PLAIN_GROUP, largest_group
+    if plain is None:
+        plain = largest_group(log, ["dataset"]) <= MAX_PLAIN_GROUP
     order = [F.col("ts"), F.col("seq")]
     is_sp = F.col("artifact_type") == "split_params"
     x = segmented_running(log, ["dataset"], order,
                           sums={"_g": F.when(is_sp, 1).otherwise(0)},
-                          lasts={"_v": F.when(is_sp, F.col("value"))}, inclusive=False)
+                          lasts={"_v": F.when(is_sp, F.col("value"))}, inclusive=False, plain=plain)
     x = x.withColumn("_g", F.coalesce("_g", F.lit(0)))
     rec = F.from_json("_v", PARAMS_SCHEMA)
     cur = F.from_json("params", PARAMS_SCHEMA)
@@ -65,16 +71,16 @@ def experiment_ids(log: DataFrame) -> DataFrame:
         differ = differ | ~rec[k].eqNullSafe(cur[k])
     d = F.col("_v").isNotNull() & (F.col("_v") != "") & (~valid | differ)
     x = x.withColumn("_d", d.cast("int"))
-    x = segmented_running(x, ["dataset", "_g"], order, sums={"_dbefore": F.col("_d")}, inclusive=False)
+    x = segmented_running(x, ["dataset", "_g"], order, sums={"_dbefore": F.col("_d")}, inclusive=False, plain=plain)
     x = x.withColumn("_start", ((F.col("_d") == 1) & (F.coalesce("_dbefore", F.lit(0)) == 0)).cast("int"))
-    x = segmented_running(x, ["dataset"], order, sums={"exp_id": F.col("_start")}, inclusive=True)
+    x = segmented_running(x, ["dataset"], order, sums={"exp_id": F.col("_start")}, inclusive=True, plain=plain)
     return x.drop("_g", "_v", "_d", "_dbefore", "_start").withColumn("exp_id", F.col("exp_id").cast("int"))
 
 
-def experiment_index(log: DataFrame) -> DataFrame:
+def experiment_index(log: DataFrame, plain: bool | None = None) -> DataFrame:
     """One row per (dataset, exp_id): created_at + the last value written
     to each slot (null when never written)."""
-    e = experiment_ids(log)
+    e = experiment_ids(log, plain)
     o = F.struct("ts", "seq")
     aggs = [F.min("ts").alias("created_at")]
     for s in SLOTS:

@@ -80,8 +80,11 @@ chi AS (SELECT term_idx, term, sum((o - p * F) * (o - p * F) / (p * F)) AS score
 # ---------------------------------------------------------------------------
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed labelled documents, persisted: most feature queries read
+    them for fitting and again for transforming."""
+    from pyspark import StorageLevel
     from ..operators.cleaning import process_data
-    return process_data(labelled_docs(spark, sf_dir), timestamp=False)
+    return process_data(labelled_docs(spark, sf_dir), timestamp=False).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @register("chi2_top_terms", f"""
