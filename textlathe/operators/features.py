@@ -97,7 +97,7 @@ def doc_terms(df: DataFrame, text_col: str, cfg: FeatureConfig, keep: list[str])
     """``keep`` columns + ``terms: array<struct<term, tf>>`` (distinct terms of
     the row with their counts). Pure projections: no shuffle."""
     g = grams(df.select(*keep, text_col), text_col, cfg).drop(text_col)
-    g = g.withColumn("_s", F.array_sort("grams")).drop("grams")
+    g = g.withColumn("_s", F.sort_array("grams")).drop("grams")  # native order, no comparator lambda
     g = g.withColumn("_st", T.run_starts("_s"))
     return g.select(*keep, T.term_counts("_s", "_st").alias("terms"))
 
