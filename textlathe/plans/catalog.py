@@ -599,7 +599,7 @@ def q_features_for_splits(spark, sf_dir):
     """Fit on the train split only; transform train, test and val."""
     from ..plans.prepare import features_for_splits
     from ..operators.split import stratified_split
-    splits = stratified_split(_processed(spark, sf_dir))
+    splits = stratified_split(_processed(spark, sf_dir)).persist()
     feats, _ = features_for_splits(splits)
     return feats.groupBy("split", "sel_idx").agg(F.count(F.lit(1)).alias("n_docs"), r6(F.sum("value")).alias("total"))
 
@@ -884,7 +884,7 @@ def _ml_data(spark, sf_dir):
     from ..operators.split import stratified_folds, stratified_split
     from ..plans.prepare import features_for_splits
     p = _processed(spark, sf_dir)
-    s = stratified_split(p)
+    s = stratified_split(p).persist()
     _, model = features_for_splits(s)
     v = feature_vectors(model, s, "doc_id")
     folds = stratified_folds(p.select("doc_id", "sentiment"), 5).select("doc_id", "fold")
@@ -952,7 +952,7 @@ def q_train_nb(spark, sf_dir):
     from ..operators.split import stratified_split
     from ..operators.training import naive_bayes_fit, naive_bayes_predict
     from ..plans.prepare import features_for_splits
-    s = stratified_split(_processed(spark, sf_dir))
+    s = stratified_split(_processed(spark, sf_dir)).persist()
     feats, model = features_for_splits(s)
     lab = s.select("doc_id", F.col("sentiment").alias("label"), "split")
     tr = feats.where("split = 'train'")
@@ -1082,7 +1082,7 @@ def q_write_features(spark, sf_dir):
     from ..sources.writers import write_features
     from .prepare import features_for_splits
     p = _scratch(spark, "wfeat")
-    feats, _ = features_for_splits(stratified_split(_processed(spark, sf_dir)))
+    feats, _ = features_for_splits(stratified_split(_processed(spark, sf_dir)).persist())
     write_features(feats, p)
     return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
