@@ -67,3 +67,11 @@ def test_folds_balanced(spark):
         sizes = [per.get((k, i), 0) for i in range(5)]
         assert max(sizes) - min(sizes) <= 1
     assert f.count() == 300
+
+
+def test_unstratified_when_no_label(spark):
+    df = spark.range(20).withColumnRenamed("id", "doc_id")
+    s = SP.split_data(df)
+    got = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
+    # 20 rows: 7 go to test+val (ceil(0.30000000000000004 * 20)), then ceil(1/3 * 7) = 3 to val
+    assert got == {"train": 13, "test": 4, "val": 3}

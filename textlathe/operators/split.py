@@ -255,3 +255,12 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "sentiment", id
     j = keyed.join(bounded_broadcast(bc, len(labels) * 16 ** BUCKET_HEX), [label_col, "_b"])
     pos = F.col("_base") + F.row_number().over(Window.partitionBy(label_col, "_b").orderBy("_h", id_col)) - 1
     return j.withColumn(out, F.pmod(pos, F.lit(k)).cast("int")).drop("_h", "_b", "_base")
+
+
+def split_data(df: DataFrame, label_col: str = "sentiment", id_col: str = "doc_id",
+               params: SplitParams = SplitParams()) -> DataFrame:
+    """Stratified on ``label_col`` when the column exists, otherwise
+    the unstratified split."""
+    if label_col in df.columns:
+        return stratified_split(df, label_col, id_col, params)
+    return stratified_split(df, None, id_col, params, stratify=False)

@@ -695,7 +695,11 @@ def _log(spark, sf_dir):
     return events_as_log(table(spark, sf_dir, "events"))
 
 
-@register("artifact_log")
+@register("artifact_log", """SELECT CAST(user_id AS VARCHAR) AS dataset, event_id AS seq, ts,
+  CASE WHEN event_type = 'signup' THEN 'split_params' ELSE event_type END AS artifact_type,
+  CASE WHEN event_type = 'signup' THEN pj ELSE 'event-' || CAST(event_id AS VARCHAR) END AS value, pj AS params
+FROM (SELECT *, '{"train_size": 0.7, "test_size": 0.2, "val_size": 0.1, "random_state": '
+      || CAST(CAST(floor(CAST(json_extract_string(props, '$.k') AS DOUBLE) / 50) AS BIGINT) AS VARCHAR) || '}' AS pj FROM events)""")
 def q_artifact_log(spark, sf_dir):
     """Append the derived log to a table in the shared folder and read it back."""
     import uuid
@@ -1094,7 +1098,13 @@ def q_sample(spark, sf_dir):
     return sample_data(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))).drop("created_at")
 
 
-@register("prep_summary")
+@register("prep_summary", f"""WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)}
+SELECT 'raw_rows' AS stage, CAST(count(*) AS BIGINT) AS value FROM ({LABELLED_DOCS_SQL})
+UNION ALL SELECT 'processed_rows', count(*) FROM src
+UNION ALL SELECT 'train_rows', count(*) FILTER (WHERE split = 'train') FROM assigned
+UNION ALL SELECT 'test_rows', count(*) FILTER (WHERE split = 'test') FROM assigned
+UNION ALL SELECT 'val_rows', count(*) FILTER (WHERE split = 'val') FROM assigned
+UNION ALL SELECT 'num_features', CAST(50 AS BIGINT)""")
 def q_prep_summary(spark, sf_dir):
     """The whole flow (scan -> clean -> split -> features -> tracking) into the
     shared folder; one row per stage."""

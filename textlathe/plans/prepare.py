@@ -84,3 +84,22 @@ def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
             ("train_rows", sizes.get("train", 0)), ("test_rows", sizes.get("test", 0)),
             ("val_rows", sizes.get("val", 0)), ("num_features", model.n_selected)]
     return spark.createDataFrame(rows, "stage string, value bigint")
+
+
+def load_and_validate(spark: SparkSession, path: str, fmt: str = "parquet", **checks) -> DataFrame:
+    """Read a processed table and run the quality checks (raises on a
+    failed error-level check)."""
+    from ..operators.quality import validate
+    df = spark.read.format(fmt).option("header", True).load(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    validate(df, **checks)
+    return df
+
+
+def load_process_save(spark: SparkSession, raw_path: str, out_path: str, text_column: str = "text",
+                      label_column: str = "sentiment", schema: str | None = None) -> DataFrame:
+    """Scan raw (CSV ladder or JSON), standardise, process, write; returns
+    the written table read back."""
+    from ..sources.readers import download_raw
+    raw = cleaning.standardize_columns(download_raw(spark, raw_path, schema), text_column, label_column)
+    cleaning.process_data(raw).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
