@@ -32,6 +32,7 @@ from .joins import bounded_broadcast
 
 MAX_CLASSES = 1_000_000
 BUCKET_HEX = 4  # 65,536 buckets per class
+SMALL_CLASSES = 64  # up to this many classes, cut points are inlined as literals
 
 
 @dataclass(frozen=True)
@@ -159,8 +160,17 @@ def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quota
     cuts = cuts.select(label_col, "_c1", "_c2",
                        F.col("_k1._b").alias("_b1"), F.col("_k1._start").alias("_s1"),
                        F.col("_k2._b").alias("_b2"), F.col("_k2._start").alias("_s2"))
-    # one row per class (bounded by the class count checked on the driver)
-    j = keyed.join(bounded_broadcast(cuts, len(quotas)), label_col)
+    if len(quotas) <= SMALL_CLASSES:
+        # few classes: read the cut table (one row per class) and look values
+        # up from literal maps, without a join
+        rows = cuts.collect()
+        j = keyed
+        for c in ("_c1", "_c2", "_b1", "_s1", "_b2", "_s2"):
+            m = F.create_map(*[x for r in rows for x in (F.lit(r[label_col]), F.lit(r[c]))])
+            j = j.withColumn(c, m[F.col(label_col)])
+    else:
+        # one row per class (bounded by the class count checked on the driver)
+        j = keyed.join(bounded_broadcast(cuts, len(quotas)), label_col)
     b, b1, b2 = F.col("_b"), F.col("_b1"), F.col("_b2")
     in1 = b1.isNotNull() & (b == b1)
     in2 = b2.isNotNull() & (b == b2)
