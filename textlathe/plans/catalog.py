@@ -768,7 +768,8 @@ RUNS_SQL = """SELECT event_type AS experiment, CAST(event_id AS VARCHAR) AS run_
   ts AS start_time, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS f1 FROM events"""
 
 
-@register("run_log")
+@register("run_log", """SELECT CAST(event_id AS VARCHAR) AS run_id, 'param' AS kind, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'metric', 'f1', CAST(value AS VARCHAR) FROM events WHERE event_type <> 'error'""")
 def q_run_log(spark, sf_dir):
     from ..operators.runs import run_log_long
     return run_log_long(_runs(spark, sf_dir))
