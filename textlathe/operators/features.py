@@ -353,7 +353,9 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
         if not label_col:
             raise ValueError("feature selection needs a label column")
         k = min(cfg.k, n_terms)
-        weights = tfidf_weights(dt, vocab, id_col, keep, n_terms)
+        # the weights feed several aggregates (MI reads them twice): keep them
+        weights = tfidf_weights(dt, vocab, id_col, keep, n_terms).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = [weights]
         if method == "chi2":
             sc = chi2_scores(weights, label_col, class_counts, n_docs)
         elif method == "mutual_info":
@@ -363,9 +365,13 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
         scored = vocab.join(sc, "term_idx", "left")
         if method == "mutual_info":
             scored = scored.withColumn("score", F.coalesce("score", F.lit(0.0)))
+        # read twice by the selection (top-k and join back); one row per term
+        scored = scored.persist()
+        cached.append(scored)
         table = select_k_best(scored, k)
         n_selected = k
     else:
+        cached = []
         table = table.withColumn("score", F.lit(None).cast("double")) \
                      .withColumn("selected", F.lit(True)) \
                      .withColumn("sel_idx", F.col("term_idx"))
@@ -376,6 +382,8 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
         table = table.persist()
         table.count()
     dt.unpersist()
+    for c in cached:
+        c.unpersist()
     return FeatureModel(table, cfg, n_docs, int(n_terms), int(n_selected), text_col,
                         {"class_counts": class_counts})
 
