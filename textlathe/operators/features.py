@@ -180,7 +180,7 @@ def chi2_scores(weights: DataFrame, label_col: str, class_counts: dict, n_docs:
     expected value, summed without a terms x classes grid."""
     priors = class_priors(weights.sparkSession, label_col, class_counts, n_docs)
     obs = (weights.groupBy("term_idx", label_col).agg(F.sum("value").alias("o"))
-                  .join(F.broadcast(priors), label_col))
+                  .join(bounded_broadcast(priors, len(class_counts)), label_col))
     tot = Window.partitionBy("term_idx")
     obs = obs.withColumn("F", F.sum("o").over(tot))
     obs = obs.withColumn("e", F.col("p") * F.col("F"))
@@ -214,7 +214,7 @@ def mutual_info_scores(weights: DataFrame, label_col: str, class_counts: dict, n
     priors = class_priors(weights.sparkSession, label_col, class_counts, n_docs)
     cells = (weights.withColumn("v", F.round("value", 9))
                     .groupBy("term_idx", "v", label_col).agg(F.count(F.lit(1)).alias("n_vy")))
-    cells = cells.join(F.broadcast(priors), label_col)
+    cells = cells.join(bounded_broadcast(priors, len(class_counts)), label_col)
     cells = cells.withColumn("n_v", F.sum("n_vy").over(Window.partitionBy("term_idx", "v")))
     nonzero = cells.groupBy("term_idx").agg(
         F.sum(F.col("n_vy") / N * F.log(F.lit(N) * F.col("n_vy") / (F.col("n_v") * F.col("n_y"))))

@@ -46,7 +46,8 @@ def label_distribution(df: DataFrame, mapping: DataFrame, label_col: str = "sent
     ``Unknown_<n>`` for indices with no label in the mapping."""
     counts = df.groupBy(F.col(label_col).alias("label_idx")).agg(F.count(F.lit(1)).alias("n"))
     names = mapping.select("label_idx", F.col("label").cast("string").alias("label_name"))
-    return (counts.join(F.broadcast(names), "label_idx", "left")
+    n = names.limit(MAX_PLAIN_CLASSES + 1).count()
+    return (counts.join(bounded_broadcast(names, n if n <= MAX_PLAIN_CLASSES else None), "label_idx", "left")
                   .select("label_idx",
                           F.coalesce("label_name", F.concat(F.lit("Unknown_"), F.col("label_idx").cast("string"))).alias("label_name"),
                           "n"))

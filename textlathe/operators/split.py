@@ -147,7 +147,7 @@ def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quota
     ltype = df.schema[label_col].dataType.simpleString()
     q = spark.createDataFrame([(k, int(a), int(a) + int(b)) for k, (a, b, _) in quotas.items()],
                               f"{label_col} {ltype}, _c1 long, _c2 long")
-    bc = bc.join(F.broadcast(q), label_col)
+    bc = bc.join(bounded_broadcast(q, len(quotas)), label_col)  # one row per class
     # Per class: B1 = first bucket holding a rank > c1, B2 = first bucket
     # holding a rank > c2. Buckets before B1 are all names[0]; between B1 and
     # B2 all names[1]; after B2 all names[2]; B1 and B2 themselves are ranked.
@@ -260,7 +260,7 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "sentiment", id
                .withColumn("_b", F.substring("_h", 1, BUCKET_HEX)))
     bc = keyed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bc = bc.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).join(F.broadcast(o), label_col) \
+    bc = bc.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).join(bounded_broadcast(o, len(labels)), label_col) \
            .select(label_col, "_b", (F.col("_start") + F.col("_off")).alias("_base"))
     j = keyed.join(bounded_broadcast(bc, len(labels) * 16 ** BUCKET_HEX), [label_col, "_b"])
     pos = F.col("_base") + F.row_number().over(Window.partitionBy(label_col, "_b").orderBy("_h", id_col)) - 1
