@@ -22,8 +22,7 @@ re-normalisation after selection.
 from __future__ import annotations
 
 import json
-import math
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,9 +31,6 @@ from ..functions import constants as K
 from ..functions import text as T
 from .joins import bounded_broadcast, global_index
 
-MAX_SELECT_PLAIN = 100_000  # k above this uses a distributed index
-
-
 @dataclass(frozen=True)
 class FeatureConfig:
     max_features: int | None = 1000

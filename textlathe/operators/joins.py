@@ -28,19 +28,6 @@ def bounded_broadcast(df: DataFrame, bound: int | None,
     return df
 
 
-def counted_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int | None]:
-    """Persist a (normally small) aggregate and count it, without pulling more
-    than ``max_rows + 1`` rows' worth of work to a decision.
-
-    Returns ``(df_for_join, count_or_None)``; ``None`` means "above the bound".
-    """
-    df = df.persist()
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        return df, None
-    return F.broadcast(df), n
-
-
 def _ranged(rp: DataFrame) -> DataFrame:
     """Tag rows with their range partition and persist the result.
 
