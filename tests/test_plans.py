@@ -20,3 +20,33 @@ def test_no_cartesian_plans(spark):
             bad.append(name)
         df.limit(1).collect()
     assert bad == []
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scale_shapes_of_split_and_transform(spark):
+    """The split and the feature transform never gather the data into one
+    partition; the bounded vocabulary is broadcast; the scan reads only the
+    needed columns."""
+    from dataclasses import replace
+
+    from textlathe.operators import features as FX
+    from textlathe.operators.split import stratified_split
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang")
+    from textlathe.functions import text as T
+    d = docs.select("doc_id", F_col("lang").alias("sentiment"), T.clean_text("text").alias("cleaned_text"))
+    s = stratified_split(d)
+    assert "SinglePartition" not in _plan(s)
+    m = FX.fit(d, cfg=replace(FX.LIVE_CONFIG, chi2_k=20))
+    t = m.transform(d, "doc_id")
+    p = _plan(t)
+    assert "SinglePartition" not in p
+    assert "BroadcastHashJoin" in p
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in p or "ReadSchema: struct<doc_id:bigint,text:string>" in p
+
+
+def F_col(name):
+    from pyspark.sql import functions as F
+    return F.col(name)
