@@ -33,7 +33,7 @@ def test_vocabulary_has_no_test_only_term(spark):
     df = spark.createDataFrame([(i, f"common word{i} shared group{i % 3}", i % 2) for i in range(40)],
                                "doc_id long, cleaned_text string, sentiment int")
     s = SP.stratified_split(df)
-    feats, m = features_for_splits(s)
+    feats, m = features_for_splits(s, cfg=replace(FX.LIVE_CONFIG, use_chi2=False))
     train_docs = {r.doc_id for r in s.where("split = 'train'").collect()}
     vocab = {r.term for r in m.table.collect()}
     only_elsewhere = {f"word{i}" for i in range(40) if i not in train_docs}
