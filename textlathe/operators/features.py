@@ -154,16 +154,13 @@ def tfidf_weights(dt: DataFrame, vocab: DataFrame, id_col: str, keep: list[str],
     """Long TF-IDF table ``keep + (term, term_idx, value)``, L2-normalised per
     document over the whole vocabulary.
 
-    One shuffle by document (to sum squares); the vocabulary side is
-    broadcast when bounded."""
+    One shuffle by document (a window sums the squares; sort-based, spills);
+    the vocabulary side is broadcast when bounded."""
     v = bounded_broadcast(vocab.select("term", "term_idx", "idf"), vocab_bound)
     ex = exploded_terms(dt, keep).join(v, "term")
     ex = ex.withColumn("w", F.col("tf") * F.col("idf"))
-    per_doc = ex.groupBy(*keep).agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
-        F.collect_list(F.struct("term", "term_idx", "w")).alias("_cells"))
-    return (per_doc.select(*keep, "_norm", F.inline("_cells"))
-                   .select(*keep, "term", "term_idx", (F.col("w") / F.col("_norm")).alias("value")))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return ex.select(*keep, "term", "term_idx", (F.col("w") / norm).alias("value"))
 
 
 # ---------------------------------------------------------------------------
