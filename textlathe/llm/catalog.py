@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textlathe.llm import queries_a
+from textlathe.llm import queries_a, queries_b
 
-QUERIES = {**queries_a.QUERIES}
-ORACLE = {**queries_a.ORACLE}
+QUERIES = {**queries_a.QUERIES, **queries_b.QUERIES}
+ORACLE = {**queries_a.ORACLE, **queries_b.ORACLE}
