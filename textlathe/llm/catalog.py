@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textlathe.llm import queries_a, queries_b
+from textlathe.llm import queries_a, queries_b, queries_c
 
-QUERIES = {**queries_a.QUERIES, **queries_b.QUERIES}
-ORACLE = {**queries_a.ORACLE, **queries_b.ORACLE}
+QUERIES = {**queries_a.QUERIES, **queries_b.QUERIES, **queries_c.QUERIES}
+ORACLE = {**queries_a.ORACLE, **queries_b.ORACLE, **queries_c.ORACLE}
