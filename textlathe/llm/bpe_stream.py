@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # FIXED VALUES: the characters with the Unicode White_Space property.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(
+    map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 SPLIT_WHITE = re.compile(f"[{WHITE}]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # str.split() takes these for white space, Unicode does not
 
@@ -53,6 +54,25 @@ def byte_characters() -> list[str]:
     return out
 
 
+class Remembered:
+    """A dictionary of bounded size: when the young half is full it becomes the
+    old half, and what is still asked for moves back to the young one."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = max(1, most // 2), {}, {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self[key] = got
+        return got
+
+    def __setitem__(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class MergeList:
     """Vocabulary and ranked merges of one tokenizer file, with the sufficient
     lookahead in symbols."""
@@ -174,8 +194,7 @@ class StreamEncoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces, self.words = Remembered(CACHED), Remembered(CACHED)
 
     def ids(self, tokens: list[str]) -> bytes:
         vocab = self.vocab
@@ -189,8 +208,6 @@ class StreamEncoder:
             s = [symbols[b] for b in piece.encode("utf-8")]
             s[-1] += self.merges.suffix
             got = self.ids(self.merges.merge(s))
-            if len(self.pieces) >= CACHED:
-                self.pieces.clear()
             self.pieces[piece] = got
         return got
 
@@ -237,10 +254,7 @@ class StreamEncoder:
             for w in split(text[at:end]):
                 got = words.get(w)
                 if got is None:
-                    got = self._word(w)
-                    if len(words) >= CACHED:
-                        words.clear()
-                    words[w] = got
+                    got = words[w] = self._word(w)
                 out.append(got)
             yield b"".join(out)
             at = end
@@ -304,7 +318,7 @@ def starts_anew(c: str) -> bool:
     """Text may be cut before ``c`` without changing its NFC form: ``c`` is no
     mark and no Hangul vowel or tail that composes with what precedes it."""
     return unicodedata.category(c)[0] in "LNPSZ" and not unicodedata.combining(c) \
-        and not ("ᅠ" <= c <= "ᇿ" or "ힰ" <= c <= "퟿")
+        and not (0x1160 <= ord(c) <= 0x11FF or 0xD7B0 <= ord(c) <= 0xD7FF)
 
 
 class StreamDecoder:
