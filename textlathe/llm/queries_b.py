@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textlathe.llm import simhash
+from textlathe.llm import embed_dedup, simhash
 from textlathe.llm.common import table
 
 
@@ -14,5 +14,10 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, words=3, distance=2).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op7_simhash_groups": op7_simhash_groups}
+def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's direct links within its label and its component."""
+    return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+QUERIES = {"op10_embedding_groups": op10_embedding_groups, "op7_simhash_groups": op7_simhash_groups}
 ORACLE: dict[str, str] = {}
