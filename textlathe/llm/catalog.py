@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from textlathe.llm import queries_a, queries_b, queries_c
+from textlathe.llm import queries_a, queries_b, queries_c, queries_d
 
-QUERIES = {**queries_a.QUERIES, **queries_b.QUERIES, **queries_c.QUERIES}
-ORACLE = {**queries_a.ORACLE, **queries_b.ORACLE, **queries_c.ORACLE}
+_PARTS = (queries_a, queries_b, queries_c, queries_d)
+
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
