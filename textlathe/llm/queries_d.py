@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textlathe.llm import quality
+from textlathe.llm import lm, quality
 from textlathe.llm.common import table
 
 QUALITY_THRESHOLD = 0.7
@@ -22,5 +22,13 @@ def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op1_quality_neighbours": op1_quality_neighbours}
+def op8_log_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model learnt from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = quality.held_out("doc_id", parts=5, part=1)
+    return lm.fit_and_score(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {"op8_log_bloom_lm": op8_log_bloom_lm, "op1_quality_neighbours": op1_quality_neighbours}
 ORACLE: dict[str, str] = {}
