@@ -232,6 +232,6 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", *, words
     """The rows of ``df`` with exactly one left of each component: the one with
     the smallest key (ties: the smallest md5 of key and text)."""
     groups = near_duplicates(df, key, text, words=words, distance=distance)
-    heads = groups.where("representative").select("row_id").distinct()
-    return (df.withColumn("row_id", row_digest(key, text)).join(heads, "row_id", "left_semi")
-            .dropDuplicates(["row_id"]).drop("row_id"))
+    heads = groups.where("representative").select(F.col("row_id").alias("_simhash_row")).distinct()
+    return (df.withColumn("_simhash_row", row_digest(key, text)).join(heads, "_simhash_row", "left_semi")
+            .dropDuplicates(["_simhash_row"]).drop("_simhash_row"))
