@@ -102,13 +102,12 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
-def latent_model(counts: np.ndarray, labels: np.ndarray, idf: np.ndarray, dims: int, neighbours: int,
-                 sharpness: float) -> Model:
-    """Truncated SVD of the labelled sample's weighted term matrix, through the
-    smaller Gram matrix."""
-    terms = np.flatnonzero(counts.any(axis=0))
+def latent_model(terms: np.ndarray, counts: np.ndarray, labels: np.ndarray, idf: np.ndarray, dims: int,
+                 neighbours: int, sharpness: float) -> Model:
+    """Truncated SVD of the labelled sample's weighted counts (one column for
+    each of ``terms``), through the smaller Gram matrix."""
     scale = idf[terms].astype(np.float32)
-    x = np.sqrt(counts[:, terms]).astype(np.float32) * scale
+    x = np.sqrt(counts).astype(np.float32) * scale
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     value, u = np.linalg.eigh((x @ x.T).astype(np.float64))
     order = np.argsort(value)[::-1][:dims]
@@ -171,12 +170,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
               .toPandas())
     if not len(chosen):
         return None
-    counts = np.zeros((len(chosen), TERMS), dtype=np.float32)
+    terms = np.unique(np.concatenate(chosen["terms"].tolist()))
+    counts = np.zeros((len(chosen), len(terms)), dtype=np.float32)
     for i, (at, c) in enumerate(zip(chosen["terms"], chosen["counts"])):
-        counts[i, at] = c
+        counts[i, np.searchsorted(terms, at)] = c
     order = np.lexsort((chosen["label"].to_numpy(), counts.sum(1)))  # the same rows in any arrival order
-    return latent_model(counts[order], chosen["label"].to_numpy()[order], document_frequencies(docs, text), dims,
-                        neighbours, sharpness)
+    return latent_model(terms, counts[order], chosen["label"].to_numpy()[order], document_frequencies(docs, text),
+                        dims, neighbours, sharpness)
 
 
 def score(docs: DataFrame, model: Model | None, *, text: str = "text", threshold: float = 0.7) -> DataFrame:
