@@ -55,22 +55,24 @@ def byte_characters() -> list[str]:
 
 
 class Remembered:
-    """A dictionary of bounded size: when the young half is full it becomes the
-    old half, and what is still asked for moves back to the young one."""
+    """A dictionary of bounded size. What comes first, mostly what is frequent,
+    stays in ``main``; when that is full, the rest passes through ``late``,
+    which is emptied whenever it holds an eighth as much."""
 
     def __init__(self, most: int):
-        self.half, self.young, self.old = max(1, most // 2), {}, {}
+        self.most, self.main, self.late = most, {}, {}
 
     def get(self, key):
-        got = self.young.get(key)
-        if got is None and (got := self.old.get(key)) is not None:
-            self[key] = got
-        return got
+        got = self.main.get(key)
+        return got if got is not None else self.late.get(key)
 
     def __setitem__(self, key, value) -> None:
-        if len(self.young) >= self.half:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+        if len(self.main) < self.most:
+            self.main[key] = value
+        else:
+            if len(self.late) > self.most // 8:
+                self.late.clear()
+            self.late[key] = value
 
 
 class MergeList:
@@ -237,6 +239,7 @@ class StreamEncoder:
         """Ids (native int32) of the text in stable order, chunk by chunk."""
         words, at, n = self.words, 0, len(text)
         split = SPLIT_WHITE.split if ODD_SPACE.search(text) else str.split
+        known = words.main.get
         while at < n:
             end = min(at + CHUNK, n)
             if end < n:  # cut behind the last white space, if there is one
@@ -250,12 +253,14 @@ class StreamEncoder:
                     at = stop
                     continue
                 end = last.end()
-            out = []
-            for w in split(text[at:end]):
-                got = words.get(w)
-                if got is None:
-                    got = words[w] = self._word(w)
-                out.append(got)
+            parts = split(text[at:end])
+            out = list(map(known, parts))
+            if None in out:
+                for i in [i for i, got in enumerate(out) if got is None]:
+                    got = words.get(parts[i])
+                    if got is None:
+                        got = words[parts[i]] = self._word(parts[i])
+                    out[i] = got
             yield b"".join(out)
             at = end
 

@@ -17,6 +17,7 @@ A reader opens the end of the file, and decompresses only the frames it needs.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from array import array
@@ -43,7 +44,10 @@ INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E,
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NULL_KEY = 0xFFFFFFFF
 FRAME_IDS = 1 << 16  # a frame is closed at this many ids; a longer document has a frame of its own
-CACHED = 1 << 19     # words whose ids a worker remembers
+CACHED = 600_000     # words whose ids a worker remembers
+
+
+_RUNS = ["  ", *(c + " " for c in WHITE if c != " "), *(" " + c for c in WHITE if c != " ")]
 
 
 class LibraryEncoder:
@@ -51,47 +55,73 @@ class LibraryEncoder:
     encoded once while it is remembered.
 
     A byte-level pre-tokeniser never joins a character and the white space
-    behind it, so a text is cut there; each part (white space, then other
-    characters) is looked up, split by the vocabulary's own word pattern, and
-    its words are encoded by the library.
+    behind it, so a text is cut there into parts (white space, then other
+    characters); parts that are not remembered are cut into the vocabulary's
+    words, and the library encodes those that are not remembered either.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.parts = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
+        self.split = regex.compile(BYTE_LEVEL.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]")
+                                   .replace(r"\s", f"[{WHITE}]")).findall
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        white = WHITE
-        self.parts = regex.compile(f"[{white}]*[^{white}]+|[{white}]+").findall
-        inner = BYTE_LEVEL.replace(r"[^\s", f"[^{white}").replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]")
-        self.split = regex.compile(inner).findall
-        self.words, self.pieces = Remembered(CACHED), Remembered(CACHED)
+        self.words, self.spaced, self.pieces = (Remembered(CACHED // 8), Remembered(CACHED), Remembered(CACHED))
         self.size = self.library.get_vocab_size()
 
-    def _ids(self, text: str) -> bytes:
-        return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _part(self, part: str) -> bytes:
+    def _words(self, part: str) -> list[str]:
+        """The part cut into the vocabulary's words. Letters behind at most one
+        space are a word, and so is one ASCII mark behind them; anything else
+        is left to the vocabulary's pattern."""
+        body = part[1:] if part[:1] == " " else part
+        if body.isalpha():
+            return [part]
+        if body[-1:] in ",.;:!?" and body[:-1].isalpha():
+            return [part[:-1], part[-1]]
         if len(part) > 256 or any(s in part for s in self.special):
-            return self._ids(part)
-        out = []
-        for piece in self.split(part):
-            got = self.pieces.get(piece)
-            if got is None:
-                got = self.pieces[piece] = self._ids(piece)
-            out.append(got)
-        return b"".join(out)
+            return [part]
+        return self.split(part)
+
+    def _fill(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that are not remembered: the library encodes all their
+        unknown words in one call."""
+        split = [self._words(p) for p in parts]
+        known = {w: self.pieces.get(w) for words in split for w in words}
+        unknown = [w for w, ids in known.items() if ids is None]
+        for w, e in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False)):
+            known[w] = ids = array("i", e.ids).tobytes()
+            if len(w) <= 256:
+                self.pieces[w] = ids
+        return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in split]
+
+    def _all(self, parts: list[str], table: Remembered, lead: str) -> list[bytes]:
+        """Ids of ``lead + part`` for each part."""
+        found = list(map(table.main.get, parts))
+        if None in found:
+            gaps = [i for i, ids in enumerate(found) if ids is None]
+            late = table.late.get
+            missing = {p: late(p) for p in [parts[i] for i in gaps]}
+            unknown = [p for p, ids in missing.items() if ids is None]
+            if unknown:
+                for p, ids in zip(unknown, self._fill([lead + p for p in unknown])):
+                    missing[p] = ids
+                    if len(p) <= 256:
+                        table[p] = ids
+            for i in gaps:
+                found[i] = missing[parts[i]]
+        return found
 
     def encode(self, text: str) -> np.ndarray:
-        words, out = self.words, []
-        for w in self.parts(text):
-            got = words.get(w)
-            if got is None:
-                got = self._part(w)
-                if len(w) <= 256:
-                    words[w] = got
-            out.append(got)
+        if any(map(text.__contains__, _RUNS)):
+            out = self._all(self.parts(text), self.words, "")
+        else:  # every space stands alone, so the text may be cut before each
+            first, *rest = text.split(" ")
+            out = self._all([first], self.words, "") if first else []
+            out += self._all(rest, self.spaced, " ")
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
 
