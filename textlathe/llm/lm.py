@@ -11,6 +11,7 @@ holds one at a time, so the model may grow with the corpus.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from textlathe.llm.common import written
 
 START, END = b" start", b" end"  # cannot be words: they hold a space
-CHUNK = 1 << 21                  # tokens counted or scored together
+CHUNK = 1 << 20                  # tokens counted or scored together
 SLICE_BYTES = 6 << 20            # text bytes for each hash range: about a million tokens
 SEGMENT_BYTES = 16 << 20         # bytes of one broadcast
 BASE = 1.5                       # quantisation: level q holds counts from BASE^(q-1)
@@ -102,16 +103,16 @@ class Tokens:
     @classmethod
     def of(cls, texts: list[bytes]) -> Tokens:
         index: dict[bytes, int] = {START: 0, END: 1}
-        place: list[int] = []
+        place = array("i")
         starts = []
         for t in texts:
             starts.append(len(place))
             place.append(0)
-            place += [index.setdefault(w, len(index)) for w in t.lower().split()]
+            place.extend([index.setdefault(w, len(index)) for w in t.lower().split()])
             place.append(1)
         digest = xxhash.xxh64_intdigest
         words = np.array([digest(w) for w in index], dtype=np.uint64)
-        return cls(words, np.array(place, dtype=np.int64), np.array(starts, dtype=np.int64))
+        return cls(words, np.frombuffer(place, dtype=np.int32), np.array(starts, dtype=np.int64))
 
     def pairs(self) -> np.ndarray:
         """Key of the pair that ends at each token but the starts."""
