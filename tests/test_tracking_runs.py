@@ -24,8 +24,8 @@ def test_experiment_numbering(spark):
     ]
     log = spark.createDataFrame([(d, s, t + dt.timedelta(seconds=s), a, v, p) for d, s, a, v, p in rows],
                                 tracking.LOG_SCHEMA)
-    for plain in (True, False):  # per-dataset windows, and the skew-safe scan
-        ids = {r.seq: r.exp_id for r in tracking.experiment_ids(log, plain).collect()}
+    for parts in (1, 3, 200):
+        ids = {r.seq: r.exp_id for r in tracking.experiment_ids(log, parts).collect()}
         assert ids == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1, 7: 2, 8: 2}
     ix = {r.exp_id: r for r in tracking.experiment_index(log).collect()}
     assert ix[0].split_params == P0 and ix[0].train_split == "t1"
@@ -36,7 +36,7 @@ def test_experiment_numbering(spark):
 def test_segmented_rank_with_hot_key(spark):
     rows = [("hot", i) for i in range(500)] + [("cold%d" % (i % 7), i) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, o long")
-    r = joins.segmented_rank(df, ["k"], [F.col("o")], "rk", num_partitions=9, plain=False)
+    r = joins.segmented_rank(df, ["k"], [F.col("o")], "rk", num_partitions=9)
     got = {(x.k, x.o): x.rk for x in r.collect()}
     exp = {}
     for k in {k for k, _ in rows}:
@@ -63,8 +63,48 @@ def test_segmented_running_matches_windows(spark):
     rows = [("hot", i, i % 3 if i % 5 else None) for i in range(400)] + [("c%d" % (i % 4), i, i) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, o long, v long")
     out = joins.segmented_running(df, ["k"], [F.col("o")], sums={"s": F.coalesce("v", F.lit(0))},
-                                  lasts={"l": F.col("v")}, inclusive=False, num_partitions=7, plain=False)
+                                  lasts={"l": F.col("v")}, inclusive=False, num_partitions=7)
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.select("k", "o", F.coalesce(F.sum(F.coalesce("v", F.lit(0))).over(w), F.lit(0)).alias("s"),
                     F.last("v", ignorenulls=True).over(w).alias("l"))
     assert sorted(map(tuple, out.select("k", "o", "s", "l").collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_null_keys_keep_every_row(spark):
+    rows = [(None, i) for i in range(30)] + [("a", i) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    for parts in (1, 200):
+        ranked = joins.segmented_rank(df, ["k"], [F.col("o")], "rk", num_partitions=parts)
+        assert sorted((r.k or "", r.o, r.rk) for r in ranked.collect()) == sorted((k or "", o, o + 1) for k, o in rows)
+        run = joins.segmented_running(df, ["k"], [F.col("o")], sums={"s": F.col("o")}, num_partitions=parts)
+        assert sorted((r.k or "", r.o, r.s) for r in run.collect()) == sorted((k or "", o, o * (o + 1) // 2) for k, o in rows)
+
+
+def test_null_split_params_clear_the_record(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", 1, "split_params", P0, P0), ("a", 2, "split_params", None, P0), ("a", 3, "train_split", "t", P1),
+            (None, 1, "split_params", P0, P0), (None, 2, "train_split", "t", P1)]
+    log = spark.createDataFrame([(d, s, t + dt.timedelta(seconds=s), a, v, p) for d, s, a, v, p in rows],
+                                tracking.LOG_SCHEMA)
+    for parts in (1, 200):
+        got = {(r.dataset, r.seq): r.exp_id for r in tracking.experiment_ids(log, parts).collect()}
+        assert got == {("a", 1): 0, ("a", 2): 0, ("a", 3): 0, (None, 1): 0, (None, 2): 1}
+
+
+def test_rankings_over_all_rows_never_use_one_task(spark):
+    df = spark.createDataFrame([("e", f"r{i}", f"n{i}", dt.datetime(2024, 1, 1), {"a": "1"}, {"f1": i / 9.0})
+                                for i in range(9)], runs.RUN_SCHEMA)
+    compared = runs.compare_runs(df, "e")
+    assert [r.run_id for r in compared.orderBy("rank").collect()] == [f"r{i}" for i in reversed(range(9))]
+    assert compared.first().params == {"a": "1"}
+    assert [r.experiment_id for r in runs.experiments(df).collect()] == [0]
+
+
+def test_document_stream_reads_part_files_and_single_files(spark, tmpdir_path):
+    from textlathe.streaming import featurize
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(3).write.parquet(f"{tmpdir_path}/many/documents.parquet")
+    for k, folder in enumerate((f"{tmpdir_path}/many", "/root/testdata/sf0.001")):
+        out = f"{tmpdir_path}/out{k}"
+        featurize.run_available(spark, featurize.document_stream(spark, folder), out, f"{tmpdir_path}/ck{k}")
+        assert spark.read.parquet(out).count() == docs.count()

@@ -9,10 +9,13 @@ partitions).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Upper bound on rows for an explicit broadcast hint. A vocabulary or label
 # table of this many short rows stays well under the default 8 GB broadcast
 # limit and the executors' memory.
@@ -28,15 +31,27 @@ def bounded_broadcast(df: DataFrame, bound: int | None,
     return df
 
 
-def _ranged(rp: DataFrame) -> DataFrame:
-    """Tag rows with their range partition and persist the result.
+def range_tag(df: DataFrame, keys: list[str], order_cols: list, num_partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on ``keys + order_cols``, with the number of
+    the range in ``_pid``, checkpointed.
+
+    The bounds come from sampling; every branch that reads the result must see
+    one assignment, also after an executor is lost, so it is kept in the shared
+    checkpoint folder instead of being computed again.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols)
+    return ranged.withColumn("_pid", F.spark_partition_id()).checkpoint()
+
 
-    The range bounds come from sampling the input; two branches that each
-    plan their own range exchange (e.g. after different column pruning) could
-    sample different bounds. Persisting the tagged rows makes both branches
-    read one assignment; lost blocks are rebuilt through the same shuffle
-    dependency (same bounds)."""
-    return rp.withColumn("_pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null; keeps the left keys."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                           *[F.col(c) for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def global_index(df: DataFrame, order_cols: list, name: str = "idx",
@@ -48,37 +63,22 @@ def global_index(df: DataFrame, order_cols: list, name: str = "idx",
     rows locally, and a small table of per-partition counts gives the offsets.
     ``order_cols`` must define a total order (add a unique tie-breaker).
     """
-    spark = df.sparkSession
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _ranged(df.repartitionByRange(p, *order_cols))
+    ranged = range_tag(df, [], order_cols, num_partitions)
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per range partition, not per data row
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    # offsets has one row per partition: its size is bounded by ``p``.
-    out = local.join(bounded_broadcast(offsets, p), "_pid")
+    out = local.join(offsets, "_pid")
     return out.withColumn(name, (F.col("_off") + F.col("_lrn") - 1 + base).cast("long")) \
               .drop("_pid", "_lrn", "_off")
 
 
-# Largest per-key group a plain ``Window.partitionBy(keys)`` may take on one
-# task; beyond it the range-partitioned scan is used.
-MAX_PLAIN_GROUP = 2_000_000
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the largest ``keys`` group (one small aggregation)."""
-    if not keys:
-        return df.count()
-    r = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(r or 0)
-
-
 def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str = "rank",
-                   num_partitions: int | None = None, plain: bool | None = None) -> DataFrame:
+                   num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` within ``keys`` ordered by ``order_cols`` (1-based),
     safe when one key holds a large share of all rows.
 
@@ -86,24 +86,16 @@ def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str =
     are range-partitioned on ``keys + order``, so a hot key spreads over many
     partitions; each (partition, key) slice is numbered locally, and a small
     table of slice counts (at most partitions + keys rows) supplies the
-    offsets. ``order_cols`` must make the order total inside a key.
-
-    ``plain``: force (True) or forbid (False) the one-shuffle window; by
-    default it is used when the largest group is at most ``MAX_PLAIN_GROUP``.
+    offsets. Null keys are a key like any other. ``order_cols`` must make the
+    order total inside a key.
     """
-    if plain is None:
-        plain = bool(keys) and largest_group(df, keys) <= MAX_PLAIN_GROUP
-    if plain:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long"))
-    spark = df.sparkSession
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _ranged(df.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols))
+    ranged = range_tag(df, keys, order_cols, num_partitions)
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order_cols)))
-    slices = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    slices = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select("_pid", *keys, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = local.join(offsets, ["_pid", *keys])
+    out = join_null_safe(local, offsets, ["_pid", *keys])
     return out.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")) \
               .drop("_pid", "_lrn", "_off")
 
@@ -111,49 +103,40 @@ def segmented_rank(df: DataFrame, keys: list[str], order_cols: list, name: str =
 def segmented_running(df: DataFrame, keys: list[str], order_cols: list,
                       sums: dict | None = None, lasts: dict | None = None,
                       inclusive: bool = True, num_partitions: int | None = None,
-                      plain: bool | None = None) -> DataFrame:
+                      tagged: bool = False) -> DataFrame:
     """Running sums and running "last non-null" values inside ``keys``
     ordered by ``order_cols`` (a total order), safe under key skew.
 
     ``sums``: {out: numeric Column}; ``lasts``: {out: Column} (last non-null
-    value so far). ``inclusive=False`` excludes the current row.
-
-    Rows are range-partitioned on ``keys + order``; each (partition, key)
-    slice is scanned with a local window; a small table of per-slice totals
-    and last values (at most partitions + keys rows) gives each slice its
-    carry-in, joined back on (partition, key). ``plain`` as in
-    :func:`segmented_rank`.
+    value so far; wrap a value in a struct to let nulls count). With
+    ``inclusive=False`` the current row is left out.
+
+    Each (range partition, key) slice is scanned with a local window; a small
+    table of per-slice totals and last values (at most partitions + keys rows)
+    gives each slice its carry-in, joined back null-safely on (partition, key).
+    ``tagged``: ``df`` comes from :func:`range_tag` with an order that refines
+    this one, so several scans share one range partitioning; ``_pid`` is kept.
     """
     sums, lasts = sums or {}, lasts or {}
-    if plain is None:
-        plain = bool(keys) and largest_group(df, keys) <= MAX_PLAIN_GROUP
-    if plain:
-        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(
-            Window.unboundedPreceding, 0 if inclusive else -1)
-        return df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(n) for n, c in sums.items()],
-                         *[F.last(c, ignorenulls=True).over(w).alias(n) for n, c in lasts.items()])
-    spark = df.sparkSession
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()],
-                     *[c.alias(f"_l_{n}") for n, c in lasts.items()])
-    ranged = _ranged(base.repartitionByRange(p, *[F.col(k) for k in keys], *order_cols))
+    base = df if tagged else range_tag(df, keys, order_cols, num_partitions)
+    ranged = base.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()],
+                         *[c.alias(f"_l_{n}") for n, c in lasts.items()])
     wl = Window.partitionBy("_pid", *keys).orderBy(*order_cols)
     frame = wl.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     local = ranged.select("*", *[F.sum(f"_v_{n}").over(frame).alias(f"_s_{n}") for n in sums],
                           *[F.last(f"_l_{n}", ignorenulls=True).over(frame).alias(f"_t_{n}") for n in lasts])
-    # per-slice totals and last non-null values (by position, order-free)
     o = F.struct(*order_cols)
     slices = ranged.groupBy("_pid", *keys).agg(
         F.count(F.lit(1)).alias("_cnt"),
         *[F.sum(f"_v_{n}").alias(f"_S_{n}") for n in sums],
         *[F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), o)).alias(f"_L_{n}") for n in lasts])
-    wk = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    wk = (Window.partitionBy(*keys) if keys else Window).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = slices.select("_pid", *keys,
                           *[F.coalesce(F.sum(f"_S_{n}").over(wk), F.lit(0)).alias(f"_c_{n}") for n in sums],
                           *[F.last(f"_L_{n}", ignorenulls=True).over(wk).alias(f"_k_{n}") for n in lasts])
-    out = local.join(carry, ["_pid", *keys])
+    out = join_null_safe(local, carry, ["_pid", *keys])
     out = out.select("*", *[(F.col(f"_c_{n}") + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in sums],
                      *[F.coalesce(f"_t_{n}", f"_k_{n}").alias(n) for n in lasts])
-    drop = ["_pid"] + [x for n in sums for x in (f"_v_{n}", f"_s_{n}", f"_c_{n}")] \
+    drop = ([] if tagged else ["_pid"]) + [x for n in sums for x in (f"_v_{n}", f"_s_{n}", f"_c_{n}")] \
         + [x for n in lasts for x in (f"_l_{n}", f"_t_{n}", f"_k_{n}")]
     return out.drop(*drop)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import segmented_rank
+from .joins import global_index, segmented_rank
 
 RUN_SCHEMA = ("experiment string, run_id string, run_name string, start_time timestamp, "
               "params map<string,string>, metrics map<string,double>")
@@ -34,9 +34,8 @@ def experiments(runs: DataFrame) -> DataFrame:
     """H2: one row per experiment name (get-or-create keeps the first):
     created = first start time, experiment_id numbered by creation."""
     first = runs.groupBy("experiment").agg(F.min("start_time").alias("created"))
-    return segmented_rank(first.withColumn("_all", F.lit(0)), ["_all"], [F.col("created"), F.col("experiment")],
-                          "experiment_id").select("experiment", "created",
-                                                  (F.col("experiment_id") - 1).cast("int").alias("experiment_id"))
+    return global_index(first, [F.col("created"), F.col("experiment")], "experiment_id").select(
+        "experiment", "created", F.col("experiment_id").cast("int").alias("experiment_id"))
 
 
 def get_or_create(existing: DataFrame, names: DataFrame) -> DataFrame:
@@ -51,15 +50,17 @@ def experiment_runs(runs: DataFrame, experiment: str) -> DataFrame:
 
 def compare_runs(runs: DataFrame, experiment: str, metric: str = "f1") -> DataFrame:
     """H4: per run name (equal names collapse to the earliest-started run,
-    the one a newest-first listing would visit last), the metric (missing ->
-    0.0), ranked best first."""
+    the one a newest-first listing would visit last; a null name is a name),
+    the metric (missing -> 0.0) with all parameters and metrics, ranked best
+    first."""
     r = runs.where(F.col("experiment") == experiment)
-    keep = r.groupBy("run_name").agg(F.min_by("run_id", F.struct("start_time", "run_id")).alias("run_id"))
-    r = r.join(keep, ["run_name", "run_id"])
-    r = r.select("run_name", "run_id", F.coalesce(F.col("metrics")[metric], F.lit(0.0)).alias("metric_value"))
-    ranked = segmented_rank(r.withColumn("_all", F.lit(0)), ["_all"],
-                            [F.col("metric_value").desc(), F.col("run_name")], "rank")
-    return ranked.drop("_all").withColumn("rank", F.col("rank").cast("int"))
+    value = F.coalesce(F.col("metrics")[metric], F.lit(0.0))
+    first = F.min_by(F.struct("run_id", value.alias("metric_value"), "params", "metrics"),
+                     F.struct("start_time", "run_id"))
+    r = r.groupBy("run_name").agg(first.alias("_f")).select("run_name", "_f.*")
+    ranked = global_index(r, [F.col("metric_value").desc(), F.col("run_name")], "rank", base=1)
+    return ranked.select("run_name", "run_id", "metric_value", "params", "metrics",
+                         F.col("rank").cast("int").alias("rank"))
 
 
 def best_run(compared: DataFrame) -> DataFrame:

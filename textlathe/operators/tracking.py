@@ -29,7 +29,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import segmented_running
+from .joins import range_tag, segmented_running
 
 SLOTS = ("processed_data_file", "train_split", "test_split", "val_split", "train_features",
          "test_features", "val_features", "feature_extractor", "label_mapping", "split_params",
@@ -49,20 +49,17 @@ def append_artifacts(spark: SparkSession, log_path: str, dataset: str, entries,
     spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(log_path)
 
 
-def experiment_ids(log: DataFrame, plain: bool | None = None) -> DataFrame:
-    """``log`` + ``exp_id`` (0-based per dataset).
-
-    ``plain``: use per-dataset windows (None: when the largest dataset is
-    small enough for one task, checked once)."""
-    from .joins import MAX_PLAIN_GROUP, largest_group
-    if plain is None:
-        plain = largest_group(log, ["dataset"]) <= MAX_PLAIN_GROUP
+def experiment_ids(log: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """``log`` + ``exp_id`` (0-based per dataset; a null dataset is a
+    dataset). A ``split_params`` record with a null value clears the recorded
+    parameters. One range partitioning by (dataset, ts, seq) serves all scans:
+    ``g`` rises along it."""
     order = [F.col("ts"), F.col("seq")]
-    is_sp = F.col("artifact_type") == "split_params"
-    x = segmented_running(log, ["dataset"], order,
-                          sums={"_g": F.when(is_sp, 1).otherwise(0)},
-                          lasts={"_v": F.when(is_sp, F.col("value"))}, inclusive=False, plain=plain)
-    x = x.withColumn("_g", F.coalesce("_g", F.lit(0)))
+    is_sp = F.coalesce(F.col("artifact_type") == "split_params", F.lit(False))
+    x = range_tag(log, ["dataset"], order, num_partitions)
+    x = segmented_running(x, ["dataset"], order, sums={"_g": F.when(is_sp, 1).otherwise(0)},
+                          lasts={"_last": F.when(is_sp, F.struct("value"))}, inclusive=False, tagged=True)
+    x = x.withColumn("_v", F.col("_last.value"))
     rec = F.from_json("_v", PARAMS_SCHEMA)
     cur = F.from_json("params", PARAMS_SCHEMA)
     valid = F.json_object_keys("_v").isNotNull()
@@ -71,16 +68,17 @@ def experiment_ids(log: DataFrame, plain: bool | None = None) -> DataFrame:
         differ = differ | ~rec[k].eqNullSafe(cur[k])
     d = F.col("_v").isNotNull() & (F.col("_v") != "") & (~valid | differ)
     x = x.withColumn("_d", d.cast("int"))
-    x = segmented_running(x, ["dataset", "_g"], order, sums={"_dbefore": F.col("_d")}, inclusive=False, plain=plain)
+    x = segmented_running(x, ["dataset", "_g"], order, sums={"_dbefore": F.col("_d")}, inclusive=False, tagged=True)
     x = x.withColumn("_start", ((F.col("_d") == 1) & (F.coalesce("_dbefore", F.lit(0)) == 0)).cast("int"))
-    x = segmented_running(x, ["dataset"], order, sums={"exp_id": F.col("_start")}, inclusive=True, plain=plain)
-    return x.drop("_g", "_v", "_d", "_dbefore", "_start").withColumn("exp_id", F.col("exp_id").cast("int"))
+    x = segmented_running(x, ["dataset"], order, sums={"exp_id": F.col("_start")}, inclusive=True, tagged=True)
+    return x.drop("_pid", "_g", "_last", "_v", "_d", "_dbefore", "_start").withColumn(
+        "exp_id", F.col("exp_id").cast("int"))
 
 
-def experiment_index(log: DataFrame, plain: bool | None = None) -> DataFrame:
+def experiment_index(log: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """One row per (dataset, exp_id): created_at + the last value written
     to each slot (null when never written)."""
-    e = experiment_ids(log, plain)
+    e = experiment_ids(log, num_partitions)
     o = F.struct("ts", "seq")
     aggs = [F.min("ts").alias("created_at")]
     for s in SLOTS:

@@ -715,20 +715,29 @@ def q_exp_ids(spark, sf_dir):
     return experiment_ids(_log(spark, sf_dir)).select("dataset", "seq", "exp_id")
 
 
-@register("experiment_index", f"""WITH {EXP_SQL}
-SELECT dataset, exp_id, min(ts) AS created_at,
-  arg_max(CASE WHEN artifact_type = 'split_params' THEN value END, CASE WHEN artifact_type = 'split_params' THEN ts END) AS split_params,
-  arg_max(CASE WHEN artifact_type = 'view' THEN value END, CASE WHEN artifact_type = 'view' THEN ts END) AS view_art,
-  CAST(count(*) AS BIGINT) AS n_artifacts
-FROM e GROUP BY dataset, exp_id""")
+def _slot_log(spark, sf_dir):
+    """The derived log with its other artifacts spread over all eleven slots."""
+    from ..operators.tracking import SLOTS
+    others = [t for t in SLOTS if t != "split_params"]
+    slot = F.element_at(F.array(*[F.lit(t) for t in others]), (F.pmod("seq", F.lit(len(others))) + 1).cast("int"))
+    return _log(spark, sf_dir).withColumn(
+        "artifact_type", F.when(F.col("artifact_type") == "split_params", "split_params").otherwise(slot))
+
+
+def _slot_sql():
+    from ..operators.tracking import SLOTS
+    others = [t for t in SLOTS if t != "split_params"]
+    kind = (f"CASE WHEN artifact_type = 'split_params' THEN 'split_params' ELSE "
+            f"{others}[CAST(seq % {len(others)} AS INTEGER) + 1] END")
+    last = ", ".join(f"arg_max(CASE WHEN slot = '{t}' THEN value END, CASE WHEN slot = '{t}' THEN (ts, seq) END) AS {t}"
+                     for t in SLOTS)
+    return f"s AS (SELECT *, {kind} AS slot FROM e) SELECT dataset, exp_id, min(ts) AS created_at, {last} FROM s GROUP BY dataset, exp_id"
+
+
+@register("experiment_index", f"WITH {EXP_SQL}, {_slot_sql()}")
 def q_exp_index(spark, sf_dir):
-    from ..operators.tracking import experiment_ids
-    e = experiment_ids(_log(spark, sf_dir))
-    o = F.struct("ts", "seq")
-    def last(t):
-        return F.max_by(F.when(F.col("artifact_type") == t, F.col("value")), F.when(F.col("artifact_type") == t, o))
-    return e.groupBy("dataset", "exp_id").agg(F.min("ts").alias("created_at"), last("split_params").alias("split_params"),
-                                              last("view").alias("view_art"), F.count(F.lit(1)).alias("n_artifacts"))
+    from ..operators.tracking import experiment_index
+    return experiment_index(_slot_log(spark, sf_dir))
 
 
 @register("dataset_experiments", f"WITH {EXP_SQL} SELECT DISTINCT exp_id FROM e WHERE dataset = '7'")
@@ -765,7 +774,7 @@ def _runs(spark, sf_dir):
 
 
 RUNS_SQL = """SELECT event_type AS experiment, CAST(event_id AS VARCHAR) AS run_id, 'user_' || CAST(user_id AS VARCHAR) AS run_name,
-  ts AS start_time, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS f1 FROM events"""
+  ts AS start_time, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS f1, json_extract_string(props, '$.k') AS k FROM events"""
 
 
 @register("run_log", """SELECT CAST(event_id AS VARCHAR) AS run_id, 'param' AS kind, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events
@@ -790,21 +799,27 @@ def q_exp_runs(spark, sf_dir):
 
 COMPARE_SQL = f"""r AS ({RUNS_SQL}),
 k AS (SELECT run_name, arg_min(run_id, (start_time, run_id)) AS run_id FROM r WHERE experiment = '{{exp}}' GROUP BY run_name),
-c AS (SELECT r.run_name, r.run_id, coalesce(r.f1, 0.0) AS metric_value FROM r JOIN k ON r.run_id = k.run_id AND r.run_name = k.run_name)
-SELECT run_name, run_id, metric_value, CAST(row_number() OVER (ORDER BY metric_value DESC, run_name) AS INTEGER) AS rank FROM c"""
+c AS (SELECT r.run_name, r.run_id, coalesce(r.f1, 0.0) AS metric_value, r.k AS param_k, r.f1 AS metric_f1 FROM r JOIN k ON r.run_id = k.run_id AND r.run_name = k.run_name)
+SELECT run_name, run_id, metric_value, param_k, metric_f1, CAST(row_number() OVER (ORDER BY metric_value DESC, run_name) AS INTEGER) AS rank FROM c"""
+
+
+def _flat(compared):
+    """Compared runs with the parameter and metric of the derived log as columns."""
+    return compared.select("run_name", "run_id", "metric_value", F.col("params")["k"].alias("param_k"),
+                           F.col("metrics")["f1"].alias("metric_f1"), "rank")
 
 
 @register("compare_runs", "WITH " + COMPARE_SQL.replace("{exp}", "click"))
 def q_compare(spark, sf_dir):
     from ..operators.runs import compare_runs
-    return compare_runs(_runs(spark, sf_dir), "click")
+    return _flat(compare_runs(_runs(spark, sf_dir), "click"))
 
 
 @register("best_run", "SELECT * FROM (WITH " + COMPARE_SQL.replace("{exp}", "error") + ") WHERE rank = 1")
 def q_best(spark, sf_dir):
     """Missing metric on every run: all 0.0, best by name order."""
     from ..operators.runs import best_run, compare_runs
-    return best_run(compare_runs(_runs(spark, sf_dir), "error"))
+    return _flat(best_run(compare_runs(_runs(spark, sf_dir), "error")))
 
 
 @register("retain_last_runs", f"""SELECT experiment, run_id, start_time FROM (

@@ -43,7 +43,13 @@ def run_available(spark: SparkSession, stream: DataFrame, sink_path: str, checkp
 
 
 def document_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """Stream over the ``documents`` table files of ``sf_dir``."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-                 .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    """Stream over the ``documents`` table of ``sf_dir``: the part files of a
+    table folder, or a table that is a single file (a file stream watches
+    folders, so that one is picked out of its folder by name)."""
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
