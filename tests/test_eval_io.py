@@ -48,3 +48,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["term", "score"] and 0 < len(rows) <= 50
+
+
+def test_csv_encodings_and_odd_paths(spark, tmpdir_path):
+    from textlathe.sources import readers
+    text = 'text,sentiment\n"café, ""quoted""\nline two",pos\nplain,neg\n'
+    for name, encoding in (("u 8+x%41.csv", "utf-8"), ("latin.csv", "latin-1"), ("u16.csv", "utf-16")):
+        with open(f"{tmpdir_path}/{name}", "wb") as f:
+            f.write(text.encode(encoding))
+    found = {r.file_path.rsplit("/", 1)[1]: r.encoding for r in readers.detect_encoding(spark, tmpdir_path).collect()}
+    assert sorted(found.values()) == ["ISO-8859-1", "UTF-16", "UTF-8"]
+    rows = readers.scan_csv(spark, tmpdir_path, "text string, sentiment string").collect()
+    assert sorted((r.text, r.sentiment) for r in rows) == sorted([('café, "quoted"\nline two', "pos"), ("plain", "neg")] * 3)

@@ -47,3 +47,19 @@ def test_ngrams_and_counts(spark):
 def test_blank_detection(spark):
     out = run(spark, ["  \t", "x", ""], T.is_blank("text"))
     assert out == [True, False, True]
+
+
+LEMMAS = {
+    "cats": "cat", "boxes": "box", "classes": "class", "churches": "church", "wishes": "wish", "companies": "company",
+    "quizzes": "quizz", "movies": "movie", "cookies": "cookie", "series": "series", "species": "species",
+    "news": "news", "bias": "bias", "lens": "lens", "buses": "bus", "knives": "knife", "wives": "wife",
+    "leaves": "leaf", "lives": "life", "women": "woman", "firemen": "fireman", "children": "child", "feet": "foot",
+    "teeth": "tooth", "mice": "mouse", "geese": "goose", "houses": "house", "gives": "give", "glass": "glass",
+    "status": "status", "analysis": "analysis", "specimen": "specimen", "omen": "omen", "citizen": "citizen",
+    "meet": "meet", "nice": "nice", "gas": "gas", "always": "always", "ties": "tie", "wolves": "wolf", "run": "run",
+}
+
+
+def test_lemma_pairs(spark):
+    got = run(spark, list(LEMMAS), T.lemma_rule(F.col("text")))
+    assert dict(zip(LEMMAS, got)) == LEMMAS

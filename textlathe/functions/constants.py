@@ -45,6 +45,22 @@ CONTRACTION_SPLITS = (
     ("got", "ta"), ("lem", "me"), ("wan", "na"),
 )
 
+# Irregular noun lemmas: (form, lemma). Forms that only look like plurals map
+# to themselves.
+LEMMA_EXCEPTIONS = (
+    ("abdomen", "abdomen"), ("acumen", "acumen"), ("always", "always"), ("amen", "amen"), ("atlas", "atlas"),
+    ("bias", "bias"), ("biases", "bias"), ("buses", "bus"), ("calves", "calf"), ("canvas", "canvas"),
+    ("chaos", "chaos"), ("children", "child"), ("christmas", "christmas"), ("cookies", "cookie"),
+    ("cosmos", "cosmos"), ("elves", "elf"), ("feet", "foot"), ("gas", "gas"), ("gases", "gas"), ("geese", "goose"),
+    ("halves", "half"), ("hooves", "hoof"), ("kudos", "kudos"), ("knives", "knife"), ("leaves", "leaf"),
+    ("lens", "lens"), ("lenses", "lens"), ("lice", "louse"), ("lies", "lie"), ("lives", "life"), ("loaves", "loaf"),
+    ("mice", "mouse"), ("movies", "movie"), ("news", "news"), ("omen", "omen"), ("oxen", "ox"), ("pants", "pants"),
+    ("perhaps", "perhaps"), ("pies", "pie"), ("regimen", "regimen"), ("scarves", "scarf"), ("selves", "self"),
+    ("series", "series"), ("shelves", "shelf"), ("species", "species"), ("specimen", "specimen"),
+    ("teeth", "tooth"), ("thieves", "thief"), ("ties", "tie"), ("towards", "towards"), ("viruses", "virus"),
+    ("wives", "wife"), ("wolves", "wolf"), ("zombies", "zombie"),
+)
+
 # Strings a CSV reader treats as missing by default (exact field match).
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

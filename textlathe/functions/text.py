@@ -85,11 +85,14 @@ def remove_stopwords(tokens, stopwords: Iterable[str] = K.CLEANING_STOPWORDS,
 
 # --- B12 --------------------------------------------------------------------
 def lemma_rule(t: Column) -> Column:
-    """Noun suffix rules on one token (no lexicon available offline).
-
-    Endings ``ss``/``us``/``is`` are kept; ``ies`` -> ``y``;
-    ``sses``/``ches``/``shes``/``xes``/``zes`` lose ``es``; a final ``s`` is
-    dropped. Stems keep at least two letters. With a lexicon, use
+    """Noun lemma of one token without a lexicon: irregular forms first, then
+    suffix rules.
+
+    Endings ``ss``/``us``/``is`` are kept; ``men`` -> ``man``; ``ies`` ->
+    ``y``; ``sses``/``ches``/``shes``/``xes``/``zes`` lose ``es``; a final
+    ``s`` is dropped. Stems keep at least two letters. ``ses`` and ``ves`` have
+    no safe rule (houses/buses, gives/knives), so they lose ``s`` unless
+    listed. With a lexicon, use :func:`clean_text`'s ``lemmas=False`` and
     :func:`textlathe.operators.cleaning.lemmatize_with_lexicon`.
     """
     n = F.length(t)
@@ -97,7 +100,14 @@ def lemma_rule(t: Column) -> Column:
         return F.substring(t, F.lit(1), n - F.lit(k))
     es_end = (t.endswith("sses") | t.endswith("ches") | t.endswith("shes")
               | t.endswith("xes") | t.endswith("zes"))
-    return (F.when(t.endswith("ss") | t.endswith("us") | t.endswith("is"), t)
+    by_lemma: dict[str, list[str]] = {}
+    for form, lemma in K.LEMMA_EXCEPTIONS:
+        by_lemma.setdefault("" if form == lemma else lemma, []).append(form)
+    out = F.when(~(t.endswith("s") | t.rlike("(men|ren|eet|eth|ice|eese|xen)$")), t)  # most tokens end here
+    for lemma, forms in by_lemma.items():
+        out = out.when(t.isin(*forms), F.lit(lemma) if lemma else t)
+    return (out.when(t.endswith("ss") | t.endswith("us") | t.endswith("is"), t)
+             .when((n > 4) & t.endswith("men"), F.concat(cut(2), F.lit("an")))
              .when((n > 4) & t.endswith("ies"), F.concat(cut(3), F.lit("y")))
              .when((n > 4) & es_end, cut(2))
              .when((n > 3) & t.endswith("s"), cut(1))

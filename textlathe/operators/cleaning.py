@@ -62,6 +62,18 @@ def normalize_nulls(df: DataFrame, columns=None, tokens=K.NA_TOKENS) -> DataFram
     return df.withColumns({c: F.when(F.col(c).isin(*tokens), F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
+def with_row_id(df: DataFrame, id_col: str = "doc_id", num_partitions: int | None = None) -> DataFrame:
+    """Add a unique id to rows that have none: ``<md5 of the row>-<number
+    inside equal rows>``. The same rows get the same ids under any
+    partitioning; equal rows are numbered over range partitions, so a row that
+    repeats very often is not numbered by one task."""
+    from .joins import segmented_rank
+    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    rows = df.withColumn("_digest", digest).withColumn("_row", F.monotonically_increasing_id())
+    ranked = segmented_rank(rows, ["_digest"], [F.col("_row")], "_n", num_partitions)
+    return ranked.withColumn(id_col, F.concat_ws("-", "_digest", F.col("_n").cast("string"))).drop("_digest", "_row", "_n")
+
+
 # B3
 def drop_null_keys(df: DataFrame, keys=("text", "sentiment")) -> DataFrame:
     return df.na.drop(subset=list(keys))
@@ -96,19 +108,26 @@ def cleaning_report(df: DataFrame, text_col: str = "text", label_col: str = "sen
 
 # B14 / B15 / B16
 def process_data(df: DataFrame, text_col: str = "text", label_col: str = "sentiment",
-                 mapping: DataFrame | None = None, timestamp: bool = True) -> DataFrame:
+                 mapping: DataFrame | None = None, timestamp: bool = True, lexicon: DataFrame | None = None,
+                 id_col: str = "doc_id") -> DataFrame:
     """Cleaning, optional label mapping, ``cleaned_text``, metadata columns,
     and removal of rows whose cleaned text is empty. One lazy plan.
 
     ``mapping`` is a ``(label, label_idx)`` table from
     :func:`textlathe.operators.labels.label_mapping`; when given, the label
-    column is replaced by its index.
+    column is replaced by its index. ``lexicon`` is a ``(form, lemma)`` table
+    that goes before the built-in lemma rules; it needs ``id_col``, unique.
     """
     from .labels import apply_label_mapping
     out = apply_cleaning(df, text_col, label_col)
     if mapping is not None:
         out = apply_label_mapping(out, mapping, label_col)
-    out = with_computed(out, {"cleaned_text": T.clean_text(text_col)})
+    if lexicon is None:
+        out = with_computed(out, {"cleaned_text": T.clean_text(text_col)})
+    else:
+        out = out.withColumn("_tokens", T.clean_tokens(text_col, lemmas=False))
+        out = lemmatize_with_lexicon(out, id_col, "_tokens", lexicon, out="_lemmas")
+        out = out.withColumn("cleaned_text", F.array_join("_lemmas", " ")).drop("_tokens", "_lemmas")
     if timestamp:
         out = out.withColumn("processed_at", F.current_timestamp())
     out = out.withColumn("text_length", T.text_length("cleaned_text"))

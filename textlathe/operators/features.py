@@ -306,8 +306,10 @@ class FeatureModel:
 
 def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "sentiment",
         id_col: str = "doc_id", cfg: FeatureConfig = LIVE_CONFIG,
-        checkpoint: bool = True) -> FeatureModel:
-    """Fit vocabulary, idf and (optionally) the selector on ``df``.
+        checkpoint: bool = True, terms: DataFrame | None = None) -> FeatureModel:
+    """Fit vocabulary, idf and (optionally) the selector on ``df``, or on
+    ``terms``, its stored :func:`doc_terms` with id and label. A null label is
+    an error: its documents would count for idf but not for the scores.
 
     Driver-side values: class counts (one row per class, bounded by the number
     of classes) and the vocabulary size. The model table is checkpointed to
@@ -321,12 +323,14 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     # The per-document term arrays feed three jobs (class counts, vocabulary,
     # scores): persist them (memory, spilling to disk; lost blocks are
     # recomputed from lineage).
-    dt = doc_terms(df, text_col, cfg, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    dt = terms if terms is not None else doc_terms(df, text_col, cfg, keep).persist(StorageLevel.MEMORY_AND_DISK)
     if label_col:
         cc_rows = dt.groupBy(label_col).count().limit(1_000_001).collect()
         if len(cc_rows) > 1_000_000:
             raise ValueError("more than 1,000,000 classes")
         class_counts = {r[0]: r[1] for r in cc_rows}
+        if None in class_counts:
+            raise ValueError(f"{label_col} holds nulls in the training input")
         n_docs = int(sum(class_counts.values()))
     else:
         class_counts, n_docs = {}, dt.count()
@@ -374,7 +378,8 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     else:
         table = table.persist()
         table.count()
-    dt.unpersist()
+    if terms is None:
+        dt.unpersist()
     for c in cached:
         c.unpersist()
     return FeatureModel(table, cfg, n_docs, int(n_terms), int(n_selected), text_col,
@@ -382,12 +387,14 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
 
 
 def transform(model: FeatureModel, df: DataFrame, id_col: str, keep: list[str] | None = None,
-              text_col: str | None = None) -> DataFrame:
+              text_col: str | None = None, terms: DataFrame | None = None) -> DataFrame:
+    """Long selected features of ``df``, or of ``terms``, its stored
+    :func:`doc_terms` with the ``keep`` columns."""
     text_col = text_col or model.text_col
     keep = keep or [id_col]
     if id_col not in keep:
         keep = [id_col] + keep
-    dt = doc_terms(df, text_col, model.config, keep)
+    dt = terms if terms is not None else doc_terms(df, text_col, model.config, keep)
     w = tfidf_weights(dt, model.table.select("term", "term_idx", "idf"), id_col, keep, model.bound)
     sel = model.table.where("selected").select("term_idx", "sel_idx")
     out = w.join(bounded_broadcast(sel, model.n_selected), "term_idx")

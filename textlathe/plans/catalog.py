@@ -192,6 +192,33 @@ def q_clean(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents")).select("doc_id", T.clean_text("text").alias("cleaned_text"))
 
 
+# A lexicon derived from ``part``: every word of a part name is the form, its
+# first three letters the lemma; and two plurals that the rules would cut.
+LEXICON_SQL = """SELECT DISTINCT form, substr(form, 1, 3) AS lemma FROM (
+  SELECT unnest(string_split(lower(p_name), ' ')) AS form FROM part) WHERE length(form) > 3
+  UNION SELECT form, lemma FROM (VALUES ('thes', 'kept'), ('ands', 'both')) AS v(form, lemma)"""
+
+
+def _lexicon(spark, sf_dir):
+    words = table(spark, sf_dir, "part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("form"))
+    words = words.where("length(form) > 3").distinct().withColumn("lemma", F.substring("form", 1, 3))
+    return words.unionByName(spark.createDataFrame([("thes", "kept"), ("ands", "both")], "form string, lemma string"))
+
+
+@register("lemmatize_lexicon", f"""WITH lx AS ({LEXICON_SQL}),
+t AS (SELECT doc_id, {S.clean_tokens(S.lowercase('text'), lemmas=False)} AS tk FROM documents WHERE text IS NOT NULL),
+x AS (SELECT doc_id, unnest(tk) AS tok, generate_subscripts(tk, 1) AS pos FROM t),
+l AS (SELECT doc_id, pos, coalesce(lemma, {S.lemma_rule('tok')}) AS lem FROM x LEFT JOIN lx ON tok = form)
+SELECT doc_id, md5(string_agg(lem, ' ' ORDER BY pos)) AS cleaned_md5, count(*) AS n_tokens FROM l GROUP BY doc_id""")
+def q_lemmatize_lexicon(spark, sf_dir):
+    """process_data with a lexicon table before the lemma rules."""
+    from ..operators.cleaning import process_data
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", F.lit(1).alias("sentiment"))
+    p = process_data(d, lexicon=_lexicon(spark, sf_dir), timestamp=False)
+    return p.select("doc_id", F.md5("cleaned_text").alias("cleaned_md5"),
+                    F.size(F.split("cleaned_text", " ")).cast("bigint").alias("n_tokens"))
+
+
 @register("text_length", f"SELECT doc_id, text_length FROM ({processed_sql(LABELLED_DOCS_SQL)})")
 def q_text_length(spark, sf_dir):
     return _processed(spark, sf_dir).select("doc_id", "text_length")

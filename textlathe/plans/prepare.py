@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, features, labels, split, tracking
 from ..operators.features import LIVE_CONFIG, FeatureConfig
+from ..session import materialize
 
 
 def features_for_splits(split_df: DataFrame, text_col: str = "cleaned_text", label_col: str = "sentiment",
@@ -31,26 +32,34 @@ def features_for_splits(split_df: DataFrame, text_col: str = "cleaned_text", lab
     for c in (text_col, label_col, "split"):
         if c not in split_df.columns:
             raise ValueError(f"{c} column not found in split data.")
-    train = split_df.where(F.col("split") == "train")
-    model = features.fit(train, text_col, label_col, id_col, cfg)
-    out = model.transform(split_df, id_col, [id_col, "split"], text_col)
+    # n-grams are counted once, for all splits; fit and transform read the stored counts
+    terms = materialize(features.doc_terms(split_df, text_col, cfg, [id_col, "split", label_col]), "doc-terms")
+    train = terms.where(F.col("split") == "train").select(id_col, label_col, "terms")
+    model = features.fit(split_df, text_col, label_col, id_col, cfg, terms=train)
+    out = features.transform(model, split_df, id_col, [id_col, "split"], text_col, terms.drop(label_col))
     return out, model
 
 
 def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
             text_column: str = "text", label_column: str = "sentiment", id_col: str = "doc_id",
             params: split.SplitParams = split.SplitParams(), cfg: FeatureConfig = LIVE_CONFIG,
-            map_labels: bool = True, log_path: str | None = None) -> DataFrame:
-    """Run the whole flow; returns the summary DataFrame (stage, value)."""
+            map_labels: bool = True, log_path: str | None = None,
+            lexicon: DataFrame | None = None) -> DataFrame:
+    """Run the whole flow; returns the summary DataFrame (stage, value).
+
+    Inputs need no id: without ``id_col`` one is derived from the row (see
+    :func:`cleaning.with_row_id`). ``lexicon``: as in ``process_data``."""
     out_dir = out_dir.rstrip("/")
     log_path = log_path or f"{out_dir}/tracking"
     df = cleaning.standardize_columns(df, text_column, label_column)
+    if id_col not in df.columns:
+        df = cleaning.with_row_id(df, id_col)
     raw_rows = df.count()
     mapping = None
     if map_labels:
         mapping = labels.label_mapping(cleaning.drop_null_keys(df), "sentiment").persist()
         labels.save_label_mapping(mapping, f"{out_dir}/label_mapping")
-    processed = cleaning.process_data(df, "text", "sentiment", mapping)
+    processed = cleaning.process_data(df, "text", "sentiment", mapping, lexicon=lexicon, id_col=id_col)
     processed.write.mode("overwrite").parquet(f"{out_dir}/processed")
     processed = spark.read.parquet(f"{out_dir}/processed")
     n_processed = processed.count()
@@ -63,8 +72,8 @@ def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
     model.save(f"{out_dir}/extractor")
     split_params = dict(asdict(params), train_samples=sizes.get("train", 0),
                         test_samples=sizes.get("test", 0), val_samples=sizes.get("val", 0))
-    feature_params = {"config": json.loads(cfg.to_json()), "num_features": model.n_selected,
-                      "feature_extractor_filename": f"{out_dir}/extractor"}
+    shapes = {name: (sizes.get(name, 0), model.n_selected) for name in ("train", "test", "val")}
+    feature_params = tracking.feature_params_json(cfg.to_json(), shapes, model.n_selected, f"{out_dir}/extractor")
     current = json.dumps({k: split_params[k] for k in ("train_size", "test_size", "val_size", "random_state")})
     entries = [("processed_data_file", f"{out_dir}/processed"),
                ("label_mapping", f"{out_dir}/label_mapping" if map_labels else None),
@@ -76,7 +85,7 @@ def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
                ("train_features", f"{out_dir}/features/split=train"),
                ("test_features", f"{out_dir}/features/split=test"),
                ("val_features", f"{out_dir}/features/split=val"),
-               ("feature_params", json.dumps(feature_params))]
+               ("feature_params", feature_params)]
     tracking.append_artifacts(spark, log_path, dataset, [(t, v) for t, v in entries if v is not None], current)
     if mapping is not None:
         mapping.unpersist()
@@ -86,11 +95,25 @@ def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
     return spark.createDataFrame(rows, "stage string, value bigint")
 
 
-def load_and_validate(spark: SparkSession, path: str, fmt: str = "parquet", **checks) -> DataFrame:
+def prepare_path(spark: SparkSession, path: str, out_dir: str, dataset: str, text_column: str = "text",
+                 label_column: str = "sentiment", schema: str | None = None, **options) -> DataFrame:
+    """Path to summary: scan a CSV or JSON file (``download_raw``), then
+    :func:`prepare`."""
+    from ..sources.readers import download_raw
+    return prepare(spark, download_raw(spark, path, schema), out_dir, dataset, text_column, label_column, **options)
+
+
+def load_and_validate(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None,
+                      **checks) -> DataFrame:
     """Read a processed table and run the quality checks (raises on a
-    failed error-level check)."""
+    failed error-level check). A CSV has no types: ``schema`` gives them, or
+    they are inferred."""
     from ..operators.quality import validate
-    df = spark.read.format(fmt).option("header", True).load(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if fmt == "csv":
+        reader = spark.read.option("header", True).option("escape", '"')
+        df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    else:
+        df = spark.read.format(fmt).load(path)
     validate(df, **checks)
     return df
 

@@ -44,7 +44,11 @@ def remove_stopwords(tokens: str, stopwords=K.CLEANING_STOPWORDS, min_length: in
 
 def lemma_rule(t: str = "t") -> str:
     n = f"length({t})"
-    return (f"CASE WHEN suffix({t}, 'ss') OR suffix({t}, 'us') OR suffix({t}, 'is') THEN {t} "
+    forms = str_list(f for f, _ in K.LEMMA_EXCEPTIONS)
+    lemmas = str_list(x for _, x in K.LEMMA_EXCEPTIONS)
+    return (f"CASE WHEN list_contains({forms}, {t}) THEN {lemmas}[list_position({forms}, {t})] "
+            f"WHEN suffix({t}, 'ss') OR suffix({t}, 'us') OR suffix({t}, 'is') THEN {t} "
+            f"WHEN {n} > 4 AND suffix({t}, 'men') THEN substr({t}, 1, {n} - 2) || 'an' "
             f"WHEN {n} > 4 AND suffix({t}, 'ies') THEN substr({t}, 1, {n} - 3) || 'y' "
             f"WHEN {n} > 4 AND (suffix({t}, 'sses') OR suffix({t}, 'ches') OR suffix({t}, 'shes') "
             f"OR suffix({t}, 'xes') OR suffix({t}, 'zes')) THEN substr({t}, 1, {n} - 2) "

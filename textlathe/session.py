@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -61,3 +62,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "tables", name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: several
+    readers share one computation and a lost executor loses none of it."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

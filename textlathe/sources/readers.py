@@ -37,25 +37,35 @@ def scan_json_columns(spark: SparkSession, paths, columns: list[str], schema: st
 
 
 def detect_encoding(spark: SparkSession, paths) -> DataFrame:
-    """A4: (file_path, encoding): UTF-8 when every line is valid UTF-8, else
-    ISO-8859-1 (every byte sequence is valid Latin-1)."""
-    t = spark.read.format("text").load(paths).select("value", F.col("_metadata.file_path").alias("file_path"))
-    return (t.groupBy("file_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-             .select("file_path", F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")).alias("encoding")))
+    """A4: (file_path, encoding). UTF-16 when the file starts with a UTF-16
+    byte-order mark, else UTF-8 when every line is valid UTF-8, else ISO-8859-1
+    (every byte sequence is valid Latin-1). The scan is line-split; the mark is
+    looked for in the part that starts the file."""
+    t = spark.read.format("text").load(paths).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_start"))
+    mark = F.substring(F.col("value").cast("binary"), 1, 2)
+    at_start = (F.col("_start") == 0) & mark.isin(F.lit(bytes([255, 254])), F.lit(bytes([254, 255])))
+    return (t.groupBy("file_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+                                       F.bool_or(at_start).alias("utf16"))
+             .select("file_path", F.when(F.col("utf16"), F.lit("UTF-16")).when(F.col("utf8"), F.lit("UTF-8"))
+                     .otherwise(F.lit("ISO-8859-1")).alias("encoding")))
 
 
 def scan_csv(spark: SparkSession, paths, schema: str | None = None, header: bool = True,
-             null_tokens: bool = True) -> DataFrame:
-    """A2/A3: CSV with per-file encoding; quoted line breaks allowed. Only the
-    per-file encoding list (one row per file) reaches the driver."""
-    enc = detect_encoding(spark, paths).collect()
+             null_tokens: bool = True, multiline: bool = True) -> DataFrame:
+    """A2/A3: CSV with per-file encoding. ``multiline`` allows quoted line
+    breaks, and then a file is read by one task; without it UTF-8 files are
+    split over tasks. Only the per-file encoding list (one row per file)
+    reaches the driver."""
+    enc = detect_encoding(spark, paths).select(
+        "encoding", F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))).alias("file_path")).collect()
     groups: dict[str, list[str]] = {}
     for r in enc:
         groups.setdefault(r["encoding"], []).append(r["file_path"])
     parts = []
     for e, files in sorted(groups.items()):
-        rd = (spark.read.option("header", header).option("multiLine", True).option("escape", '"')
-                   .option("encoding", e))
+        rd = (spark.read.option("header", header).option("escape", '"').option("encoding", e)
+              .option("multiLine", multiline or e == "UTF-16"))
         rd = rd.schema(schema) if schema else rd.option("inferSchema", False)
         parts.append(rd.csv(files))
     if not parts:
@@ -78,10 +88,12 @@ def download_raw(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 
 def sample_data(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """Synthetic rows for the given ids: a seeded coin picks the class,
-    a second hash picks one of the eight phrases of that class."""
-    coin = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(2))
-    pick = (F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(8)) + 1).cast("int")
+    """Synthetic rows for the given ids: the first hex digit of
+    md5("<seed>:<id>") is a coin for the class, the second picks one of the
+    eight phrases of that class."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    coin = F.conv(F.substring(digest, 1, 1), 16, 10).cast("int") % 2
+    pick = F.conv(F.substring(digest, 2, 1), 16, 10).cast("int") % 8 + 1
     pos = F.array(*[F.lit(t) for t in K.SAMPLE_POSITIVE])
     neg = F.array(*[F.lit(t) for t in K.SAMPLE_NEGATIVE])
     return ids.select(F.col(id_col).alias("id"),
