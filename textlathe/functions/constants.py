@@ -165,3 +165,22 @@ def _accent_fold_pairs() -> tuple[str, str]:
 
 
 ACCENT_FROM, ACCENT_TO = _accent_fold_pairs()
+
+# Declared search spaces and defaults of the model families. Settings without
+# a Spark ML counterpart (solver, kernel, gamma, min_samples_split) are left out.
+MODEL_GRIDS = {
+    "logistic_regression": {"C": (0.1, 1.0, 10.0), "max_iter": (1000, 2000)},
+    "random_forest": {"n_estimators": (50, 100, 200), "max_depth": (5, 10, None), "min_samples_leaf": (1, 2, 4)},
+    "svm": {"C": (0.1, 1.0, 10.0)},
+    "naive_bayes": {"alpha": (0.1, 1.0, 10.0), "fit_prior": (True, False)},
+    "gradient_boosting": {"n_estimators": (50, 100, 200), "learning_rate": (0.01, 0.1, 0.2), "max_depth": (3, 5, 7)},
+}
+MODEL_DEFAULTS = {
+    "logistic_regression": {"C": 1.0, "max_iter": 1000},
+    "random_forest": {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1},
+    "svm": {"C": 1.0},
+    "naive_bayes": {"alpha": 1.0, "fit_prior": True},
+    "gradient_boosting": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5},
+}
+SEARCH_FOLDS = 3
+SEARCH_DRAWS = 50

@@ -655,12 +655,18 @@ def q_transform_unseen(spark, sf_dir):
                          r6(F.coalesce("total", F.lit(0.0))).alias("total")))
 
 
-@register("feature_vectors")
+@register("feature_vectors", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
+top AS (SELECT term_idx FROM chi ORDER BY round(score, 9) DESC, term_idx DESC LIMIT 50),
+sel AS (SELECT term_idx, CAST(row_number() OVER (ORDER BY term_idx) - 1 AS INTEGER) AS sel_idx FROM top)
+SELECT nw.doc_id, sel.sel_idx, round(nw.value, 6) AS value FROM nw JOIN sel ON nw.term_idx = sel.term_idx""")
 def q_vectors(spark, sf_dir):
-    """Spark ML vector form (rows-only check)."""
+    """Spark ML vectors, unfolded into their non-zero entries."""
+    from pyspark.ml.functions import vector_to_array
     from ..operators.features import feature_vectors
     m = _fit(spark, sf_dir)
-    return feature_vectors(m, _processed(spark, sf_dir), "doc_id")
+    v = feature_vectors(m, _processed(spark, sf_dir), "doc_id")
+    return v.select("doc_id", F.posexplode(vector_to_array("features")).alias("sel_idx", "_v")) \
+        .where("_v <> 0").select("doc_id", "sel_idx", r6(F.col("_v")).alias("value"))
 
 
 @register("extractor_roundtrip", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
@@ -970,7 +976,7 @@ def q_train_svc(spark, sf_dir):
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
     from ..operators.training import gradient_boosting
-    return _train_eval(spark, sf_dir, lambda n: gradient_boosting(50, 0.1, 3))
+    return _train_eval(spark, sf_dir, lambda n: gradient_boosting(100, 0.1, 5))
 
 
 @register("train_nb", _split_features_sql() + """,
@@ -1009,35 +1015,47 @@ def q_train_nb(spark, sf_dir):
     return te_docs.join(pred, "doc_id").select("doc_id", "label", "prediction")
 
 
+def _fold_docs(spark, sf_dir, k):
+    """Processed labelled documents outside the test split with stratified folds."""
+    from ..operators.split import stratified_folds, stratified_split
+    from ..session import materialize
+    s = stratified_split(_processed(spark, sf_dir)).where("split <> 'test'")
+    return materialize(stratified_folds(s.select("doc_id", "sentiment", "cleaned_text"), k), "folds")
+
+
 @register("cross_validate")
 def q_cv(spark, sf_dir):
-    from ..operators.training import cross_validate, logistic_regression
-    d = _ml_data(spark, sf_dir).where("split <> 'test'").persist()
-    n = d.count()
-    cvm = cross_validate(logistic_regression(n), d, fold_col="fold", num_folds=5)
-    return spark.createDataFrame([(float(x),) for x in cvm.avgMetrics], "avg_f1 double")
+    """F1 of each fold, with features fitted on the other folds."""
+    from ..operators.training import cross_validate_text
+    scores = cross_validate_text(_fold_docs(spark, sf_dir, 5), num_folds=5)
+    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(scores)], "fold int, f1 double")
+
+
+def _search(spark, sf_dir, candidates):
+    """Mean F1 over the declared stratified folds for each candidate."""
+    from ..functions import constants as K
+    from ..operators.features import feature_vectors, fit
+    from ..operators.training import cross_validate
+    from ..session import materialize
+    docs = _fold_docs(spark, sf_dir, K.SEARCH_FOLDS)
+    model = fit(docs)
+    data = docs.select("doc_id", "fold", F.col("sentiment").cast("double").alias("label")) \
+        .join(feature_vectors(model, docs, "doc_id"), "doc_id")
+    scores = cross_validate("logistic_regression", candidates, materialize(data, "search"), num_folds=K.SEARCH_FOLDS)
+    return spark.createDataFrame([(i, c["C"], c["max_iter"], sum(x) / len(x)) for i, (c, x) in enumerate(zip(candidates, scores))],
+                                 "candidate int, c double, max_iter int, avg_f1 double")
 
 
 @register("grid_search")
 def q_grid(spark, sf_dir):
-    from ..operators.training import cross_validate, logistic_regression, lr_grid
-    d = _ml_data(spark, sf_dir).where("split <> 'test'").persist()
-    n = d.count()
-    est = logistic_regression(n)
-    grid = lr_grid(est, n)
-    cvm = cross_validate(est, d, grid, fold_col=None, num_folds=3)
-    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(cvm.avgMetrics)], "candidate int, avg_f1 double")
+    from ..operators.training import grid
+    return _search(spark, sf_dir, grid("logistic_regression"))
 
 
 @register("random_search")
 def q_random(spark, sf_dir):
-    from ..operators.training import cross_validate, logistic_regression, lr_grid, random_draws
-    d = _ml_data(spark, sf_dir).where("split <> 'test'").persist()
-    n = d.count()
-    est = logistic_regression(n)
-    grid = random_draws(lr_grid(est, n), 4, seed=42)
-    cvm = cross_validate(est, d, grid, fold_col=None, num_folds=3)
-    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(cvm.avgMetrics)], "candidate int, avg_f1 double")
+    from ..operators.training import grid, random_draws
+    return _search(spark, sf_dir, random_draws(grid("logistic_regression")))
 
 
 # ---------------------------------------------------------------------------
@@ -1078,21 +1096,23 @@ def _write_two_encodings(spark, sf_dir, p):
     d.where("lang NOT IN ('de', 'fr')").write.option("header", True).option("escape", '"').csv(p + "/utf8")
 
 
-@register("scan_csv", "SELECT doc_id, lang, source FROM documents")
+@register("scan_csv", "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents")
 def q_scan_csv(spark, sf_dir):
     from ..sources.readers import scan_csv
     p = _scratch(spark, "csv")
     _write_two_encodings(spark, sf_dir, p)
     d = scan_csv(spark, [p + "/latin1", p + "/utf8"], "doc_id bigint, lang string, source string, text string")
-    return d.select("doc_id", "lang", "source")
+    return d.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
 
 
-@register("detect_encoding")
+@register("detect_encoding", """SELECT DISTINCT CASE WHEN lang IN ('de', 'fr') THEN 'latin1' ELSE 'utf8' END AS folder,
+  CASE WHEN lang IN ('de', 'fr') THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding FROM documents""")
 def q_detect(spark, sf_dir):
     from ..sources.readers import detect_encoding
     p = _scratch(spark, "enc")
     _write_two_encodings(spark, sf_dir, p)
-    return detect_encoding(spark, [p + "/latin1", p + "/utf8"]).groupBy("encoding").count()
+    found = detect_encoding(spark, [p + "/latin1", p + "/utf8"])
+    return found.select(F.element_at(F.split("file_path", "/"), -2).alias("folder"), "encoding").distinct()
 
 
 @register("write_json", f"SELECT doc_id, sentiment, cleaned AS cleaned_text FROM ({processed_sql(LABELLED_DOCS_SQL)})")
@@ -1134,7 +1154,17 @@ def q_write_features(spark, sf_dir):
     return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("sample_data")
+def _sample_sql():
+    from ..functions import constants as K
+    d = "md5('42:' || CAST(doc_id AS VARCHAR))"
+    digit = "(strpos('0123456789abcdef', substr({}, {}, 1)) - 1)"
+    coin, pick = digit.format(d, 1) + " % 2", digit.format(d, 2) + " % 8 + 1"
+    return (f"SELECT doc_id AS id, CASE WHEN {coin} = 0 THEN {S.str_list(K.SAMPLE_POSITIVE)}[{pick}] "
+            f"ELSE {S.str_list(K.SAMPLE_NEGATIVE)}[{pick}] END AS text, "
+            f"CASE WHEN {coin} = 0 THEN 1 ELSE 0 END AS sentiment FROM documents")
+
+
+@register("sample_data", _sample_sql())
 def q_sample(spark, sf_dir):
     """Synthetic labelled rows, one per document id."""
     from ..sources.readers import sample_data
