@@ -28,7 +28,7 @@ def test_feature_vectors_match_long_form(spark):
 def test_quality_report_and_label_mapping(spark):
     df = spark.createDataFrame([(1, "short", 0), (2, "a long enough text", 1), (3, None, 2), (4, "x" * 1200, None)],
                                "doc_id long, text string, sentiment int")
-    r = {x.check: x for x in quality.quality_report(df).collect()}
+    r = {x.check: x for x in quality.quality_report(df, required=("text", "sentiment")).collect()}
     assert r["label_values"].value == 2.0 and not r["label_values"].passed
     assert abs(r["missing_ratio"].value - 2 / 12) < 1e-12
     assert r["short_texts"].value == 1.0 and r["long_texts"].value == 1.0
@@ -36,3 +36,35 @@ def test_quality_report_and_label_mapping(spark):
     assert sorted(map(tuple, m.collect())) == [("a", 0), ("b", 1), ("c", 2)]
     applied = labels.apply_label_mapping(spark.createDataFrame([("a",), ("z",), (None,)], "sentiment string"), m)
     assert sorted(r.sentiment for r in applied.collect()) == [0, 1, 1]
+
+
+def test_required_columns_default_and_raise(spark):
+    import pytest
+    df = spark.createDataFrame([("a text", 1)], "text string, sentiment int")
+    r = quality.quality_report(df).first()
+    assert (r.check, r.value, r.passed) == ("required_columns", 1.0, False)
+    with pytest.raises(ValueError):
+        quality.validate(df)
+
+
+def test_declared_search_spaces_and_draws(spark):
+    from textlathe.operators import training as TR
+    assert {f: len(TR.grid(f)) for f in TR.MODEL_GRIDS} == {
+        "logistic_regression": 6, "random_forest": 27, "svm": 3, "naive_bayes": 6, "gradient_boosting": 27}
+    for family in TR.MODEL_GRIDS:
+        TR.estimator(family, 100)
+        TR.estimator(family, 100, **TR.grid(family)[-1])
+    assert TR.estimator("gradient_boosting", 100).getMaxDepth() == 5
+    assert len(TR.random_draws(TR.grid("gradient_boosting"))) == 27
+    assert TR.random_draws(TR.grid("svm"), 2) == TR.random_draws(TR.grid("svm"), 2)
+
+
+def test_cross_validation_scores_the_positive_class(spark):
+    from pyspark.ml.linalg import Vectors
+    from textlathe.operators import training as TR
+    pred = spark.createDataFrame([(1.0, 1.0)] * 2 + [(1.0, 0.0)] * 2 + [(0.0, 0.0)] * 96, "label double, prediction double")
+    assert abs(TR.positive_f1(pred) - 2 / 3) < 1e-9
+    rows = [(i % 3, float(i % 2), Vectors.dense([float(i % 2), 1.0])) for i in range(30)]
+    data = spark.createDataFrame(rows, ["fold", "label", "features"])
+    got = TR.cross_validate("logistic_regression", TR.grid("logistic_regression")[:2], data, num_folds=3)
+    assert len(got) == 2 and all(len(x) == 3 and min(x) == 1.0 for x in got)

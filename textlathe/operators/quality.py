@@ -53,7 +53,7 @@ def small_classes(df: DataFrame, label_col: str = "sentiment", min_n: int = K.MI
 
 
 def quality_report(df: DataFrame, text_col: str = "text", label_col: str = "sentiment",
-                   required=("text", "sentiment"), valid=K.VALID_LABELS,
+                   required=("text", "sentiment", "cleaned_text"), valid=K.VALID_LABELS,
                    max_missing: float = K.MAX_MISSING_RATIO, lo: int = K.MIN_TEXT_LENGTH,
                    hi: int = K.MAX_TEXT_LENGTH, min_class: int = K.MIN_SAMPLES_PER_CLASS) -> DataFrame:
     """(check, severity, value, threshold, passed): the seven checks in one

@@ -116,10 +116,11 @@ LEFT_DOCS_SQL = ("SELECT d.doc_id, d.text, l.quality + l.toxic AS sentiment "
                  "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 
 
-@register("standardize_columns", "SELECT doc_id, lang AS text, source AS sentiment, lang, source FROM documents")
+@register("standardize_columns", "SELECT doc_id, md5(text) AS text_md5, lang AS sentiment FROM documents")
 def q_standardize(spark, sf_dir):
     from ..operators.cleaning import standardize_columns
-    return standardize_columns(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "lang", "source")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"), "lang")
+    return standardize_columns(d, "body", "lang").select("doc_id", F.md5("text").alias("text_md5"), "sentiment")
 
 
 @register("drop_null_keys", f"SELECT doc_id, sentiment FROM ({LEFT_DOCS_SQL}) WHERE text IS NOT NULL AND sentiment IS NOT NULL")
@@ -136,10 +137,22 @@ def q_lower(spark, sf_dir):
     return d.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n"))
 
 
-@register("drop_blank_text", f"SELECT doc_id FROM documents WHERE NOT ({S.is_blank(S.lowercase('text'))})")
+# documents with some texts blanked, so that the blank branch has rows
+BLANKED_SQL = ("(SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN ' ' || chr(9) || chr(10) ELSE text END AS text, "
+               "CASE WHEN doc_id % 11 = 0 THEN NULL ELSE lang END AS sentiment FROM documents)")
+
+
+def _blanked(spark, sf_dir):
+    text = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 7 == 1, " \t\n").otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", text.alias("text"), F.when(F.col("doc_id") % 11 != 0, F.col("lang")).alias("sentiment"))
+
+
+@register("drop_blank_text", f"SELECT doc_id, md5({S.lowercase('text')}) AS text_md5 FROM {BLANKED_SQL} "
+                             f"WHERE NOT ({S.is_blank(S.lowercase('text'))})")
 def q_blank(spark, sf_dir):
     from ..operators.cleaning import drop_blank_text, lowercase_text
-    return drop_blank_text(lowercase_text(table(spark, sf_dir, "documents"))).select("doc_id")
+    return drop_blank_text(lowercase_text(_blanked(spark, sf_dir))).select("doc_id", F.md5("text").alias("text_md5"))
 
 
 @register("cleaning_report", f"""
@@ -147,10 +160,10 @@ SELECT CAST(count(*) AS BIGINT) AS rows_in,
        CAST(count(*) FILTER (WHERE text IS NULL OR sentiment IS NULL) AS BIGINT) AS dropped_null,
        CAST(count(*) FILTER (WHERE text IS NOT NULL AND sentiment IS NOT NULL AND {S.is_blank(S.lowercase('text'))}) AS BIGINT) AS dropped_blank,
        CAST(count(*) FILTER (WHERE text IS NOT NULL AND sentiment IS NOT NULL AND NOT ({S.is_blank(S.lowercase('text'))})) AS BIGINT) AS rows_out
-FROM ({LEFT_DOCS_SQL})""")
+FROM {BLANKED_SQL}""")
 def q_cleaning_report(spark, sf_dir):
     from ..operators.cleaning import cleaning_report
-    return cleaning_report(_lbl_docs_left(spark, sf_dir))
+    return cleaning_report(_blanked(spark, sf_dir))
 
 
 @register("strip_special", f"SELECT doc_id, md5({S.strip_special(S.lowercase('text'))}) AS h FROM documents")
@@ -167,11 +180,11 @@ def q_tokenize(spark, sf_dir):
     return d.select("doc_id", F.explode(T.tokenize(T.strip_special(T.lowercase("text")))).alias("token"))
 
 
-@register("remove_stopwords", f"SELECT doc_id, CAST(len({S.remove_stopwords(S.tokenize(S.strip_special(S.lowercase('text'))))}) AS INTEGER) AS n_tokens FROM documents")
+@register("remove_stopwords", f"SELECT doc_id, md5(array_to_string({S.remove_stopwords(S.tokenize(S.strip_special(S.lowercase('text'))))}, ' ')) AS tokens_md5 FROM documents")
 def q_stop(spark, sf_dir):
     from ..functions import text as T
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.size(T.remove_stopwords(T.tokenize(T.strip_special(T.lowercase("text"))))).alias("n_tokens"))
+        "doc_id", F.md5(F.array_join(T.remove_stopwords(T.tokenize(T.strip_special(T.lowercase("text")))), " ")).alias("tokens_md5"))
 
 
 @register("lemmatize", f"""
@@ -236,13 +249,20 @@ def q_features_labels(spark, sf_dir):
     return features_labels(_processed(spark, sf_dir))
 
 
-@register("normalize_nulls", f"""
-SELECT CAST(count(*) FILTER (WHERE role IN ({', '.join(S.q(t) for t in __import__('textlathe.functions.constants', fromlist=['x']).NA_TOKENS)})) AS BIGINT) AS null_roles,
-       CAST(count(*) AS BIGINT) AS n FROM conversations""")
+def _na_tokens():
+    from ..functions import constants as K
+    return [*K.NA_TOKENS, "nA", " "]  # the last two are ordinary values
+
+
+@register("normalize_nulls", f"""SELECT doc_id, CASE WHEN list_contains({S.str_list(_na_tokens()[:-2])}, v) THEN NULL ELSE v END AS value
+FROM (SELECT doc_id, {S.str_list(_na_tokens())}[CAST(doc_id % {len(_na_tokens())} AS INTEGER) + 1] AS v FROM documents)""")
 def q_normalize_nulls(spark, sf_dir):
+    """Every missing-value token, and two look-alikes, as a field."""
     from ..operators.cleaning import normalize_nulls
-    c = normalize_nulls(table(spark, sf_dir, "conversations"), ["role"])
-    return c.agg(F.count_if(F.col("role").isNull()).alias("null_roles"), F.count(F.lit(1)).alias("n"))
+    t = _na_tokens()
+    at = (F.col("doc_id") % len(t) + 1).cast("int")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.element_at(F.array(*[F.lit(x) for x in t]), at).alias("value"))
+    return normalize_nulls(d, ["value"])
 
 
 # ---------------------------------------------------------------------------
@@ -308,7 +328,7 @@ UNION ALL SELECT 'long_texts', 'warning', long, 1000.0, long = 0 FROM a
 UNION ALL SELECT 'small_classes', 'warning', small, 10.0, small = 0 FROM a""")
 def q_quality_report(spark, sf_dir):
     from ..operators.quality import quality_report
-    return quality_report(_lbl_docs_left(spark, sf_dir))
+    return quality_report(_lbl_docs_left(spark, sf_dir), required=("text", "sentiment"))
 
 
 @register("invalid_labels", f"SELECT sentiment, CAST(count(*) AS BIGINT) AS n FROM ({LEFT_DOCS_SQL}) "
@@ -496,19 +516,19 @@ def _fit(spark, sf_dir, **cfg_kw):
     return fit(_processed(spark, sf_dir), "cleaned_text", "sentiment", "doc_id", cfg)
 
 
-@register("tfidf_tokens", f"WITH {FEAT_SRC} SELECT doc_id, CAST(len({S.vectorizer_tokens('cleaned')}) AS INTEGER) AS n_tokens FROM src")
+@register("tfidf_tokens", f"WITH {FEAT_SRC} SELECT doc_id, md5(array_to_string({S.vectorizer_tokens('cleaned')}, ' ')) AS tokens_md5 FROM src")
 def q_tfidf_tokens(spark, sf_dir):
     from ..functions import text as T
-    return _processed(spark, sf_dir).select("doc_id", F.size(T.vectorizer_tokens("cleaned_text")).alias("n_tokens"))
+    return _processed(spark, sf_dir).select("doc_id", F.md5(F.array_join(T.vectorizer_tokens("cleaned_text"), " ")).alias("tokens_md5"))
 
 
 @register("ngrams", f"WITH {FEAT_SRC}, tk AS (SELECT doc_id, {S.vectorizer_tokens('cleaned')} AS tk FROM src) "
                     f"SELECT doc_id, CAST(len({S.ngrams_1_2('tk')}) AS INTEGER) AS n_grams, "
-                    f"{S.ngrams_1_2('tk')}[-1] AS last_gram FROM tk")
+                    f"md5(array_to_string({S.ngrams_1_2('tk')}, '|')) AS grams_md5 FROM tk")
 def q_ngrams(spark, sf_dir):
     from ..operators.features import LIVE_CONFIG, grams
     g = grams(_processed(spark, sf_dir).select("doc_id", "cleaned_text"), "cleaned_text", LIVE_CONFIG)
-    return g.select("doc_id", F.size("grams").alias("n_grams"), F.element_at("grams", -1).alias("last_gram"))
+    return g.select("doc_id", F.size("grams").alias("n_grams"), F.md5(F.array_join("grams", "|")).alias("grams_md5"))
 
 
 @register("term_frequency", f"WITH {FEAT_SRC}, {features_ctes('src')} SELECT doc_id, term, tf FROM tf")
@@ -1068,23 +1088,25 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-@register("scan_json", "SELECT doc_id, lang, source, n_chars FROM documents")
+@register("scan_json", "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents")
 def q_scan_json(spark, sf_dir):
     from ..sources.readers import scan_json
     from ..sources.writers import write_json
     p = _scratch(spark, "json")
-    write_json(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars"), p)
-    return scan_json(spark, p, "doc_id bigint, lang string, source string, n_chars bigint")
+    write_json(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text"), p)
+    d = scan_json(spark, p, "doc_id bigint, lang string, source string, n_chars bigint, text string")
+    return d.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
 @register("scan_json_columns", "SELECT event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS total FROM events GROUP BY event_type")
 def q_scan_json_columns(spark, sf_dir):
-    """Column-form JSON: one object of arrays per event type, zipped back."""
+    """Column-form JSON: objects of arrays (a thousand events each), zipped back."""
     from ..sources.readers import scan_json_columns
     p = _scratch(spark, "jsoncols")
     ev = table(spark, sf_dir, "events")
-    (ev.groupBy("event_type").agg(F.collect_list("event_id").alias("event_id"), F.collect_list("value").alias("value"))
-       .select("event_id", "value", "event_type").write.json(p))
+    (ev.groupBy(F.floor(F.col("event_id") / 1000).alias("part"))
+       .agg(F.collect_list(F.struct("event_id", "value")).alias("e"))
+       .select("e.event_id", "e.value").write.json(p))
     rows = scan_json_columns(spark, p, ["event_id", "value"], "event_id bigint, value double", multiline=False)
     return (ev.select("event_id", "event_type").join(rows, "event_id")
               .groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), r6(F.sum("value")).alias("total")))
@@ -1133,17 +1155,17 @@ def q_write_processed(spark, sf_dir):
 
 
 @register("write_splits", f"WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)} "
-                          "SELECT split, CAST(count(*) AS BIGINT) AS n FROM assigned GROUP BY split")
+                          "SELECT doc_id, split FROM assigned")
 def q_write_splits(spark, sf_dir):
     from ..operators.split import stratified_split
     from ..sources.writers import write_splits
     p = _scratch(spark, "wsplit")
     write_splits(stratified_split(_split_input(spark, sf_dir)), p)
-    return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(p).select("doc_id", "split")
 
 
 @register("write_features", _split_features_sql() + """
-SELECT split, CAST(count(*) AS BIGINT) AS n FROM anw JOIN sel ON anw.term_idx = sel.term_idx GROUP BY split""")
+SELECT split, doc_id, sel.sel_idx, round(value, 6) AS value FROM anw JOIN sel ON anw.term_idx = sel.term_idx""")
 def q_write_features(spark, sf_dir):
     from ..operators.split import stratified_split
     from ..sources.writers import write_features
@@ -1151,7 +1173,7 @@ def q_write_features(spark, sf_dir):
     p = _scratch(spark, "wfeat")
     feats, _ = features_for_splits(stratified_split(_processed(spark, sf_dir)).persist())
     write_features(feats, p)
-    return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(p).select("split", "doc_id", "sel_idx", r6(F.col("value")).alias("value"))
 
 
 def _sample_sql():
@@ -1171,13 +1193,13 @@ def q_sample(spark, sf_dir):
     return sample_data(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))).drop("created_at")
 
 
-@register("prep_summary", f"""WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)}
+@register("prep_summary", _split_features_sql() + f"""
 SELECT 'raw_rows' AS stage, CAST(count(*) AS BIGINT) AS value FROM ({LABELLED_DOCS_SQL})
 UNION ALL SELECT 'processed_rows', count(*) FROM src
 UNION ALL SELECT 'train_rows', count(*) FILTER (WHERE split = 'train') FROM assigned
 UNION ALL SELECT 'test_rows', count(*) FILTER (WHERE split = 'test') FROM assigned
 UNION ALL SELECT 'val_rows', count(*) FILTER (WHERE split = 'val') FROM assigned
-UNION ALL SELECT 'num_features', CAST(50 AS BIGINT)""")
+UNION ALL SELECT 'num_features', count(*) FROM sel""")
 def q_prep_summary(spark, sf_dir):
     """The whole flow (scan -> clean -> split -> features -> tracking) into the
     shared folder; one row per stage."""
