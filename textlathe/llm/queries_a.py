@@ -98,6 +98,36 @@ SELECT doc_id, size, source_size, target,
 FROM m
 """
 
+# CRC-32 by its published polynomial; jump consistent hash by its published
+# loop, on 64-bit keys in HUGEINT arithmetic.
+OP2_SQL = f"""
+WITH RECURSIVE tbl AS (
+  SELECT list_transform(list_transform(range(256), lambda i: i::UBIGINT), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, i)) AS t
+), b AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS h,
+         md5(concat(coalesce(doc_id::VARCHAR, ''), ':', coalesce(text, ''))) AS o,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT::HUGEINT AS k FROM documents
+), l AS (
+  SELECT doc_id, size, o, k, list_transform(range(1, size),
+    lambda i: ('0x' || substr(h, 2 * i - 1, 2))::UBIGINT) AS bytes FROM b
+), c AS (
+  SELECT doc_id, size, o, k, xor(list_reduce(bytes, lambda a, x: xor(a >> 8, t[(xor(a, x) % 256 + 1)::BIGINT]),
+    4294967295::UBIGINT), 4294967295::UBIGINT)::BIGINT AS text_crc32 FROM l, tbl
+), jump AS (
+  SELECT DISTINCT k AS start, n, k, -1::BIGINT AS b, 0::BIGINT AS j FROM c, (VALUES ({N_SHARDS}), ({N_SHARDS + 1})) v(n)
+  UNION ALL
+  SELECT start, n, k2, j, floor((j + 1) * (2147483648::DOUBLE / (k2 // 8589934592 + 1)::DOUBLE))::BIGINT
+  FROM (SELECT start, n, j, (k * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT AS k2
+        FROM jump WHERE j < n)
+), s AS (
+  SELECT start, n, max(b) AS shard FROM jump GROUP BY start, n
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, a.shard,
+       row_number() OVER (PARTITION BY a.shard ORDER BY o, doc_id) - 1 AS slot, g.shard AS grown_shard
+FROM c JOIN s a ON a.start = c.k AND a.n = {N_SHARDS} JOIN s g ON g.start = c.k AND g.n = {N_SHARDS + 1}
+"""
+
 QUERIES = {"op2_jump_shards": op2_jump_shards, "op5_url_vocabulary": op5_url_vocabulary,
            "op6_curriculum_mix": op6_curriculum_mix}
-ORACLE = {"op5_url_vocabulary": OP5_SQL, "op6_curriculum_mix": OP6_SQL}
+ORACLE = {"op2_jump_shards": OP2_SQL, "op5_url_vocabulary": OP5_SQL, "op6_curriculum_mix": OP6_SQL}

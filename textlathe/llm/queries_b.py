@@ -20,4 +20,25 @@ def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_embedding_groups": op10_embedding_groups, "op7_simhash_groups": op7_simhash_groups}
-ORACLE: dict[str, str] = {}
+# All pairs of a label, then the closure of the links.
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+), c AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+), n AS (
+  SELECT a, count(*) AS n FROM l GROUP BY a
+)
+SELECT m.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.low, m.vec_id) AS component_id,
+       coalesce(m.vec_id = coalesce(c.low, m.vec_id), false) AS kept
+FROM embeddings m LEFT JOIN c ON c.a = m.vec_id LEFT JOIN n ON n.a = m.vec_id
+"""
+ORACLE: dict[str, str] = {"op10_embedding_groups": OP10_SQL}
