@@ -2,25 +2,20 @@
 
 The mapping is a two-column table ``(label, label_idx)``: distinct non-null
 labels in ascending order, numbered from 0. It has one row per class, so it is
-small; its size is counted (bounded) before it is broadcast.
+small; runtime sizes decide whether it is broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import bounded_broadcast, global_index
 
-MAX_PLAIN_CLASSES = 100_000
-
 
 def label_mapping(df: DataFrame, label_col: str = "sentiment") -> DataFrame:
     """(label, label_idx INT): sorted distinct non-null labels -> 0..n-1."""
     labels = df.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct()
-    n = labels.limit(MAX_PLAIN_CLASSES + 1).count()
-    if n <= MAX_PLAIN_CLASSES:
-        return labels.withColumn("label_idx", (F.row_number().over(Window.orderBy("label")) - 1).cast("int"))
     return global_index(labels, [F.col("label")], "label_idx").withColumn("label_idx", F.col("label_idx").cast("int"))
 
 
@@ -28,15 +23,15 @@ def apply_label_mapping(df: DataFrame, mapping: DataFrame, label_col: str = "sen
                         mapping_rows: int | None = None) -> DataFrame:
     """Replace the label by its index. Labels missing from the mapping (and
     nulls) get ``max(mapped index present in df) + 1`` (0 when none is
-    mapped). The mapping is broadcast when its row count is bounded."""
-    if mapping_rows is None:
-        mapping_rows = mapping.limit(MAX_PLAIN_CLASSES + 1).count()
-    m = bounded_broadcast(mapping.select(F.col("label").alias("_lbl"), "label_idx"),
-                          mapping_rows if mapping_rows <= MAX_PLAIN_CLASSES else None)
-    j = df.join(m, df[label_col] == m["_lbl"], "left").drop("_lbl")
-    # One small aggregate decides the fill value (reads only the label).
-    unmapped, mx = j.agg(F.count_if(F.col("label_idx").isNull()), F.max("label_idx")).first()
+    mapped). The mapping is broadcast when the caller knows that it has at most
+    ``mapping_rows`` rows; otherwise runtime sizes decide."""
+    m = bounded_broadcast(mapping.select(F.col("label").alias("_lbl"), "label_idx"), mapping_rows)
+    # One small aggregate over the distinct labels decides the fill value.
+    present = df.select(label_col).distinct()
+    unmapped, mx = present.join(m, present[label_col] == m["_lbl"], "left").agg(
+        F.count_if(F.col("label_idx").isNull()), F.max("label_idx")).first()
     fill = (-1 if mx is None else mx) + 1
+    j = df.join(m, df[label_col] == m["_lbl"], "left").drop("_lbl")
     idx = F.col("label_idx") if not unmapped else F.coalesce("label_idx", F.lit(fill))
     return j.withColumn(label_col, idx.cast("int")).drop("label_idx")
 
@@ -46,8 +41,7 @@ def label_distribution(df: DataFrame, mapping: DataFrame, label_col: str = "sent
     ``Unknown_<n>`` for indices with no label in the mapping."""
     counts = df.groupBy(F.col(label_col).alias("label_idx")).agg(F.count(F.lit(1)).alias("n"))
     names = mapping.select("label_idx", F.col("label").cast("string").alias("label_name"))
-    n = names.limit(MAX_PLAIN_CLASSES + 1).count()
-    return (counts.join(bounded_broadcast(names, n if n <= MAX_PLAIN_CLASSES else None), "label_idx", "left")
+    return (counts.join(names, "label_idx", "left")
                   .select("label_idx",
                           F.coalesce("label_name", F.concat(F.lit("Unknown_"), F.col("label_idx").cast("string"))).alias("label_name"),
                           "n"))
