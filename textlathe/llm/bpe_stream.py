@@ -36,7 +36,8 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")  # str.split() takes these for white space
 
 CHUNK = 1 << 16    # characters looked at together
 CACHED = 1 << 18   # words whose ids are remembered in a worker
-ROWS = 256         # rows of an output batch
+ROWS = 256         # rows of an output batch, at most
+BYTES = 1 << 26    # bytes at which an output batch is closed early
 
 
 def byte_characters() -> list[str]:
@@ -377,7 +378,7 @@ def transcode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     """``(key, ids array<int>, decoded string)`` for every row: the whole text
     encoded, and its ids decoded again. Null texts count as empty and give no
     ids. One output row per input row, no shuffle; a worker holds one input
-    batch, ``ROWS`` outputs and its bounded word tables. Extra columns are not
+    batch, one output batch and its bounded word tables. Extra columns are not
     carried.
     """
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -386,18 +387,20 @@ def transcode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, dec = encoder(path), decoder(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                part = batch.slice(i, ROWS)
-                ids, ends, decoded = [], [0], []
-                for t in part.column(1):
-                    flat = b"".join(enc.encode(t.as_py() or ""))
-                    ids.append(flat)
-                    ends.append(ends[-1] + len(flat) // 4)
-                    decoded.append(dec.feed(np.frombuffer(flat, dtype=np.int32), final=True))
-                values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(decoded, pa.string())],
-                                                 names=["key", "ids", "decoded"])
+            ids, ends, decoded, begun, size = [], [0], [], 0, 0
+            for row, t in enumerate(batch.column(1)):
+                flat = b"".join(enc.encode(t.as_py() or ""))
+                ids.append(flat)
+                ends.append(ends[-1] + len(flat) // 4)
+                decoded.append(dec.feed(np.frombuffer(flat, dtype=np.int32), final=True))
+                size += len(flat) + len(decoded[-1])
+                if len(ids) == ROWS or size >= BYTES or row + 1 == batch.num_rows:
+                    values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                    keys = batch.column(0).slice(begun, len(ids))
+                    yield pa.RecordBatch.from_arrays([keys, lists, pa.array(decoded, pa.string())],
+                                                     names=["key", "ids", "decoded"])
+                    ids, ends, decoded, begun, size = [], [0], [], row + 1, 0
 
     return source.mapInArrow(run, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
 
