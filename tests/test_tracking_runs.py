@@ -47,15 +47,17 @@ def test_segmented_rank_with_hot_key(spark):
 
 def test_compare_runs_missing_metric_and_equal_names(spark):
     t = dt.datetime(2024, 1, 1)
-    data = [("e", "r1", "same", t, {}, {"f1": 0.5}),
-            ("e", "r2", "same", t + dt.timedelta(1), {}, {"f1": 0.9}),
-            ("e", "r3", "other", t, {}, {})]
+    data = [("e", "r1", "same", t, {}, {"f1": 0.5}, {"t": "x"}, ["a", "b"]),
+            ("e", "r2", "same", t + dt.timedelta(1), {}, {"f1": 0.9}, None, None),
+            ("e", "r3", "other", t, {}, {}, {}, [])]
     df = spark.createDataFrame(data, runs.RUN_SCHEMA)
     c = {r.run_name: r for r in runs.compare_runs(df, "e").collect()}
     assert c["same"].run_id == "r1" and c["same"].metric_value == 0.5
     assert c["other"].metric_value == 0.0
     assert runs.best_run(runs.compare_runs(df, "e")).first().run_name == "same"
     assert {r.run_id for r in runs.retain_last_runs(df, 1).collect()} == {"r1", "r3"}
+    assert sorted(tuple(r) for r in runs.run_log_long(df).where("run_id = 'r1'").collect()) == [
+        ("r1", "artifact", "0", "a"), ("r1", "artifact", "1", "b"), ("r1", "metric", "f1", "0.5"), ("r1", "tag", "t", "x")]
 
 
 def test_segmented_running_matches_windows(spark):
@@ -92,7 +94,7 @@ def test_null_split_params_clear_the_record(spark):
 
 
 def test_rankings_over_all_rows_never_use_one_task(spark):
-    df = spark.createDataFrame([("e", f"r{i}", f"n{i}", dt.datetime(2024, 1, 1), {"a": "1"}, {"f1": i / 9.0})
+    df = spark.createDataFrame([("e", f"r{i}", f"n{i}", dt.datetime(2024, 1, 1), {"a": "1"}, {"f1": i / 9.0}, None, None)
                                 for i in range(9)], runs.RUN_SCHEMA)
     compared = runs.compare_runs(df, "e")
     assert [r.run_id for r in compared.orderBy("rank").collect()] == [f"r{i}" for i in reversed(range(9))]

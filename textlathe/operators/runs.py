@@ -1,7 +1,8 @@
 """Run log and model registry as tables (H1-H7).
 
 Run log: ``(experiment, run_id, run_name, start_time, params MAP<STRING,STRING>,
-metrics MAP<STRING,DOUBLE>)``. Registry: ``(name, run_id, ts, stage)`` with
+metrics MAP<STRING,DOUBLE>, tags MAP<STRING,STRING>, artifacts ARRAY<STRING>)``;
+parameters of a model carry its name as a prefix (``prefixed``). Registry: ``(name, run_id, ts, stage)`` with
 versions numbered per name. Orderings that would put one experiment or model
 on a single task use the skew-safe segmented rank.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .joins import global_index, segmented_rank
 
 RUN_SCHEMA = ("experiment string, run_id string, run_name string, start_time timestamp, "
-              "params map<string,string>, metrics map<string,double>")
+              "params map<string,string>, metrics map<string,double>, tags map<string,string>, artifacts array<string>")
 
 
 def log_runs(runs: DataFrame, path: str) -> None:
@@ -22,12 +23,23 @@ def log_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").parquet(path)
 
 
+def prefixed(params, model: str):
+    """H1: a parameter map with its keys prefixed by the model's name."""
+    return F.transform_keys(params, lambda k, v: F.concat(F.lit(f"{model}_"), k))
+
+
 def run_log_long(runs: DataFrame) -> DataFrame:
-    """H1 long form: (run_id, kind, key, value)."""
-    p = runs.select("run_id", F.lit("param").alias("kind"), F.explode("params").alias("key", "value"))
-    m = runs.select("run_id", F.lit("metric").alias("kind"),
-                    F.explode(F.transform_values("metrics", lambda k, v: v.cast("string"))).alias("key", "value"))
-    return p.unionByName(m)
+    """H1 long form: (run_id, kind, key, value) for params, metrics, tags and
+    artifacts (key: position from 0). One pass over the runs."""
+    def entries(kind, column):
+        return F.transform(F.map_entries(column), lambda e: F.struct(
+            F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].cast("string").alias("value")))
+    files = F.transform("artifacts", lambda a, i: F.struct(
+        F.lit("artifact").alias("kind"), i.cast("string").alias("key"), a.alias("value")))
+    none = F.array().cast("array<struct<kind:string,key:string,value:string>>")
+    every = F.concat(*[F.coalesce(x, none) for x in (
+        entries("param", "params"), entries("metric", "metrics"), entries("tag", "tags"), files)])
+    return runs.select("run_id", F.inline(every))
 
 
 def experiments(runs: DataFrame) -> DataFrame:
@@ -96,9 +108,11 @@ def events_as_runs(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("experiment"), F.col("event_id").cast("string").alias("run_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("run_name"),
         F.col("ts").alias("start_time"),
-        F.create_map(F.lit("k"), k).alias("params"),
+        prefixed(F.create_map(F.lit("k"), k), "m").alias("params"),
         F.when(F.col("event_type") == "error", F.create_map().cast("map<string,double>"))
-         .otherwise(F.create_map(F.lit("f1"), F.col("value"))).alias("metrics"))
+         .otherwise(F.create_map(F.lit("f1"), F.col("value"))).alias("metrics"),
+        F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("tags"),
+        F.array(F.concat(F.lit("event-"), F.col("event_id").cast("string"))).alias("artifacts"))
 
 
 def events_as_registrations(events: DataFrame) -> DataFrame:

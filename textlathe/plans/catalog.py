@@ -830,8 +830,10 @@ RUNS_SQL = """SELECT event_type AS experiment, CAST(event_id AS VARCHAR) AS run_
   ts AS start_time, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS f1, json_extract_string(props, '$.k') AS k FROM events"""
 
 
-@register("run_log", """SELECT CAST(event_id AS VARCHAR) AS run_id, 'param' AS kind, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events
-UNION ALL SELECT CAST(event_id AS VARCHAR), 'metric', 'f1', CAST(value AS VARCHAR) FROM events WHERE event_type <> 'error'""")
+@register("run_log", """SELECT CAST(event_id AS VARCHAR) AS run_id, 'param' AS kind, 'm_k' AS key, json_extract_string(props, '$.k') AS value FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'metric', 'f1', CAST(value AS VARCHAR) FROM events WHERE event_type <> 'error'
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'tag', 'user', CAST(user_id AS VARCHAR) FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'artifact', '0', 'event-' || CAST(event_id AS VARCHAR) FROM events""")
 def q_run_log(spark, sf_dir):
     from ..operators.runs import run_log_long
     return run_log_long(_runs(spark, sf_dir))
@@ -844,6 +846,17 @@ def q_experiments(spark, sf_dir):
     return experiments(_runs(spark, sf_dir))
 
 
+@register("get_or_create_experiments", """SELECT DISTINCT experiment FROM (
+  SELECT event_type AS experiment FROM events UNION ALL SELECT 'new-' || CAST(user_id % 3 AS VARCHAR) FROM events)
+WHERE experiment NOT IN (SELECT event_type FROM events)""")
+def q_get_or_create(spark, sf_dir):
+    """Requested names (known ones and new ones) reduced to those to be created."""
+    from ..operators.runs import experiments, get_or_create
+    runs = _runs(spark, sf_dir)
+    new = table(spark, sf_dir, "events").select(F.concat(F.lit("new-"), (F.col("user_id") % 3).cast("string")).alias("experiment"))
+    return get_or_create(experiments(runs), runs.select("experiment").unionByName(new))
+
+
 @register("experiment_runs", f"SELECT run_id, run_name, start_time FROM ({RUNS_SQL}) WHERE experiment = 'purchase'")
 def q_exp_runs(spark, sf_dir):
     from ..operators.runs import experiment_runs
@@ -858,7 +871,7 @@ SELECT run_name, run_id, metric_value, param_k, metric_f1, CAST(row_number() OVE
 
 def _flat(compared):
     """Compared runs with the parameter and metric of the derived log as columns."""
-    return compared.select("run_name", "run_id", "metric_value", F.col("params")["k"].alias("param_k"),
+    return compared.select("run_name", "run_id", "metric_value", F.col("params")["m_k"].alias("param_k"),
                            F.col("metrics")["f1"].alias("metric_f1"), "rank")
 
 
