@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from textlathe.llm.common import written
 
 START, END = b" start", b" end"  # cannot be words: they hold a space
-CHUNK = 1 << 20                  # tokens counted or scored together
+CHUNK = 1 << 19                  # tokens counted or scored together
 SLICE_BYTES = 6 << 20            # text bytes for each hash range: about a million tokens
-SEGMENT_BYTES = 16 << 20         # bytes of one broadcast
+SEGMENT_BYTES = 8 << 20          # bytes of one broadcast
 BASE = 1.5                       # quantisation: level q holds counts from BASE^(q-1)
 BITS = 16                        # filter bits for each inserted (pair, level)
 
@@ -228,7 +228,7 @@ def fit(train: DataFrame, text: str = "text") -> Model:
     size, documents = texts.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     slices = 1 << max(0, int((size or 0) // SLICE_BYTES).bit_length())
     counted = texts.mapInArrow(_count(slices), "kind int, slice int, keys binary, counts binary")
-    merged = counted.repartition("kind", "slice").sortWithinPartitions("kind", "slice").mapInArrow(
+    merged = counted.repartition(2 * slices, "kind", "slice").sortWithinPartitions("kind", "slice").mapInArrow(
         _merge, "kind int, slice int, distinct long, total long, once long, body binary, extra binary")
     table = written(merged, "lm-slices")
     totals = {r["kind"]: r for r in table.groupBy("kind").agg(
@@ -237,7 +237,7 @@ def fit(train: DataFrame, text: str = "text") -> Model:
     for kind in segments:
         held, weight = [], 0
         rows = table.where(F.col("kind") == kind).select("slice", "body", "extra")
-        rows = rows.repartitionByRange(max(1, slices // 8), "slice").sortWithinPartitions("slice")
+        rows = rows.repartitionByRange(max(1, slices // 4), "slice").sortWithinPartitions("slice")
         for r in rows.toLocalIterator():  # a few slices in the driver at a time
             held.append((r["slice"], bytes(r["body"]), bytes(r["extra"])))
             weight += len(r["body"]) + len(r["extra"])
