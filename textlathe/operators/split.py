@@ -176,8 +176,7 @@ def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quota
     mixed = mixed.withColumn("_r", r).withColumn(
         out, F.when(F.col("_r") <= F.col("_c1"), F.lit(names[0]))
               .when(F.col("_r") <= F.col("_c2"), F.lit(names[1])).otherwise(F.lit(names[2]))).drop("_r")
-    drop = ["_h", "_b", "_c1", "_c2", "_b1", "_s1", "_b2", "_s2"]
-    return done.unionByName(mixed).drop(*drop)
+    return done.unionByName(mixed).select(*[c for c in df.columns if c != out], out)
 
 
 def stratified_split(df: DataFrame, label_col: str | None = "sentiment", id_col: str = "doc_id",
@@ -195,7 +194,10 @@ def stratified_split(df: DataFrame, label_col: str | None = "sentiment", id_col:
         return assign_by_quota(df, label_col, id_col, params.random_state, quotas)
     n = df.count()
     quotas = quotas_train_first({0: n}, params, False)
-    tmp = df.withColumn("_all", F.lit(0))
+    # one class for all rows (an md5 has 32 digits); not a literal, so that the
+    # cut table is joined by key like any other
+    one = F.coalesce(F.length(order_key(id_col, params.random_state)) - 32, F.lit(0))
+    tmp = df.withColumn("_all", one)
     return assign_by_quota(tmp, "_all", id_col, params.random_state, quotas).drop("_all")
 
 
