@@ -1065,7 +1065,9 @@ def q_cv(spark, sf_dir):
 
 
 def _search(spark, sf_dir, candidates):
-    """Mean F1 over the declared stratified folds for each candidate."""
+    """Mean F1 over the declared stratified folds for each candidate, a
+    (family, params) of the search space; ``params`` as JSON."""
+    import json
     from ..functions import constants as K
     from ..operators.features import feature_vectors, fit
     from ..operators.training import cross_validate
@@ -1074,21 +1076,28 @@ def _search(spark, sf_dir, candidates):
     model = fit(docs)
     data = docs.select("doc_id", "fold", F.col("sentiment").cast("double").alias("label")) \
         .join(feature_vectors(model, docs, "doc_id"), "doc_id")
-    scores = cross_validate("logistic_regression", candidates, materialize(data, "search"), num_folds=K.SEARCH_FOLDS)
-    return spark.createDataFrame([(i, c["C"], c["max_iter"], sum(x) / len(x)) for i, (c, x) in enumerate(zip(candidates, scores))],
-                                 "candidate int, c double, max_iter int, avg_f1 double")
+    data = materialize(data, "search")
+    avg = {}
+    for family in dict.fromkeys(f for f, _ in candidates):
+        mine = [i for i, (f, _) in enumerate(candidates) if f == family]
+        scores = cross_validate(family, [candidates[i][1] for i in mine], data, num_folds=K.SEARCH_FOLDS)
+        avg.update((i, sum(x) / len(x)) for i, x in zip(mine, scores))
+    return spark.createDataFrame([(i, f, json.dumps(c), avg[i]) for i, (f, c) in enumerate(candidates)],
+                                 "candidate int, family string, params string, avg_f1 double")
 
 
 @register("grid_search")
 def q_grid(spark, sf_dir):
-    from ..operators.training import grid
-    return _search(spark, sf_dir, grid("logistic_regression"))
+    """Every candidate of every declared family."""
+    from ..operators.training import search_space
+    return _search(spark, sf_dir, search_space())
 
 
 @register("random_search")
 def q_random(spark, sf_dir):
-    from ..operators.training import grid, random_draws
-    return _search(spark, sf_dir, random_draws(grid("logistic_regression")))
+    """The declared number of draws from all families' candidates together."""
+    from ..operators.training import random_draws, search_space
+    return _search(spark, sf_dir, random_draws(search_space()))
 
 
 # ---------------------------------------------------------------------------
