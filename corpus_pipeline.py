@@ -25,9 +25,11 @@ def _rows(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go. Without a usable label
+    (none outside the held-out part for these documents) there is no classifier,
+    and a ValueError instead of an empty corpus; no documents give none."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_scores(_rows(docs), labels).where("predicted = 1").select("_row.*")
+    return quality_scores(_rows(docs), labels, required=True).where("predicted = 1").select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

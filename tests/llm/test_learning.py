@@ -135,3 +135,14 @@ def test_pipeline_on_an_empty_table_and_clashing_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:3]:
         got = stage(spark, docs.limit(40), SF)
         assert got.columns == docs.columns and {(r["size"], r["score"], r["row_id"]) for r in got.collect()} == {(1, 2, 3)}
+
+
+def test_pipeline_without_usable_labels_raises(spark, tmp_path):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(i, "clean words here. " * 5) for i in range(8)], "doc_id long, text string")
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for k, labels in enumerate(([], [(900, 1)], [(held, 1)], [(1, None), (2, 7)])):
+        spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        with pytest.raises(ValueError, match="label"):
+            corpus_pipeline.keep_quality(spark, docs, f"{tmp_path}/{k}")
+    assert corpus_pipeline.keep_quality(spark, docs.limit(0), f"{tmp_path}/0").count() == 0

@@ -10,9 +10,12 @@ from textlathe.llm.common import table
 QUALITY_THRESHOLD = 0.7
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All documents scored by a model that never sees held-out labels."""
+def quality_scores(docs: DataFrame, labels: DataFrame, *, required: bool = False) -> DataFrame:
+    """All documents scored by a model that never sees held-out labels.
+    ``required``: documents without any usable label raise a ValueError."""
     model = quality.fit(docs, labels.where(~quality.held_out("doc_id")))
+    if required and model is None and not docs.isEmpty():
+        raise ValueError("no usable quality label for these documents: nothing can be told good or bad")
     return quality.score(docs, model, threshold=QUALITY_THRESHOLD)
 
 
