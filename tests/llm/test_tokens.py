@@ -120,3 +120,19 @@ def test_transcode_column_forms(spark):
     assert got == [(0, [], ""), (1, ids, "hello</w> there</w>"), (2, [], ""), (2, [], "")]
     assert bpe_stream.transcode(df.limit(0), WORD).count() == 0
     assert zlib.crc32(b"") == 0
+
+
+def test_word_tables_are_bounded_in_bytes():
+    import public_tokenizers
+    encoder = bpe_stream.StreamEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    short = b"".join(encoder.encode("a short word"))
+    for k in range(20):
+        assert b"".join(encoder.encode(f"{'ab' * 5000}{k} {chr(0x4e00 + k) * 10000}"))
+    for t in (encoder.words, encoder.pieces):
+        assert max(map(len, [*t.main, *t.late])) <= bpe_stream.LONGEST
+    assert encoder.words.get("short") and b"".join(encoder.encode("a short word")) == short
+    held = bpe_stream.Remembered(1 << 18, 10_000)
+    for k in range(1000):
+        held[f"{k:0200d}"] = b"1234"
+        assert held.get(f"{k:0200d}") == b"1234"
+        assert sum(4 * len(w) + len(v) for t in (held.main, held.late) for w, v in t.items()) <= 13_000

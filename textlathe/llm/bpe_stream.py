@@ -35,7 +35,9 @@ SPLIT_WHITE = re.compile(f"[{WHITE}]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # str.split() takes these for white space, Unicode does not
 
 CHUNK = 1 << 16    # characters looked at together
-CACHED = 1 << 18   # words whose ids are remembered in a worker
+CACHED = 1 << 18   # words whose ids are remembered in a worker, at most
+LONGEST = 256      # characters of a word that is remembered, at most
+HELD = 1 << 26     # bytes of remembered words and ids (four a character) at which a table is full
 ROWS = 256         # rows of an output batch, at most
 BYTES = 1 << 26    # bytes at which an output batch is closed early
 
@@ -56,24 +58,32 @@ def byte_characters() -> list[str]:
 
 
 class Remembered:
-    """A dictionary of bounded size. What comes first, mostly what is frequent,
-    stays in ``main``; when that is full, the rest passes through ``late``,
-    which is emptied whenever it holds an eighth as much."""
+    """Ids of words, bounded by entries and by bytes. What comes first, mostly
+    what is frequent, stays in ``main``; when that is full, the rest passes
+    through ``late``, which is emptied whenever it holds an eighth as much.
+    Words of more than ``LONGEST`` characters are not kept."""
 
-    def __init__(self, most: int):
+    def __init__(self, most: int, held: int = HELD):
         self.most, self.main, self.late = most, {}, {}
+        self.held, self.main_bytes, self.late_bytes = held, 0, 0
 
     def get(self, key):
         got = self.main.get(key)
         return got if got is not None else self.late.get(key)
 
     def __setitem__(self, key, value) -> None:
-        if len(self.main) < self.most:
+        if len(key) > LONGEST:
+            return
+        size = 4 * len(key) + len(value)
+        if len(self.main) < self.most and self.main_bytes + size <= self.held:
             self.main[key] = value
+            self.main_bytes += size
         else:
-            if len(self.late) > self.most // 8:
+            if len(self.late) > self.most // 8 or self.late_bytes > self.held // 8:
                 self.late.clear()
+                self.late_bytes = 0
             self.late[key] = value
+            self.late_bytes += size
 
 
 class MergeList:
@@ -180,7 +190,9 @@ class WordTransducer:
 class StreamEncoder:
     """Text -> ids exactly as the ``tokenizers`` library encodes with a file of
     the ``word_bpe`` kind: NFC, lower case, words by the file's pattern, byte
-    symbols, word ends. ``words`` remembers at most ``CACHED`` words."""
+    symbols, word ends. ``words`` and ``pieces`` remember at most ``CACHED``
+    words of at most ``LONGEST`` characters and ``HELD`` bytes each, and an
+    eighth more; longer words pass through."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -260,7 +272,7 @@ class StreamEncoder:
                 for i in [i for i, got in enumerate(out) if got is None]:
                     got = words.get(parts[i])
                     if got is None:
-                        got = words[parts[i]] = self._word(parts[i])
+                        got = words[parts[i]] = self._word(parts[i])  # kept if it is short
                     out[i] = got
             yield b"".join(out)
             at = end
