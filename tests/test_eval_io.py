@@ -60,3 +60,17 @@ def test_csv_encodings_and_odd_paths(spark, tmpdir_path):
     assert sorted(found.values()) == ["ISO-8859-1", "UTF-16", "UTF-8"]
     rows = readers.scan_csv(spark, tmpdir_path, "text string, sentiment string").collect()
     assert sorted((r.text, r.sentiment) for r in rows) == sorted([('café, "quoted"\nline two', "pos"), ("plain", "neg")] * 3)
+
+
+def test_csv_input_keeps_null_languages_and_other_characters(spark, tmpdir_path):
+    import hashlib
+    from textlathe.plans.catalog import QUERIES
+    rows = [(1, "de", "s", "Stra\u00dfe"), (2, "fr", "s", "5 \u20ac \u2013 \u201cquoted\u201d \U0001f600"),
+            (3, None, "s", "no language \u00e9"), (4, "en", "s", "caf\u00e9"), (5, "de", "\u0142", "plain")]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(
+        f"{tmpdir_path}/documents.parquet")
+    got = QUERIES["scan_csv"](spark, tmpdir_path).collect()
+    assert sorted((r.doc_id, r.lang, r.source, r.text_md5) for r in got) == [
+        (i, lang, source, hashlib.md5(text.encode()).hexdigest()) for i, lang, source, text in rows]
+    found = QUERIES["detect_encoding"](spark, tmpdir_path).collect()
+    assert {(r.folder, r.encoding) for r in found} >= {("latin1", "ISO-8859-1"), ("utf8", "UTF-8")}

@@ -1135,9 +1135,13 @@ def q_scan_json_columns(spark, sf_dir):
 
 
 def _write_two_encodings(spark, sf_dir, p):
+    """German and French rows that ISO-8859-1 can hold go to its folder, all
+    others (also those of unknown language) to the UTF-8 one."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    d.where("lang IN ('de', 'fr')").write.option("header", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(p + "/latin1")
-    d.where("lang NOT IN ('de', 'fr')").write.option("header", True).option("escape", '"').csv(p + "/utf8")
+    text = F.concat_ws(" ", "lang", "source", "text")
+    latin1 = F.coalesce(F.col("lang").isin("de", "fr"), F.lit(False)) & ~text.rlike("[^\\u0000-\\u00ff]")
+    d.where(latin1).write.option("header", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(p + "/latin1")
+    d.where(~latin1).write.option("header", True).option("escape", '"').csv(p + "/utf8")
 
 
 @register("scan_csv", "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents")
