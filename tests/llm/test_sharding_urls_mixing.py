@@ -1,13 +1,15 @@
 """Jump-hash shards, URL vocabulary and curriculum mixing."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from textlathe.llm import mixing, shards, url_filter
+from textlathe.llm import mixing, queries_a, shards, url_filter
 
 
 def jump_by_hand(key, n):
@@ -142,3 +144,25 @@ def test_inverse_demand_inverts_the_schedule(spark):
             assert mixing.integral([*upto, (r["t"], w)]) if upto else r["u"] == pytest.approx(0, abs=1e-9)
             area = mixing.integral([*upto, (r["t"], w)]) if upto else 0.0
             assert area == pytest.approx(r["u"] * mixing.integral(knots), abs=1e-9)
+
+
+def test_copies_of_one_row_come_out_of_many_tasks(spark):
+    df = spark.range(45000).select(F.lit(7).alias("doc_id"), F.lit("the same").alias("text"), F.lit("s").alias("source"))
+    slots = shards.shard_slots(df).select("slot", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["slot"] for r in slots) == list(range(45000)) and len({r["task"] for r in slots}) > 1
+    placed = mixing.curriculum(df, max_epochs=1).select("positions", F.spark_partition_id().alias("task")).collect()
+    first = sorted(r["positions"][0] for r in placed)
+    assert len(set(first)) == 45000 and len({r["task"] for r in placed}) > 1
+    shares = (np.arange(45000) + 0.5) / 45000
+    assert np.allclose(first, 2 * shares / (1.5 + np.sqrt(2.25 - 2 * shares)))
+
+
+def test_documents_not_taken_are_spread(spark, tmp_path):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"), F.lit("s").alias("source"))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = queries_a.op6_curriculum_mix(spark, str(tmp_path)).select("*", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(out) == 3000 and max(Counter(r["task"] for r in out).values()) < 2000

@@ -36,6 +36,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def copies_apart(df: DataFrame, key: str, block: int = 10_000) -> DataFrame:
+    """One row for each of ``_copies`` copies, numbered by ``_copy`` from 0.
+    Copies are cut into blocks, dealt out by ``key`` and block number, and
+    expanded there: no array holds more than ``block`` numbers, or a number for
+    each block, and the copies of one row come out of many tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.col("_copies") - 1
+    start = F.col("_block") * block
+    return (df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / block))).alias("_block"))
+            .repartition(n, key, "_block")
+            .select("*", F.explode(F.sequence(start, F.least(last, start + (block - 1)))).alias("_copy")).drop("_block"))
+
+
 def id_text(col: str | Column) -> Column:
     """An id as text, null as the empty string (so that null ids still hash)."""
     c = F.col(col) if isinstance(col, str) else col

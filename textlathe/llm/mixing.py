@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlathe.llm.common import WORD_PATTERN, row_digest
+from textlathe.llm.common import WORD_PATTERN, copies_apart, row_digest
 
 # Default schedules, as (time, factor) knots of each rank in the weight cycle:
 # the heavy class fades, the light class grows. Each integrates to 1.
@@ -93,7 +93,8 @@ def curriculum(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     buckets by that digest, so one source holding most rows is summed over many
     tasks; the bucket totals give the offsets. Rows equal in key, text and
     source are interchangeable: without ``carry`` they are counted before the
-    shuffle and expanded after it; with ``carry`` they share a bucket.
+    shuffle and expanded after it, in blocks of 10,000 that are dealt over the
+    tasks; with ``carry`` they share a bucket.
     A null source is a source of its own (last). Documents without words are
     never taken (``positions`` empty). Empty input gives no rows. ``carry`` may
     not name an output column.
@@ -119,7 +120,7 @@ def curriculum(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
         Window.unboundedPreceding, -1)
     d = d.withColumn("_before", F.coalesce(F.sum(F.col("size") * F.col("_copies")).over(local), F.lit(0)))
     d = d.join(offsets, ["_source", "_bucket"]).join(targets, "_source")
-    d = d.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy"))
+    d = d.withColumn("_copy", F.lit(0).cast("long")) if carry else copies_apart(d, "_order")
     # middle of the document in its source's stream of words
     middle = F.col("_offset") + F.col("_before") + F.col("_copy") * F.col("size") + F.col("size") / 2
     readings = F.transform(F.sequence(F.lit(0), F.lit(max_epochs - 1)), lambda e: e * F.col("source_size") + middle)

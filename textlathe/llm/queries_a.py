@@ -29,10 +29,10 @@ def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to capped source targets along the curriculum."""
     placed = mixing.curriculum(table(spark, sf_dir, "documents"))
     first = F.try_element_at("positions", F.lit(1))
+    order = [F.col("first_position").asc_nulls_last(), F.xxhash64("doc_id", "size")]  # spreads what is not taken
     return (placed.select("doc_id", "size", "source_size", "target",
                           (F.col("size") * F.size("positions")).alias("taken"), first.alias("first_position"))
-            .repartitionByRange(F.col("first_position").asc_nulls_last())
-            .sortWithinPartitions(F.col("first_position").asc_nulls_last()))
+            .repartitionByRange(*order).sortWithinPartitions(*order))
 
 
 def _term_sum(terms: tuple[str, ...]) -> str:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlathe.llm.common import id_text, row_digest
+from textlathe.llm.common import copies_apart, id_text, row_digest
 
 # FIXED VALUES: the published generator step of jump consistent hash.
 _MULTIPLIER = np.uint64(2862933555777941757)
@@ -75,8 +75,9 @@ def shard_slots(df: DataFrame, key: str = "doc_id", text: str = "text", n_shards
     hex digits into at most ``buckets`` (4096) buckets, so numbering never
     gathers a shard in one task: each bucket is scanned by itself and a table of
     shards x buckets counts gives the offsets. Repeated rows (equal key and
-    text) are counted before the shuffle and expanded after numbering, so a row
-    that repeats a billion times is one row in every shuffle. Empty input gives
+    text) are counted before the shuffle and expanded after numbering, in blocks
+    of 10,000 that are dealt over the tasks: a row that repeats a billion times
+    is one row in the shuffles before and 100,000 in the last. Empty input gives
     no rows.
     """
     if buckets != 4096:
@@ -92,9 +93,7 @@ def shard_slots(df: DataFrame, key: str = "doc_id", text: str = "text", n_shards
     counts = once.groupBy("shard", "_bucket").agg(F.sum("_copies").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))
-    return (local.join(offsets, ["shard", "_bucket"])
-            .select("*", copies.alias("_copy"))
+    return (copies_apart(local.join(offsets, ["shard", "_bucket"]), "_order")
             .select(F.col("_key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("_offset") + F.col("_before") + F.col("_copy")).cast("long").alias("slot"),
                     "grown_shard"))
