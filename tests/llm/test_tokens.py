@@ -136,3 +136,59 @@ def test_word_tables_are_bounded_in_bytes():
         held[f"{k:0200d}"] = b"1234"
         assert held.get(f"{k:0200d}") == b"1234"
         assert sum(4 * len(w) + len(v) for t in (held.main, held.late) for w, v in t.items()) <= 13_000
+
+
+def test_every_word_that_is_not_remembered_comes_from_the_transducer(spark, monkeypatch):
+    import textlathe.llm.bpe_stream as B
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    encoder, finished, fed = B.StreamEncoder(WORD), [], []
+    feed, finish = B.WordTransducer.feed, B.WordTransducer.finish
+    monkeypatch.setattr(B.WordTransducer, "feed", lambda self, s: fed.append(len(s)) or feed(self, s))
+    monkeypatch.setattr(B.WordTransducer, "finish", lambda self: finished.append(1) or finish(self))
+    library = Tokenizer.from_file(WORD)
+    for t in docs:
+        ids = np.frombuffer(b"".join(encoder.encode(t)), dtype=np.int32).tolist()
+        assert ids == library.encode(t, add_special_tokens=False).ids
+    kept = len(encoder.pieces.main) + len(encoder.pieces.late)
+    assert len(finished) >= kept > 1000 and len(fed) >= len(finished)
+
+
+def test_tokens_are_emitted_before_the_word_ends():
+    e = bpe_stream.StreamEncoder(WORD)
+    assert e.merges.lookahead == max(e.merges.need.values())
+    rng, early = random.Random(3), 0
+    for hold in (2, 5, 64):
+        for k in range(40):
+            symbols = [rng.choice("abcdeinthgr'!Ġ") for _ in range(rng.randint(1, 300 if k else 6000))]
+            w, out = bpe_stream.WordTransducer(e.merges, hold), []
+            for s in symbols:
+                out += w.feed([s])
+            early += len(out)
+            out += w.finish()
+            assert out == e.merges.merge(symbols[:-1] + [symbols[-1] + "</w>"])
+    assert early > 1000
+
+
+def test_registered_token_files_hold_the_library_ids(spark):
+    from textlathe.llm.catalog import QUERIES
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect())
+    library, at, want = Tokenizer.from_file(BYTE), 0, []
+    for key, text in docs:
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [2], dtype="<u4")
+        want.append((key, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    got = QUERIES["op4_token_files"](spark, "/root/testdata/sf0.001")
+    assert sorted(map(tuple, got.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == want
+
+
+def test_token_folder_is_on_the_default_file_system(spark):
+    assert token_files.qualified(spark, "/some/where") == "file:/some/where"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://other/")
+    conf.set("fs.viewfs.mounttable.other.link./", "file:///")
+    try:
+        assert token_files.qualified(spark, "/some/where").startswith("viewfs://other/")
+        assert token_files.qualified(spark, "file:/some/where") == "file:/some/where"
+    finally:
+        conf.set("fs.defaultFS", before)

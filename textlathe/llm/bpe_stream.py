@@ -38,6 +38,7 @@ CHUNK = 1 << 16    # characters looked at together
 CACHED = 1 << 18   # words whose ids are remembered in a worker, at most
 LONGEST = 256      # characters of a word that is remembered, at most
 HELD = 1 << 26     # bytes of remembered words and ids (four a character) at which a table is full
+HOLD = 64          # symbols that the transducer holds before it looks for final tokens
 ROWS = 256         # rows of an output batch, at most
 BYTES = 1 << 26    # bytes at which an output batch is closed early
 
@@ -94,23 +95,29 @@ class MergeList:
         self.vocab, self.suffix = vocab, suffix
         self.rank = {pair: i for i, pair in enumerate(merges)}
         self.symbols = byte_characters()
-        self.lookahead = self._lookahead(merges)
+        self.need = self._needs(merges)
+        self.lookahead = max(self.need.values(), default=0)
 
     def _length(self, token: str) -> int:
         return len(token.removesuffix(self.suffix)) if self.suffix else len(token)
 
-    def _lookahead(self, merges: list[tuple[str, str]]) -> int:
+    def _needs(self, merges: list[tuple[str, str]]) -> dict[str, int]:
+        """Symbols that must be known behind a token before it is final: the
+        longest chain of merges across its right end that a piece on its right
+        spine may take part in. Tokens that are missing need none."""
         right_part = {a + b: b for a, b in reversed(merges)}
         reach_of_left: dict[str, int] = {}  # symbols to the right that a merge with this left piece depends on
-        longest = 0
         for a, b in merges:
-            piece, reach = b, reach_of_left.get(b, 0)
-            while piece in right_part:
-                piece = right_part[piece]
-                reach = max(reach, reach_of_left.get(piece, 0))
-            reach += self._length(b)
-            reach_of_left[a] = max(reach_of_left.get(a, 0), reach)
-            longest = max(longest, reach)
+            reach_of_left[a] = max(reach_of_left.get(a, 0), self._spine(b, right_part, reach_of_left) + self._length(b))
+        return {t: n for t in {x for m in merges for x in (*m, m[0] + m[1])}
+                if (n := self._spine(t, right_part, reach_of_left))}
+
+    @staticmethod
+    def _spine(piece: str, right_part: dict[str, str], reach: dict[str, int]) -> int:
+        longest = reach.get(piece, 0)
+        while piece in right_part:
+            piece = right_part[piece]
+            longest = max(longest, reach.get(piece, 0))
         return longest
 
     def merge(self, symbols: list[str]) -> list[str]:
@@ -160,28 +167,35 @@ class MergeList:
 
 
 class WordTransducer:
-    """Symbols of one word in, tokens out as soon as they are final."""
+    """Symbols of one word in, tokens out as soon as they are final: every token
+    waits for the lookahead that its own right end needs. Symbols are taken in
+    until ``HOLD`` of them are held, so a word is merged in pieces of bounded
+    length; what was not final stays for the next piece."""
 
-    def __init__(self, merges: MergeList):
-        self.merges, self.held = merges, []
+    def __init__(self, merges: MergeList, hold: int = HOLD):
+        self.merges, self.hold, self.held, self.next = merges, hold, [], hold
 
     def feed(self, symbols: list[str]) -> list[str]:
-        self.held.extend(symbols)
-        known = len(self.held) - 1  # the last symbol may still turn out to end the word
-        if known < 2 * self.merges.lookahead + 64:
+        """Tokens that are final after these symbols. The last symbol may still
+        turn out to end the word."""
+        self.held += symbols
+        known = len(self.held) - 1
+        if known < self.next:
             return []
-        out, end = [], 0
+        out, end, need = [], 0, self.merges.need
         for t in self.merges.merge(self.held[:known]):
-            end += len(t)
-            if end + self.merges.lookahead > known:
-                end -= len(t)
+            if end + len(t) + need.get(t, 0) > known:
                 break
+            end += len(t)
             out.append(t)
-        self.held = self.held[end:]
+        del self.held[:end]
+        # tokens that wait need more symbols: look again when there are as many new ones
+        self.next = max(self.hold, 2 * (len(self.held) - 1) if not end else self.hold)
         return out
 
     def finish(self) -> list[str]:
-        last, self.held = self.held, []
+        """The word ends: the rest of its tokens. Ready for the next word."""
+        last, self.held, self.next = self.held, [], self.hold
         if last:
             last[-1] += self.merges.suffix
         return self.merges.merge(last)
@@ -210,20 +224,23 @@ class StreamEncoder:
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
         self.pieces, self.words = Remembered(CACHED), Remembered(CACHED)
+        self.word = WordTransducer(self.merges)
 
     def ids(self, tokens: list[str]) -> bytes:
         vocab = self.vocab
         return array("i", [vocab[t] for t in tokens]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        """One match of the pattern, whole."""
+        """One match of the pattern, remembered or through the transducer."""
         got = self.pieces.get(piece)
         if got is None:
-            symbols = self.merges.symbols
-            s = [symbols[b] for b in piece.encode("utf-8")]
-            s[-1] += self.merges.suffix
-            got = self.ids(self.merges.merge(s))
-            self.pieces[piece] = got
+            symbols, word, out = self.merges.symbols, self.word, []
+            raw = piece.encode("utf-8")
+            for i in range(0, len(raw), HOLD):
+                out += word.feed([symbols[b] for b in raw[i:i + HOLD]])
+            out += word.finish()
+            got = self.ids(out)
+            self.pieces[piece] = got  # kept if it is short
         return got
 
     @staticmethod
@@ -288,7 +305,7 @@ class StreamEncoder:
             at = found.end()
 
     def _stream(self, text: str, at: int, stop: int) -> Iterator[bytes]:
-        symbols, held = self.merges.symbols, ""
+        held = ""
         open_word: WordTransducer | None = None  # a run of one class that began before ``held``
         open_class = ""
         while at < stop or held:
@@ -301,7 +318,7 @@ class StreamEncoder:
             if open_word is not None:
                 while done < len(held) and self._class(held[done]) == open_class:
                     done += 1
-                yield self.ids(open_word.feed([symbols[b] for b in held[:done].encode("utf-8")]))
+                yield self._feed(open_word, held[:done])
                 if done < len(held) or final:
                     yield self.ids(open_word.finish())
                     open_word = None
@@ -310,21 +327,20 @@ class StreamEncoder:
                     if m.end() > len(held) - 2 and not final:  # may go on, or be a contraction
                         if len(m.group()) > 4:  # a run: feed it and stay inside it
                             open_word, open_class = WordTransducer(self.merges), self._class(m.group()[-1])
-                            yield self.ids(open_word.feed([symbols[b] for b in m.group().encode("utf-8")]))
+                            yield self._feed(open_word, m.group())
                             done = m.end()
                         break
-                    yield self._piece(m.group()) if len(m.group()) <= 64 else self._whole(m.group())
+                    yield self._piece(m.group())
                     done = m.end()
             held = held[done:]
             if final:
                 break
 
-    def _whole(self, run: str) -> bytes:
-        """A long run that is known whole: through the transducer, uncached."""
-        word, out = WordTransducer(self.merges), []
-        for i in range(0, len(run), 1024):
-            out += word.feed([self.merges.symbols[b] for b in run[i:i + 1024].encode("utf-8")])
-        return self.ids(out + word.finish())
+    def _feed(self, word: WordTransducer, part: str) -> bytes:
+        symbols, raw, out = self.merges.symbols, part.encode("utf-8"), []
+        for i in range(0, len(raw), 1024):
+            out += word.feed([symbols[b] for b in raw[i:i + 1024]])
+        return self.ids(out)
 
     @staticmethod
     def _class(c: str) -> str:

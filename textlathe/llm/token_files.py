@@ -18,6 +18,7 @@ A reader opens the end of the file, and decompresses only the frames it needs.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from array import array
@@ -27,7 +28,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -40,14 +40,12 @@ from textlathe.session import scratch_path
 
 # FIXED VALUES: magic numbers of zstandard's skippable frames and seekable format.
 INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
-# FIXED VALUE: the byte-level word pattern of the vocabulary (its \s is the White_Space property).
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NULL_KEY = 0xFFFFFFFF
 FRAME_IDS = 1 << 16  # a frame is closed at this many ids; a longer document has a frame of its own
-CACHED = 600_000     # words whose ids a worker remembers
+CACHED = 300_000     # parts of text whose ids a worker remembers
+TOGETHER = 1 << 20   # characters of documents that are encoded together
 
-
-_RUNS = ["  ", *(c + " " for c in WHITE if c != " "), *(" " + c for c in WHITE if c != " ")]
+_NOT_SINGLE = ["  ", *(c for c in WHITE if c != " ")]
 
 
 class LibraryEncoder:
@@ -55,74 +53,84 @@ class LibraryEncoder:
     encoded once while it is remembered.
 
     A byte-level pre-tokeniser never joins a character and the white space
-    behind it, so a text is cut there into parts (white space, then other
-    characters); parts that are not remembered are cut into the vocabulary's
-    words, and the library encodes those that are not remembered either.
+    behind it, so a text is cut there into parts: a space or none, then other
+    characters, or white space alone. The parts of many documents that are not
+    remembered are put into one text, a line feed between them, and the library
+    encodes that text in one call; the line feed's id, which no other part
+    holds, cuts the ids again. Parts of white space are encoded alone, and so
+    are whole texts that hold a special string.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.parts = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
-        self.split = regex.compile(BYTE_LEVEL.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]")
-                                   .replace(r"\s", f"[{WHITE}]")).findall
+        # a run of white space before a word: all but its last character, then that one (a space joins the word)
+        self.parts = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}](?=[^{WHITE}])|[{WHITE}]+").findall
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words, self.spaced, self.pieces = (Remembered(CACHED // 8), Remembered(CACHED), Remembered(CACHED))
+        self.known = Remembered(remembered)
         self.size = self.library.get_vocab_size()
+        self.feed, = self._library("\n").tolist()
+
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that are not remembered."""
+        out: list = [None] * len(parts)
+        plain = []
+        for i, p in enumerate(parts):
+            if p[-1] in WHITE:
+                out[i] = self._library(p).tobytes()
+            else:
+                plain.append(i)
+        if plain:
+            ids = self._library("\n".join([parts[i] for i in plain]))
+            ends = np.flatnonzero(ids == self.feed)
+            if len(ends) != len(plain) - 1:
+                raise RuntimeError("the vocabulary joins a line feed to a word")
+            raw = ids.tobytes()
+            for i, a, b in zip(plain, [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)]):
+                out[i] = raw[a:b]
+        return out
 
-    def _words(self, part: str) -> list[str]:
-        """The part cut into the vocabulary's words. Letters behind at most one
-        space are a word, and so is one ASCII mark behind them; anything else
-        is left to the vocabulary's pattern."""
-        body = part[1:] if part[:1] == " " else part
-        if body.isalpha():
-            return [part]
-        if body[-1:] in ",.;:!?" and body[:-1].isalpha():
-            return [part[:-1], part[-1]]
-        if len(part) > 256 or any(s in part for s in self.special):
-            return [part]
-        return self.split(part)
-
-    def _fill(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that are not remembered: the library encodes all their
-        unknown words in one call."""
-        split = [self._words(p) for p in parts]
-        known = {w: self.pieces.get(w) for words in split for w in words}
-        unknown = [w for w, ids in known.items() if ids is None]
-        for w, e in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False)):
-            known[w] = ids = array("i", e.ids).tobytes()
-            if len(w) <= 256:
-                self.pieces[w] = ids
-        return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in split]
-
-    def _all(self, parts: list[str], table: Remembered, lead: str) -> list[bytes]:
-        """Ids of ``lead + part`` for each part."""
-        found = list(map(table.main.get, parts))
+    def _all(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part."""
+        found = list(map(self.known.main.get, parts))
         if None in found:
-            gaps = [i for i, ids in enumerate(found) if ids is None]
-            late = table.late.get
+            gaps, late = [i for i, ids in enumerate(found) if ids is None], self.known.late.get
             missing = {p: late(p) for p in [parts[i] for i in gaps]}
             unknown = [p for p, ids in missing.items() if ids is None]
             if unknown:
-                for p, ids in zip(unknown, self._fill([lead + p for p in unknown])):
+                for p, ids in zip(unknown, self._encode(unknown)):
                     missing[p] = ids
-                    if len(p) <= 256:
-                        table[p] = ids
+                    self.known[p] = ids  # kept if it is short
             for i in gaps:
                 found[i] = missing[parts[i]]
         return found
 
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        parts, ends, whole = [], [], {}
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                whole[i] = self._library(t)
+            elif any(map(t.__contains__, _NOT_SINGLE)):
+                parts += self.parts(t)
+            elif t:  # white space is single spaces, so the text may be cut before each
+                first, *rest = t.split(" ")
+                if first:
+                    parts.append(first)
+                parts += [" " + w for w in rest]
+            ends.append(len(parts))
+        found = self._all(parts)
+        out = [np.frombuffer(b"".join(found[i:j]), dtype=np.int32) for i, j in zip([0, *ends], ends)]
+        return [whole.get(i, ids) for i, ids in enumerate(out)]
+
     def encode(self, text: str) -> np.ndarray:
-        if any(map(text.__contains__, _RUNS)):
-            out = self._all(self.parts(text), self.words, "")
-        else:  # every space stands alone, so the text may be cut before each
-            first, *rest = text.split(" ")
-            out = self._all([first], self.words, "") if first else []
-            out += self._all(rest, self.spaced, " ")
-        return np.frombuffer(b"".join(out), dtype=np.int32)
+        return self.encode_many([text])[0]
 
 
 @lru_cache(maxsize=4)
@@ -139,6 +147,13 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of Spark's file system, so that a folder without
+    one is the cluster's default storage and not a worker's own disk."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 class TokenFileWriter:
     """Writes documents to one open binary stream."""
 
@@ -256,6 +271,21 @@ class TokenFileReader:
             yield from ((key, ids) for key, ids in self.frame(k) if key in wanted)
 
 
+def together(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts (null: empty) of a batch, ``TOGETHER`` characters or one
+    text at a time."""
+    keys, texts, size = [], [], 0
+    for k, t in zip(batch.column(0), batch.column(1)):
+        keys.append(k.as_py())
+        texts.append(t.as_py() or "")
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def write_token_files(df: DataFrame, path: str, *, out_dir: str, end_id: int | None = None, key: str = "doc_id",
                       text: str = "text", frame_ids: int = FRAME_IDS,
                       make_encoder: Callable[[str], LibraryEncoder] = library_encoder) -> DataFrame:
@@ -271,6 +301,7 @@ def write_token_files(df: DataFrame, path: str, *, out_dir: str, end_id: int | N
     or repeated tasks leave the result whole. An empty table gives an empty
     manifest.
     """
+    out_dir = qualified(df.sparkSession, out_dir)
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"),
                        row_digest(key, text).alias("digest"))
     ordered = (source.repartitionByRange(F.col("key").asc_nulls_first(), F.col("digest"))
@@ -286,14 +317,15 @@ def write_token_files(df: DataFrame, path: str, *, out_dir: str, end_id: int | N
         name = f"part-{part:06d}-{uuid.uuid4().hex}.tokens.zst"
         stream = None
         for batch in batches:
-            for k, t in zip(batch.column(0), batch.column(1)):
+            for keys, texts in together(batch):
                 if writer is None:
                     fs.create_dir(folder, recursive=True)
                     stream = fs.open_output_stream(f"{folder}/{name}", compression=None)
                     writer = TokenFileWriter(stream, width, frame_ids=frame_ids)
-                    first = k.as_py()
-                last = k.as_py()
-                writer.add(last, np.concatenate([encoder.encode(t.as_py() or ""), tail]))
+                    first = keys[0]
+                last = keys[-1]
+                for k, ids in zip(keys, encoder.encode_many(texts)):
+                    writer.add(k, np.concatenate([ids, tail]))
         if writer is not None:
             writer.close()
             stream.close()
