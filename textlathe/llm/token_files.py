@@ -28,18 +28,21 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textlathe.llm.bpe_stream import WHITE, Remembered
+from textlathe.llm.bpe_stream import WHITE, Remembered, byte_characters
 from textlathe.llm.common import row_digest, written
 from textlathe.session import scratch_path
 
 # FIXED VALUES: magic numbers of zstandard's skippable frames and seekable format.
 INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
+# FIXED VALUE: the byte-level word pattern of the vocabulary (its \s is the White_Space property).
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NULL_KEY = 0xFFFFFFFF
 FRAME_IDS = 1 << 16  # a frame is closed at this many ids; a longer document has a frame of its own
 CACHED = 300_000     # parts of text whose ids a worker remembers
@@ -54,11 +57,11 @@ class LibraryEncoder:
 
     A byte-level pre-tokeniser never joins a character and the white space
     behind it, so a text is cut there into parts: a space or none, then other
-    characters, or white space alone. The parts of many documents that are not
-    remembered are put into one text, a line feed between them, and the library
-    encodes that text in one call; the line feed's id, which no other part
-    holds, cuts the ids again. Parts of white space are encoded alone, and so
-    are whole texts that hold a special string.
+    characters, or white space alone. A part that is not remembered is cut into
+    the vocabulary's words, and the library's own BPE model encodes those that
+    are not remembered either; that is the costly step of the library without
+    its bookkeeping of offsets, which costs more than the merges. Whole texts
+    that hold a special string go to the library's ``encode``.
     """
 
     def __init__(self, path: str, remembered: int = CACHED):
@@ -69,46 +72,52 @@ class LibraryEncoder:
         self.library.no_padding()
         # a run of white space before a word: all but its last character, then that one (a space joins the word)
         self.parts = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?=[{WHITE}][^{WHITE}])|[{WHITE}](?=[^{WHITE}])|[{WHITE}]+").findall
+        self.split = regex.compile(BYTE_LEVEL.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]")
+                                   .replace(r"\s", f"[{WHITE}]")).findall
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.model = self.library.model.tokenize
+        self.symbols = {b: ord(c) for b, c in enumerate(byte_characters())}
         self.known = Remembered(remembered)
         self.size = self.library.get_vocab_size()
-        self.feed, = self._library("\n").tolist()
-
-    def _library(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int32)
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that are not remembered."""
-        out: list = [None] * len(parts)
-        plain = []
-        for i, p in enumerate(parts):
-            if p[-1] in WHITE:
-                out[i] = self._library(p).tobytes()
-            else:
-                plain.append(i)
-        if plain:
-            ids = self._library("\n".join([parts[i] for i in plain]))
-            ends = np.flatnonzero(ids == self.feed)
-            if len(ends) != len(plain) - 1:
-                raise RuntimeError("the vocabulary joins a line feed to a word")
-            raw = ids.tobytes()
-            for i, a, b in zip(plain, [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)]):
-                out[i] = raw[a:b]
-        return out
+
+    def _words(self, part: str) -> list[str]:
+        """The part cut into the vocabulary's words. Letters behind at most one
+        space are a word, and so is one ASCII mark behind them; white space alone
+        is one; anything else is left to the vocabulary's pattern."""
+        body = part[1:] if part[:1] == " " else part
+        if body.isalpha() or part[-1] in WHITE:
+            return [part]
+        if body[-1] in ",.;:!?" and body[:-1].isalpha():
+            return [part[:-1], part[-1]]
+        return self.split(part)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of the vocabulary's pattern by the library's model."""
+        plain = word if word.isascii() else word.encode("utf-8").decode("latin-1")
+        return array("i", [t.id for t in self.model(plain.translate(self.symbols))]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part that is not remembered; it and its words are from now on."""
+        known, words, out = self.known, self._words(part), []
+        for w in words:
+            ids = known.get(w)
+            if ids is None:
+                ids = known[w] = self._word(w)  # kept if it is short
+            out.append(ids)
+        if len(words) == 1:
+            return out[0]
+        known[part] = ids = b"".join(out)
+        return ids
 
     def _all(self, parts: list[str]) -> list[bytes]:
         """Ids of each part."""
         found = list(map(self.known.main.get, parts))
         if None in found:
-            gaps, late = [i for i, ids in enumerate(found) if ids is None], self.known.late.get
-            missing = {p: late(p) for p in [parts[i] for i in gaps]}
-            unknown = [p for p, ids in missing.items() if ids is None]
-            if unknown:
-                for p, ids in zip(unknown, self._encode(unknown)):
-                    missing[p] = ids
-                    self.known[p] = ids  # kept if it is short
-            for i in gaps:
-                found[i] = missing[parts[i]]
+            get, part = self.known.get, self._part
+            for i, ids in enumerate(found):
+                if ids is None:
+                    ids = get(parts[i])
+                    found[i] = part(parts[i]) if ids is None else ids
         return found
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
@@ -116,7 +125,7 @@ class LibraryEncoder:
         parts, ends, whole = [], [], {}
         for i, t in enumerate(texts):
             if any(s in t for s in self.special):
-                whole[i] = self._library(t)
+                whole[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, dtype=np.int32)
             elif any(map(t.__contains__, _NOT_SINGLE)):
                 parts += self.parts(t)
             elif t:  # white space is single spaces, so the text may be cut before each
