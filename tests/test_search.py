@@ -3,17 +3,84 @@ import json
 SF001 = "/root/testdata/sf0.001"
 
 
-def test_searches_run_every_declared_family(spark, monkeypatch):
+SMALL = {
+    "logistic_regression": {"C": (1.0,), "max_iter": (1, 50)},
+    "random_forest": {"n_estimators": (2, 5), "max_depth": (None,), "min_samples_leaf": (1,)},
+    "svm": {"C": (1.0,)},
+    "naive_bayes": {"alpha": (1.0,), "fit_prior": (True, False)},
+    "gradient_boosting": {"n_estimators": (1, 3), "learning_rate": (0.1,), "max_depth": (2,)},
+}
+
+
+def test_search_space_and_shared_fits_cover_every_candidate():
     from textlathe.operators import training as TR
-    from textlathe.plans.catalog import QUERIES
-    monkeypatch.setattr(TR, "cross_validate", lambda family, candidates, data, num_folds: [
-        [float(len(family) * 100 + TR.grid(family).index(c))] * num_folds for c in candidates])
+    space = TR.search_space()
+    assert len(space) == 69 and [f for f, _ in space] == sorted((f for f, _ in space), key=list(TR.MODEL_GRIDS).index)
+    drawn = TR.random_draws(space)
+    assert len({json.dumps(d) for d in drawn}) == 50 and {f for f, _ in drawn} == set(TR.MODEL_GRIDS)
+    for some in (space, drawn):
+        fits = TR.shared_fits(some)
+        assert sorted(i for _, _, members in fits for i in members) == list(range(len(some)))
+        for family, params, members in fits:
+            for i in members:
+                full = {**TR.K.MODEL_DEFAULTS[family], **some[i][1]}
+                differ = [k for k in full if full[k] != params[k]]
+                assert some[i][0] == family and differ in ([], ["n_estimators"], ["fit_prior"], ["max_iter"])
+    assert len(TR.shared_fits(space)) == 27
+
+
+def test_registered_searches_fit_their_candidates(spark, monkeypatch):
+    from textlathe.operators import training as TR
+    from textlathe.plans.catalog import QUERIES, _fold_docs
+    monkeypatch.setattr(TR.K, "MODEL_GRIDS", SMALL)
     rows = QUERIES["grid_search"](spark, SF001).collect()
-    assert [(r.family, json.loads(r.params)) for r in rows] == TR.search_space() and len(rows) == 69
-    drawn = QUERIES["random_search"](spark, SF001).collect()
-    assert len({(r.family, r.params) for r in drawn}) == 50 and {r.family for r in drawn} == set(TR.MODEL_GRIDS)
-    for r in rows + drawn:  # every candidate has its own score
-        assert r.avg_f1 == len(r.family) * 100 + TR.grid(r.family).index(json.loads(r.params))
+    space = TR.search_space()
+    assert [(r.family, json.loads(r.params)) for r in rows] == space and len(rows) == 9
+    # the same scores from one fit a candidate and fold
+    docs = _fold_docs(spark, SF001, 3)
+    folds = TR.fold_vectors(docs, num_folds=3)
+    for r, (family, params) in zip(rows, space):
+        if family in ("random_forest", "svm"):
+            continue
+        want = []
+        for train, held in folds:
+            model = TR.estimator(family, train.count(), **params).fit(train)
+            want.append(TR.positive_f1(TR.predictions(family, params, model, held)))
+        assert abs(r.avg_f1 - sum(want) / 3) < 1e-9, (family, params)
+
+
+def test_fold_features_come_from_training_rows_alone(spark):
+    from pyspark.sql import functions as F
+    from textlathe.operators import features as FX
+    from textlathe.operators import training as TR
+    texts = ["red apple tart", "green apple pie", "red wine glass", "green tea cup", "apple tea mix", "zebra zebra zebra"]
+    docs = spark.createDataFrame([(i, t, i % 2, i % 3) for i, t in enumerate(texts)],
+                                 "doc_id int, cleaned_text string, sentiment int, fold int")
+    for fold, (train, held) in enumerate(TR.fold_vectors(docs, num_folds=3)):
+        mine = docs.where(F.col("fold") != fold)
+        model = FX.fit(mine)
+        want = sorted(r.features.toArray().tolist() for r in FX.feature_vectors(model, mine, "doc_id").collect())
+        assert sorted(r.features.toArray().tolist() for r in train.collect()) == want
+        want = sorted(r.features.toArray().tolist() for r in
+                      FX.feature_vectors(model, docs.where(F.col("fold") == fold), "doc_id").collect())
+        assert sorted(r.features.toArray().tolist() for r in held.collect()) == want
+
+
+def test_first_trees_of_a_boosted_model_are_the_shorter_fit(spark):
+    import random
+    from pyspark.ml.linalg import Vectors
+    from textlathe.operators import training as TR
+    rng = random.Random(1)
+    rows = [(float(rng.random() < 0.5), Vectors.dense([rng.random() for _ in range(4)])) for _ in range(80)]
+    data = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
+    long = TR.estimator("gradient_boosting", 80, n_estimators=6, max_depth=3).fit(data)
+    short = TR.estimator("gradient_boosting", 80, n_estimators=2, max_depth=3).fit(data)
+    cut = TR.first_trees("gradient_boosting", long, 2)
+    assert len(cut.treeWeights) == 2 and len(long.treeWeights) == 6
+    assert [r.prediction for r in cut.transform(data).collect()] == [r.prediction for r in short.transform(data).collect()]
+    forest = TR.estimator("random_forest", 80, n_estimators=5, max_depth=3).fit(data)
+    few = TR.first_trees("random_forest", forest, 3)
+    assert len(few.treeWeights) == 3 and few.transform(data).count() == 80
 
 
 def test_cross_validation_fits_every_family(spark):

@@ -1069,20 +1069,9 @@ def _search(spark, sf_dir, candidates):
     (family, params) of the search space; ``params`` as JSON."""
     import json
     from ..functions import constants as K
-    from ..operators.features import feature_vectors, fit
-    from ..operators.training import cross_validate
-    from ..session import materialize
-    docs = _fold_docs(spark, sf_dir, K.SEARCH_FOLDS)
-    model = fit(docs)
-    data = docs.select("doc_id", "fold", F.col("sentiment").cast("double").alias("label")) \
-        .join(feature_vectors(model, docs, "doc_id"), "doc_id")
-    data = materialize(data, "search")
-    avg = {}
-    for family in dict.fromkeys(f for f, _ in candidates):
-        mine = [i for i, (f, _) in enumerate(candidates) if f == family]
-        scores = cross_validate(family, [candidates[i][1] for i in mine], data, num_folds=K.SEARCH_FOLDS)
-        avg.update((i, sum(x) / len(x)) for i, x in zip(mine, scores))
-    return spark.createDataFrame([(i, f, json.dumps(c), avg[i]) for i, (f, c) in enumerate(candidates)],
+    from ..operators.training import search
+    avg = search(_fold_docs(spark, sf_dir, K.SEARCH_FOLDS), candidates)
+    return spark.createDataFrame([(i, f, json.dumps(c), x) for i, ((f, c), x) in enumerate(zip(candidates, avg))],
                                  "candidate int, family string, params string, avg_f1 double")
 
 
