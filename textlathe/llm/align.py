@@ -26,8 +26,9 @@ from textlathe.llm.bpe_stream import byte_characters
 from textlathe.llm.common import written
 from textlathe.operators.joins import bounded_broadcast
 
-REMEMBERED = 250_000   # window alignments a worker remembers; an eighth more pass through
+REMEMBERED = 400_000   # window alignments a worker remembers (about 400 bytes each); an eighth more pass through
 LONGEST = 64           # ids of a window that is remembered, at most
+MARK = 1 << 24         # added to B's ids in a remembered window, so that A's end where B's begin
 SHIFT = 32             # an id pair is one number: A id * 2^32 + B id
 MAX_PAIRS = 1_000_000  # counted pairs that are broadcast (about 60 bytes each); more are joined by shuffle
 ROWS = 256             # texts of an output batch, at most
@@ -75,6 +76,7 @@ class Spelling:
         self.tokens = tokens
         n = max(tokens.bytes) + 1
         self.text = [tokens.bytes.get(i, b"") for i in range(n)]
+        self.name = [str(i) for i in range(n)]
         self.length = np.array([len(t) for t in self.text], dtype=np.int64)
         self.spaced = np.array([t[:1] == b" " for t in self.text], dtype=bool)
 
@@ -91,13 +93,13 @@ class Aligner:
         self.a, self.b = Spelling(a), Spelling(b)
         self.memory, self.late, self.remembered = {}, {}, remembered
 
-    def align_windows(self, windows: list[tuple[bytes, bytes]]) -> list[tuple[int, bytes, bytes]]:
-        """Alignment of windows, each given by its A ids and B ids (int32 bytes):
-        the number of groups, their text (``a1,a2|b1;a3|b2``) and the linked
-        pairs in order (int64 bytes). Windows laid end to end are aligned
-        together, since both sequences end where a window ends."""
-        a = np.frombuffer(b"".join([x for x, _ in windows]), dtype=np.int32)
-        b = np.frombuffer(b"".join([y for _, y in windows]), dtype=np.int32)
+    def align_windows(self, a: list[bytes], b: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Alignment of windows, given by their A ids and B ids (int32 bytes): the
+        text of their groups (``a1,a2|b1;a3|b2``) and the linked pairs in order
+        (int64 bytes). Windows laid end to end are aligned together, since both
+        sequences end where a window ends."""
+        last_a = np.cumsum([len(x) // 4 for x in a])
+        a, b = (np.frombuffer(b"".join(x), dtype=np.int32) for x in (a, b))
         ends_a, ends_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
         # a stretch without a token end inside belongs to one token of each: a link
         stretch = np.union1d(ends_a, ends_b)
@@ -105,10 +107,9 @@ class Aligner:
         links = ((a[in_a].astype(np.int64) << SHIFT) | b[in_b]).tobytes()
         shared = (ends_a[in_a] == stretch) & (ends_b[in_b] == stretch)
         group_a, group_b = (in_a[shared] + 1).tolist(), (in_b[shared] + 1).tolist()
-        last_a = np.cumsum([len(x) // 4 for x, _ in windows])
         last_link = np.searchsorted(stretch, ends_a[last_a - 1], side="right")
         last_group = np.cumsum(shared)[last_link - 1]
-        say_a, say_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        say_a, say_b = list(map(self.a.name.__getitem__, a.tolist())), list(map(self.b.name.__getitem__, b.tolist()))
         groups, from_a, from_b = [], 0, 0
         for to_a, to_b in zip(group_a, group_b):
             if to_a - from_a == 1 and to_b - from_b == 1:
@@ -118,27 +119,39 @@ class Aligner:
             from_a, from_b = to_a, to_b
         out, link, group = [], 0, 0
         for to_link, to_group in zip((8 * last_link).tolist(), last_group.tolist()):
-            out.append((to_group - group, ";".join(groups[group:to_group]).encode(), links[link:to_link]))
+            out.append((";".join(groups[group:to_group]).encode(), links[link:to_link]))
             link, group = to_link, to_group
         return out
 
-    def windows(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[int, bytes, bytes]]:
-        """Alignments of windows, remembered or worked out together."""
+    def windows(self, ids_a: np.ndarray, ids_b: np.ndarray) -> list[tuple[bytes, bytes]]:
+        """Alignments of a text's windows, remembered or worked out together."""
+        cut_a, cut_b = self._cuts(ids_a, ids_b)
+        raw_a, raw_b = ids_a.tobytes(), (ids_b + MARK).tobytes()
+        to_a, to_b = (4 * cut_a).tolist(), (4 * cut_b).tolist()
+        from_a, from_b = [0, *to_a], [0, *to_b]
+        keys = [raw_a[i:j] + raw_b[k:m] for i, j, k, m in zip(from_a, to_a, from_b, to_b)]
         found = list(map(self.memory.get, keys))
         if None in found:
-            gaps, late = [i for i, x in enumerate(found) if x is None], self.late.get
-            missing = {key: late(key) for key in [keys[i] for i in gaps]}
-            unknown = [key for key, x in missing.items() if x is None]
+            plain_b, late = ids_b.tobytes(), self.late.get
+            gaps = [i for i, x in enumerate(found) if x is None]
+            unknown = {}
+            for i in gaps:
+                found[i] = late(keys[i])
+                if found[i] is None:
+                    unknown.setdefault(keys[i], i)
             if unknown:
-                for key, x in zip(unknown, self.align_windows(unknown)):
-                    missing[key] = x
+                new = self.align_windows([raw_a[from_a[i]:to_a[i]] for i in unknown.values()],
+                                         [plain_b[from_b[i]:to_b[i]] for i in unknown.values()])
+                new = dict(zip(unknown, new))
+                for key, x in new.items():
                     self._remember(key, x)
-            for i in gaps:
-                found[i] = missing[keys[i]]
+                for i in gaps:
+                    if found[i] is None:
+                        found[i] = new[keys[i]]
         return found
 
-    def _remember(self, key: tuple[bytes, bytes], value: tuple[int, bytes, bytes]) -> None:
-        if len(key[0]) + len(key[1]) > 4 * LONGEST:
+    def _remember(self, key: bytes, value: tuple[bytes, bytes]) -> None:
+        if len(key) > 4 * LONGEST:
             return
         if len(self.memory) < self.remembered:
             self.memory[key] = value
@@ -159,13 +172,9 @@ class Aligner:
             if self.a.spell(a) != spelt or self.b.spell(b) != spelt:
                 yield nothing
                 continue
-            ids_a, ids_b = np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)
-            cut_a, cut_b = self._cuts(ids_a, ids_b)
-            raw_a, raw_b, to_a, to_b = ids_a.tobytes(), ids_b.tobytes(), (4 * cut_a).tolist(), (4 * cut_b).tolist()
-            found = self.windows([(raw_a[i:j], raw_b[k:m]) for i, j, k, m in
-                                  zip([0, *to_a], to_a, [0, *to_b], to_b)])
-            numbers, parts, links = zip(*found)
-            yield (len(a), len(b), sum(numbers), sha256(b";".join(parts)).hexdigest(),
+            parts, links = zip(*self.windows(np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)))
+            groups = b";".join(parts)
+            yield (len(a), len(b), groups.count(b"|"), sha256(groups).hexdigest(),
                    np.frombuffer(b"".join(links), dtype=np.int64))
 
     def _cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
