@@ -45,7 +45,7 @@ INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E,
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NULL_KEY = 0xFFFFFFFF
 FRAME_IDS = 1 << 16  # a frame is closed at this many ids; a longer document has a frame of its own
-CACHED = 300_000     # parts of text whose ids a worker remembers
+CACHED = 900_000     # parts of text whose ids a worker remembers (about 200 bytes each)
 TOGETHER = 1 << 20   # characters of documents that are encoded together
 
 _NOT_SINGLE = ["  ", *(c for c in WHITE if c != " ")]
