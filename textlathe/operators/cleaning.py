@@ -153,11 +153,13 @@ def features_labels(df: DataFrame, label_col: str = "sentiment") -> DataFrame:
 def lemmatize_with_lexicon(df: DataFrame, id_col: str, tokens_col: str, lexicon: DataFrame,
                            lexicon_rows: int | None = None, out: str = "lemmas") -> DataFrame:
     """Replace tokens found in a ``(form, lemma)`` lexicon; others keep the
-    rule-based lemma. Tokens are exploded with their position, joined to the
+    rule-based lemma. A form that the lexicon repeats has one lemma, the first
+    in order. Tokens are exploded with their position, joined to the
     lexicon (broadcast when its size is known and bounded) and regrouped in
     order: one shuffle by document."""
     ex = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "_tok"))
-    lx = bounded_broadcast(lexicon.select(F.col("form").alias("_tok"), F.col("lemma").alias("_lem")), lexicon_rows)
+    one = lexicon.where("form IS NOT NULL").groupBy(F.col("form").alias("_tok")).agg(F.min("lemma").alias("_lem"))
+    lx = bounded_broadcast(one, lexicon_rows)
     j = ex.join(lx, "_tok", "left").withColumn("_lem", F.coalesce("_lem", T.lemma_rule(F.col("_tok"))))
     g = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_pos", "_lem"))).alias("_c"))
     g = g.select(id_col, F.transform("_c", lambda x: x["_lem"]).alias(out))

@@ -47,9 +47,16 @@ class FeatureConfig:
 
     def to_json(self) -> str:
         d = asdict(self)
-        d["stop_words"] = None if self.stop_words is None else len(self.stop_words)
         return json.dumps(d, sort_keys=True)
 
+    @classmethod
+    def from_json(cls, s: str) -> "FeatureConfig":
+        """The settings that :meth:`to_json` stored, stop words included."""
+        d = json.loads(s)
+        d["ngram_range"] = tuple(d["ngram_range"])
+        d["stop_words"] = None if d["stop_words"] is None else tuple(d["stop_words"])
+        return cls(**d)
+
     @property
     def method(self) -> str | None:
         if self.use_chi2:

@@ -46,7 +46,14 @@ def append_artifacts(spark: SparkSession, log_path: str, dataset: str, entries,
     base = time.time_ns()
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     rows = [(dataset, base + i, now, t, v, current_params) for i, (t, v) in enumerate(entries)]
-    spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(log_path)
+    append_log(spark.createDataFrame(rows, LOG_SCHEMA), log_path)
+
+
+def append_log(entries: DataFrame, log_path: str) -> None:
+    """Append log rows of any number of datasets, the columns of the log in
+    their order and types; a missing column is an error."""
+    kinds = [c.split(" ") for c in LOG_SCHEMA.split(", ")]
+    entries.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds]).write.mode("append").parquet(log_path)
 
 
 def experiment_ids(log: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -758,7 +758,8 @@ def q_artifact_log(spark, sf_dir):
     import uuid
     from ..session import scratch_path
     path = scratch_path(spark, f"log-{uuid.uuid4().hex}")
-    _log(spark, sf_dir).write.mode("append").parquet(path)
+    from ..operators.tracking import append_log
+    append_log(_log(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
@@ -1179,6 +1180,39 @@ def q_write_splits(spark, sf_dir):
     return spark.read.parquet(p).select("doc_id", "split")
 
 
+@register("load_process_save", f"SELECT doc_id, sentiment, cleaned AS cleaned_text, text_length FROM ({processed_sql(LANG_DOCS_SQL)})")
+def q_load_process_save(spark, sf_dir):
+    """Raw JSON to a stored processed table, read back."""
+    from ..sources.writers import write_json
+    from .prepare import load_process_save
+    raw = _scratch(spark, "raw")
+    docs = lang_docs(spark, sf_dir).select("doc_id", "text", "sentiment")
+    write_json(docs, raw)
+    out = load_process_save(spark, raw, _scratch(spark, "processed"), schema=docs._jdf.schema().toDDL())
+    return out.select("doc_id", "sentiment", "cleaned_text", "text_length")
+
+
+@register("load_and_validate", f"SELECT doc_id, sentiment, text_length FROM ({processed_sql(LABELLED_DOCS_SQL)})")
+def q_load_and_validate(spark, sf_dir):
+    """A stored processed table that passes the quality checks."""
+    from .prepare import load_and_validate
+    p = _scratch(spark, "validated")
+    _processed(spark, sf_dir).write.parquet(p)
+    return load_and_validate(spark, p).select("doc_id", "sentiment", "text_length")
+
+
+@register("write_splits_json", f"WITH {SPLIT_SRC}, {split_sql('src', SHARE1, SHARE2, 69)} "
+                               "SELECT doc_id, split FROM assigned")
+def q_write_splits_json(spark, sf_dir):
+    """Splits as JSON, one folder each, read back by the JSON scan."""
+    from ..operators.split import stratified_split
+    from ..sources.readers import scan_json
+    from ..sources.writers import write_splits
+    p = _scratch(spark, "jsplit")
+    write_splits(stratified_split(_split_input(spark, sf_dir)), p, fmt="json")
+    return scan_json(spark, p, "doc_id bigint, split string").select("doc_id", "split")
+
+
 @register("write_features", _split_features_sql() + """
 SELECT split, doc_id, sel.sel_idx, round(value, 6) AS value FROM anw JOIN sel ON anw.term_idx = sel.term_idx""")
 def q_write_features(spark, sf_dir):

@@ -79,12 +79,23 @@ def scan_csv(spark: SparkSession, paths, schema: str | None = None, header: bool
     return out
 
 
+def one_value_a_line(spark: SparkSession, path: str) -> bool:
+    """Whether the JSON under ``path`` is one value a line, judged by its first
+    line that is not blank: whole there, or the start of a longer value. Only
+    that verdict reaches the driver."""
+    line = spark.read.text(path).where(F.trim("value") != "").limit(1)
+    first = line.select(F.try_parse_json("value").isNotNull()).first()
+    return first is not None and first[0]
+
+
 def download_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Dispatch like the reference: names ending ``.csv`` use the CSV ladder,
-    everything else is read as JSON records."""
+    everything else is read as JSON records. Files with one value a line are
+    read in splits; a value of several lines (an indented array) is read whole,
+    a file a task. A folder holds files of one form."""
     if path.lower().rstrip("/").endswith(".csv"):
         return scan_csv(spark, path, schema)
-    return scan_json(spark, path, schema, multiline=True)
+    return scan_json(spark, path, schema, multiline=not one_value_a_line(spark, path))
 
 
 def sample_data(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
