@@ -94,3 +94,49 @@ def test_min_df_prunes_everything_raises(spark):
     import pytest
     with pytest.raises(ValueError):
         FX.fit(frame(spark), cfg=replace(FX.LIVE_CONFIG, min_df=5, max_df=10))
+
+
+def test_row_local_and_joined_weights_are_equal(spark, monkeypatch):
+    new = spark.createDataFrame([(8, None), (9, "zebra quality quality money"), (10, "nothing known")],
+                                "doc_id long, cleaned_text string")
+    for cfg in (replace(FX.LIVE_CONFIG, use_chi2=False), replace(FX.LIVE_CONFIG, chi2_k=5)):
+        m = FX.fit(frame(spark), cfg=cfg)
+        every = frame(spark).select("doc_id", "cleaned_text").union(new)
+        results = []
+        for terms in (FX.VOCABULARY_TERMS, 0):  # held by the workers, then joined
+            monkeypatch.setattr(FX, "VOCABULARY_TERMS", terms)
+            out = m.transform(every, "doc_id", zeros=True)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("hashpartitioning(doc_id" in plan) == (terms == 0)
+            rows = out.collect()
+            assert {r.doc_id for r in rows} == {1, 2, 3, 4, 8, 9, 10}
+            assert [r.term for r in rows if r.doc_id in (8, 10)] == [None, None]
+            plain = m.transform(every, "doc_id").collect()
+            assert len(plain) == sum(r.term is not None for r in rows)
+            results.append({(r.doc_id, r.sel_idx, r.term): r.value for r in rows})
+            monkeypatch.undo()
+        a, b = results
+        assert a.keys() == b.keys()
+        assert all(a[k] == b[k] or abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_mutual_information_matches_brute_force(spark, monkeypatch):
+    docs = [(i, t, i % 3) for i, t in enumerate(
+        ["red green", "red blue", "blue blue green", "red red", "green", "blue red green", "red green", "black"])]
+    _, _, vals, _ = brute(docs, max_df=1.0)
+    n, label = len(docs), {i: y for i, _, y in docs}
+
+    def score(term):
+        cell = Counter((round(vals[i].get(term, 0.0), 9), label[i]) for i in vals)
+        by_v, by_y = Counter(), Counter()
+        for (v, y), c in cell.items():
+            by_v[v] += c
+            by_y[y] += c
+        return max(0.0, sum(c / n * math.log(n * c / (by_v[v] * by_y[y])) for (v, y), c in cell.items()))
+    df = spark.createDataFrame(docs, "doc_id long, cleaned_text string, sentiment int")
+    cfg = replace(FX.LIVE_CONFIG, use_chi2=False, use_mutual_info=True, max_df=1.0)
+    for width in (FX.MI_CLASSES, 1, 2):  # classes side by side, and in blocks
+        monkeypatch.setattr(FX, "MI_CLASSES", width)
+        got = {r.term: r.score for r in FX.fit(df, cfg=cfg).table.collect()}
+        assert len(got) > 5
+        assert all(abs(got[t] - score(t)) < 1e-9 for t in got)

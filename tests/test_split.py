@@ -75,3 +75,12 @@ def test_unstratified_when_no_label(spark):
     got = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     # 20 rows: 7 go to test+val (ceil(0.30000000000000004 * 20)), then ceil(1/3 * 7) = 3 to val
     assert got == {"train": 13, "test": 4, "val": 3}
+
+
+def test_split_keeps_nothing_in_memory(spark):
+    df = spark.range(200).selectExpr("id AS doc_id", "id % 3 AS sentiment")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    SP.stratified_split(df).count()
+    SP.stratified_folds(df, 4).count()
+    assert not df.is_cached
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before

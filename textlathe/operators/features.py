@@ -9,8 +9,8 @@ Data layout (never densified):
 * model table (``term, term_idx, df, ctf, idf, score, selected, sel_idx``):
   bounded by ``max_features`` and written to the shared checkpoint folder,
   which cuts lineage before transform.
-* features: long ``(id, sel_idx, term, value)``; the vocabulary side of the
-  join is broadcast only when ``max_features`` bounds it.
+* features: long ``(id, sel_idx, term, value)``, weighed inside the row while
+  the vocabulary is within checked bounds, else by a join with it.
 
 Semantics follow the reference's vectoriser and selector: smooth idf
 ``ln((1+n)/(1+df)) + 1``, raw counts times idf, L2 norm over the whole kept
@@ -22,6 +22,7 @@ re-normalisation after selection.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as T
-from .joins import bounded_broadcast, global_index
+from .joins import bounded_broadcast, global_index, join_null_safe
 
 @dataclass(frozen=True)
 class FeatureConfig:
@@ -156,18 +157,79 @@ def with_idf(vocab: DataFrame, n_docs: int) -> DataFrame:
 # Weights
 # ---------------------------------------------------------------------------
 
-def tfidf_weights(dt: DataFrame, vocab: DataFrame, id_col: str, keep: list[str],
-                  vocab_bound: int | None) -> DataFrame:
-    """Long TF-IDF table ``keep + (term, term_idx, value)``, L2-normalised per
-    document over the whole vocabulary.
+# A vocabulary up to both bounds is held by every worker for row-local lookups.
+VOCABULARY_TERMS = 200_000
+VOCABULARY_BYTES = 32 << 20
 
-    One shuffle by document (a window sums the squares; sort-based, spills);
-    the vocabulary side is broadcast when bounded."""
+
+def held_vocabulary(vocab: DataFrame, bound: int | None) -> list | None:
+    """Rows (term, idf) in ``term_idx`` order when the vocabulary is within both
+    bounds; otherwise None, and nothing is collected."""
+    if bound is None or bound > VOCABULARY_TERMS:
+        return None
+    if (vocab.agg(F.sum(F.octet_length("term"))).first()[0] or 0) > VOCABULARY_BYTES:
+        return None
+    return vocab.select("term_idx", "term", "idf").orderBy("term_idx").collect()
+
+
+def weight_vectors(df: DataFrame, grams_col: str, rows: list, selected: list[int] | None = None,
+                   out: str = "features") -> DataFrame:
+    """``df`` + ``out``: the sparse TF-IDF vector of the n-grams, normalised
+    over the whole vocabulary ``rows`` and then cut to the term indices
+    ``selected``. Row-wise in the JVM: no shuffle."""
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSlicer
+    from pyspark.ml.linalg import Vectors
+    cv = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol=grams_col, outputCol="_tf")
+    steps = [cv, ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf", outputCol="_w"),
+             Normalizer(p=2.0, inputCol="_w", outputCol=out if selected is None else "_n")]
+    if selected is not None:
+        steps.append(VectorSlicer(indices=selected, inputCol="_n", outputCol=out))
+    for step in steps:
+        df = step.transform(df)
+    return df.drop("_tf", "_w", "_n")
+
+
+def tfidf_weights(dt: DataFrame, vocab: DataFrame, id_col: str, keep: list[str], vocab_bound: int | None,
+                  selection: DataFrame | None = None, zeros: bool = False, rows: list | None = None) -> DataFrame:
+    """Long TF-IDF table ``keep + (term_idx, value)``, L2-normalised per
+    document over the whole vocabulary; only the terms of ``selection``
+    (term_idx, ...), a part of ``vocab``, have rows if it is given. ``zeros``: a
+    document without any such term keeps one row, with nulls.
+
+    Lookup, norm and selection happen inside the row while the vocabulary is
+    held by every worker (:func:`held_vocabulary`), so documents are not
+    shuffled; ``dt`` may then hold ``grams`` instead of ``terms`` (``rows``: the
+    held vocabulary, if the caller has it). Beyond that the vocabulary is joined
+    by term and a window by document sums the squares (sort-based, spills)."""
+    rows = rows or held_vocabulary(vocab, vocab_bound)
+    if rows is not None:
+        chosen = None if selection is None else sorted(r[0] for r in selection.select("term_idx").collect())
+        if chosen is not None and len(chosen) == len(rows):
+            chosen = None
+        # counts back to n-grams: the vectoriser counts them by its own hash map
+        grams_ = F.col("grams") if "grams" in dt.columns else \
+            F.flatten(F.transform("terms", lambda t: F.array_repeat(t["term"], t["tf"].cast("int"))))
+        d = dt.select(*keep, F.coalesce(grams_, F.array().cast("array<string>")).alias("_g"))
+        d = weight_vectors(d, "_g", rows, chosen, "_x").select(*keep, F.unwrap_udt("_x").alias("_x"))
+        d = d.select(*keep, F.col("_x.indices").alias("_i"), F.col("_x.values").alias("value"))
+        long = d.select(*keep, F.inline_outer(F.arrays_zip("_i", "value")))
+        if not zeros:
+            long = long.where(F.col("_i").isNotNull())
+        if chosen is None:
+            return long.withColumnRenamed("_i", "term_idx")
+        at = F.broadcast(dt.sparkSession.createDataFrame(list(enumerate(chosen)), "_i int, term_idx int"))
+        return long.join(at, "_i", "left").select(*keep, "term_idx", "value")
     v = bounded_broadcast(vocab.select("term", "term_idx", "idf"), vocab_bound)
     ex = exploded_terms(dt, keep).join(v, "term")
     ex = ex.withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return ex.select(*keep, "term", "term_idx", (F.col("w") / norm).alias("value"))
+    out = ex.select(*keep, "term_idx", (F.col("w") / norm).alias("value"))
+    if selection is not None:
+        out = out.join(selection.select("term_idx"), "term_idx").select(*keep, "term_idx", "value")
+    if zeros:
+        without = join_null_safe(dt.select(*keep), out.select(*keep).distinct(), keep, "left_anti")
+        out = out.unionByName(without, allowMissingColumns=True)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -205,38 +267,61 @@ def _label_type(class_counts: dict) -> str:
     return "string"
 
 
+MI_CLASSES = 64  # classes counted side by side, one column each
+
+
 def mutual_info_scores(weights: DataFrame, label_col: str, class_counts: dict, n_docs: int,
                        vocab: DataFrame) -> DataFrame:
     """(term_idx, score): mutual information (nats) between each term's value
     (as a discrete category; values rounded to 9 decimals) and the label,
-    including the implied zero-value cell, clipped at 0."""
+    including the implied zero-value cell, clipped at 0.
+
+    With ``h(n) = n ln n`` the score is ``(sum h(n_vy) - sum h(n_v) - sum h(n_y)
+    + h(N)) / N`` over all cells, so every aggregate is a plain sum. One grouping
+    by (term, value) holds a count per class, combined before its shuffle; what
+    remains is one row per term and partition. Classes beyond
+    :data:`MI_CLASSES` are counted in blocks, whose rows meet in a second
+    grouping by (term, value)."""
     N = float(n_docs)
-    priors = class_priors(weights.sparkSession, label_col, class_counts, n_docs)
-    cells = (weights.withColumn("v", F.round("value", 9))
-                    .groupBy("term_idx", "v", label_col).agg(F.count(F.lit(1)).alias("n_vy")))
-    cells = cells.join(bounded_broadcast(priors, len(class_counts)), label_col)
-    cells = cells.withColumn("n_v", F.sum("n_vy").over(Window.partitionBy("term_idx", "v")))
-    nonzero = cells.groupBy("term_idx").agg(
-        F.sum(F.col("n_vy") / N * F.log(F.lit(N) * F.col("n_vy") / (F.col("n_v") * F.col("n_y"))))
-         .alias("mi_nz"))
-    # zero-value cells: per (term, label present) n_y - nz_y; labels where the
-    # term is absent contribute n_y * ln(N / n_0) together.
-    per_label = cells.groupBy("term_idx", label_col).agg(F.sum("n_vy").alias("nz_y"), F.first("n_y").alias("n_y"))
-    zero = (per_label.join(vocab.select("term_idx", "df"), "term_idx")
-                     .withColumn("n0", F.lit(N) - F.col("df"))
-                     .withColumn("n0y", F.col("n_y") - F.col("nz_y"))
-                     .groupBy("term_idx")
-                     .agg(F.sum(F.when(F.col("n0y") > 0,
-                                       F.col("n0y") / N * F.log(F.lit(N) * F.col("n0y") / (F.col("n0") * F.col("n_y"))))
-                               .otherwise(F.lit(0.0))).alias("z_present"),
-                          (F.lit(N) - F.sum("n_y")).alias("n_absent"),
-                          F.first("n0").alias("n0")))
-    zero = zero.withColumn("mi_z", F.col("z_present") + F.when(
-        (F.col("n_absent") > 0) & (F.col("n0") > 0),
-        F.col("n_absent") / N * F.log(F.lit(N) / F.col("n0"))).otherwise(F.lit(0.0)))
-    mi = nonzero.join(zero.select("term_idx", "mi_z"), "term_idx", "left") \
-                .select("term_idx", F.greatest(F.col("mi_nz") + F.coalesce("mi_z", F.lit(0.0)), F.lit(0.0)).alias("score"))
-    return mi
+
+    def h(n):
+        return F.when(n > 0, n * F.log(n.cast("double"))).otherwise(F.lit(0.0))
+
+    classes = list(class_counts)
+    width = min(len(classes), MI_CLASSES)
+    at = weights.sparkSession.createDataFrame(
+        [(c, i // MI_CLASSES, i % MI_CLASSES) for i, c in enumerate(classes)],
+        f"{label_col} {_label_type(class_counts)}, _block int, _slot int")
+    w = weights.select("term_idx", F.round("value", 9).alias("v"), label_col).join(
+        bounded_broadcast(at, len(classes)), label_col)
+    slots = [F.count_if(F.col("_slot") == i).alias(f"_n{i}") for i in range(width)]
+    many = len(classes) > MI_CLASSES
+    cells = w.groupBy("term_idx", "v", *(["_block"] if many else [])).agg(*slots)
+    counts = [F.col(f"_n{i}") for i in range(width)]
+    cells = cells.withColumn("_nv", sum(counts[1:], counts[0])).withColumn("_h", sum((h(c) for c in counts[1:]), h(counts[0])))
+    if many:
+        # per (term, class): non-zero documents, from a map-side count
+        present = w.groupBy("term_idx", label_col).agg(F.count(F.lit(1)).alias("_nz"))
+        cells = cells.groupBy("term_idx", "v").agg(F.sum("_nv").alias("_nv"), F.sum("_h").alias("_h"))
+    else:
+        totals = [F.sum(c).alias(f"_z{i}") for i, c in enumerate(counts)]
+    per_term = cells.groupBy("term_idx").agg(
+        F.sum(F.col("_h") - h(F.col("_nv"))).alias("_s"), F.sum("_nv").alias("_nz"),
+        *([] if many else totals))
+    h_classes = sum(n * math.log(n) for n in class_counts.values())
+    if many:
+        # the zero cell of a class without the term is the class itself
+        own = bounded_broadcast(weights.sparkSession.createDataFrame(
+            [(c, int(n)) for c, n in class_counts.items()], f"{label_col} {_label_type(class_counts)}, _ny long"), len(classes))
+        zero = present.join(own, label_col).groupBy("term_idx").agg(
+            F.sum(h(F.col("_ny") - F.col("_nz")) - h(F.col("_ny"))).alias("_z"))
+        per_term = per_term.join(zero, "term_idx").withColumn("_z", F.col("_z") + F.lit(h_classes))
+    else:
+        zeros = [h(F.lit(int(class_counts[c])) - F.col(f"_z{i}")) for i, c in enumerate(classes)]
+        per_term = per_term.withColumn("_z", sum(zeros[1:], zeros[0]))
+    score = (F.col("_s") + F.col("_z") - h(F.lit(int(n_docs)) - F.col("_nz")) - F.lit(h_classes)
+             + F.lit(N * math.log(N))) / N
+    return per_term.select("term_idx", F.greatest(score, F.lit(0.0)).alias("score"))
 
 
 def select_k_best(scored_vocab: DataFrame, k: int) -> DataFrame:
@@ -287,10 +372,11 @@ class FeatureModel:
                     .orderBy(F.desc("score"), F.asc("term")))
 
     def transform(self, df: DataFrame, id_col: str, keep: list[str] | None = None,
-                  text_col: str | None = None) -> DataFrame:
+                  text_col: str | None = None, zeros: bool = False) -> DataFrame:
         """Long features ``keep + (sel_idx, term, value)`` of ``df``; unknown
-        terms are ignored, documents with no known term have no rows."""
-        return transform(self, df, id_col, keep, text_col)
+        terms are ignored. Documents without a selected term have no rows, or
+        with ``zeros`` one row of nulls."""
+        return transform(self, df, id_col, keep, text_col, zeros=zeros)
 
     def save(self, path: str, mode: str = "overwrite") -> None:
         spark = self.table.sparkSession
@@ -394,17 +480,25 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
 
 
 def transform(model: FeatureModel, df: DataFrame, id_col: str, keep: list[str] | None = None,
-              text_col: str | None = None, terms: DataFrame | None = None) -> DataFrame:
+              text_col: str | None = None, terms: DataFrame | None = None, zeros: bool = False) -> DataFrame:
     """Long selected features of ``df``, or of ``terms``, its stored
-    :func:`doc_terms` with the ``keep`` columns."""
+    :func:`doc_terms` with the ``keep`` columns. ``zeros``: as in
+    :func:`tfidf_weights`."""
     text_col = text_col or model.text_col
     keep = keep or [id_col]
     if id_col not in keep:
         keep = [id_col] + keep
-    dt = terms if terms is not None else doc_terms(df, text_col, model.config, keep)
-    w = tfidf_weights(dt, model.table.select("term", "term_idx", "idf"), id_col, keep, model.bound)
-    sel = model.table.where("selected").select("term_idx", "sel_idx")
-    out = w.join(bounded_broadcast(sel, model.n_selected), "term_idx")
+    vocab = model.table.select("term", "term_idx", "idf")
+    sel = model.table.where("selected").select("term_idx", "sel_idx", "term")
+    held = held_vocabulary(vocab, model.bound)
+    if terms is not None:
+        dt = terms
+    elif held is not None:
+        dt = grams(df.select(*keep, text_col), text_col, model.config).select(*keep, "grams")
+    else:
+        dt = doc_terms(df, text_col, model.config, keep)
+    w = tfidf_weights(dt, vocab, id_col, keep, model.bound, sel, zeros, held)
+    out = w.join(bounded_broadcast(sel, model.n_selected), "term_idx", "left" if zeros else "inner")
     return out.select(*keep, "sel_idx", "term", "value")
 
 
@@ -422,20 +516,10 @@ def feature_vectors(model: FeatureModel, df: DataFrame, id_col: str,
     terms. All JVM-side and row-wise (no shuffle). The vocabulary (bounded by
     ``max_features``, checked here) is held by the transformer.
     """
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSlicer
-    from pyspark.ml.linalg import Vectors
-
     if model.n_terms > max_terms:
         raise ValueError(f"vocabulary of {model.n_terms} terms is above {max_terms}")
     rows = model.table.select("term_idx", "term", "idf", "selected").orderBy("term_idx").collect()
-    vocab = [r["term"] for r in rows]
-    idf = Vectors.dense([r["idf"] for r in rows])
-    sel = [r["term_idx"] for r in rows if r["selected"]]
     text_col = text_col or model.text_col
     g = grams(df.select(id_col, text_col), text_col, model.config)
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="grams", outputCol="_tf")
-    x = cv.transform(g)
-    x = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_w").transform(x)
-    x = Normalizer(p=2.0, inputCol="_w", outputCol="_n").transform(x)
-    x = VectorSlicer(indices=sel, inputCol="_n", outputCol="features").transform(x)
+    x = weight_vectors(g, "grams", rows, [r["term_idx"] for r in rows if r["selected"]])
     return x.select(id_col, "features")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import ensure_checkpoint_dir
 from .joins import bounded_broadcast
 
 MAX_CLASSES = 1_000_000
@@ -122,8 +123,8 @@ def order_key(id_col: str, seed: int):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def _class_counts(df: DataFrame, label_col: str) -> dict:
-    rows = df.groupBy(label_col).count().limit(MAX_CLASSES + 1).collect()
+def _class_counts(buckets: DataFrame, label_col: str) -> dict:
+    rows = buckets.groupBy(label_col).agg(F.sum("_n")).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
     out = {r[0]: r[1] for r in rows}
@@ -132,15 +133,23 @@ def _class_counts(df: DataFrame, label_col: str) -> dict:
     return out
 
 
-def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quotas: dict,
+def bucket_counts(df: DataFrame, label_col: str, id_col: str, seed: int) -> DataFrame:
+    """(class, bucket, count), combined map-side and checkpointed: class counts
+    and cuts are both read from it, so ``df`` is read once for them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    bucket = F.substring(order_key(id_col, seed), 1, BUCKET_HEX)
+    return df.groupBy(label_col, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+
+
+def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quotas: dict, buckets: DataFrame,
                     names=("train", "test", "val"), out: str = "split") -> DataFrame:
     """Give each row ``names[j]`` by its rank inside its class in hash order:
-    ranks 1..q0 -> names[0], next q1 -> names[1], rest -> names[2]."""
+    ranks 1..q0 -> names[0], next q1 -> names[1], rest -> names[2]. ``buckets``:
+    :func:`bucket_counts` of ``df``."""
     spark = df.sparkSession
     keyed = (df.withColumn("_h", order_key(id_col, seed))
                .withColumn("_b", F.substring("_h", 1, BUCKET_HEX)))
-    # (class, bucket) counts: map-side partial aggregation, small result.
-    bc = keyed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    bc = buckets
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bc = bc.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     ltype = df.schema[label_col].dataType.simpleString()
@@ -183,22 +192,20 @@ def stratified_split(df: DataFrame, label_col: str | None = "sentiment", id_col:
                      params: SplitParams = SplitParams(), stratify: bool = True) -> DataFrame:
     """``df`` + ``split`` in {train, test, val}.
 
-    ``df`` is read for class counts, bucket counts and the assignment, so it
-    is persisted (memory, spilling to disk) unless it is already cached."""
-    from pyspark import StorageLevel
-    if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ``df`` is read twice, for its bucket counts and for the assignment; an
+    expensive plan should be written before. Nothing is kept in memory."""
+    seed = params.random_state
     if stratify:
-        counts = _class_counts(df, label_col)
-        quotas = quotas_train_first(counts, params, True)
-        return assign_by_quota(df, label_col, id_col, params.random_state, quotas)
-    n = df.count()
-    quotas = quotas_train_first({0: n}, params, False)
+        buckets = bucket_counts(df, label_col, id_col, seed)
+        quotas = quotas_train_first(_class_counts(buckets, label_col), params, True)
+        return assign_by_quota(df, label_col, id_col, seed, quotas, buckets)
     # one class for all rows (an md5 has 32 digits); not a literal, so that the
     # cut table is joined by key like any other
-    one = F.coalesce(F.length(order_key(id_col, params.random_state)) - 32, F.lit(0))
+    one = F.coalesce(F.length(order_key(id_col, seed)) - 32, F.lit(0))
     tmp = df.withColumn("_all", one)
-    return assign_by_quota(tmp, "_all", id_col, params.random_state, quotas).drop("_all")
+    buckets = bucket_counts(tmp, "_all", id_col, seed)
+    quotas = quotas_train_first({0: buckets.agg(F.sum("_n")).first()[0] or 0}, params, False)
+    return assign_by_quota(tmp, "_all", id_col, seed, quotas, buckets).drop("_all")
 
 
 def reproduce_split(df: DataFrame, split_params: str | dict, label_col: str = "sentiment",
@@ -218,11 +225,12 @@ def split_test_first(df: DataFrame, label_col: str = "sentiment", id_col: str =
     if text_col is None:
         text_col = "cleaned_text" if "cleaned_text" in df.columns else "text"
     d = df.select(id_col, F.col(text_col).alias("text"), label_col).na.drop(subset=["text", label_col])
-    counts = _class_counts(d, label_col)
+    buckets = bucket_counts(d, label_col, id_col, random_state)
+    counts = _class_counts(buckets, label_col)
     quotas = quotas_test_first(counts, test_size, validation_size)
     # rank order: test first, then validation, then train
     q2 = {k: (b, c, a) for k, (a, b, c) in quotas.items()}
-    return assign_by_quota(d, label_col, id_col, random_state, q2, names=("test", "val", "train"))
+    return assign_by_quota(d, label_col, id_col, random_state, q2, buckets, names=("test", "val", "train"))
 
 
 def split_report(split_df: DataFrame, label_col: str = "sentiment") -> DataFrame:
@@ -237,7 +245,8 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "sentiment", id
     gives every fold the same per-class counts as stratified k-fold, with
     members chosen by the hash order. Ranks come from a window over (class,
     bucket) slices plus bucket offsets: one balanced shuffle."""
-    counts = _class_counts(df, label_col)
+    buckets = bucket_counts(df, label_col, id_col, seed)
+    counts = _class_counts(buckets, label_col)
     if min(counts.values()) < k:
         raise ValueError(f"n_splits={k} cannot be greater than the number of members in each class.")
     spark = df.sparkSession
@@ -250,9 +259,8 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "sentiment", id
     o = spark.createDataFrame(offs, f"{label_col} {ltype}, _off long")
     keyed = (df.withColumn("_h", order_key(id_col, seed))
                .withColumn("_b", F.substring("_h", 1, BUCKET_HEX)))
-    bc = keyed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bc = bc.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).join(bounded_broadcast(o, len(labels)), label_col) \
+    bc = buckets.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).join(bounded_broadcast(o, len(labels)), label_col) \
            .select(label_col, "_b", (F.col("_start") + F.col("_off")).alias("_base"))
     j = keyed.join(bounded_broadcast(bc, len(labels) * 16 ** BUCKET_HEX), [label_col, "_b"])
     pos = F.col("_base") + F.row_number().over(Window.partitionBy(label_col, "_b").orderBy("_h", id_col)) - 1

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import sqltext as S
 from .inputs import LABELLED_DOCS_SQL, LANG_DOCS_SQL, labelled_docs, lang_docs, table
 
@@ -442,7 +443,8 @@ SHARE2 = "0.1::DOUBLE / (0.2::DOUBLE + 0.1::DOUBLE)"
 
 
 def _split_input(spark, sf_dir):
-    return _processed(spark, sf_dir).select("doc_id", "sentiment")
+    """Written first: a split reads its input twice."""
+    return materialize(_processed(spark, sf_dir).select("doc_id", "sentiment"), "split-input")
 
 
 SPLIT_SRC = f"src AS (SELECT doc_id, sentiment FROM ({processed_sql(LABELLED_DOCS_SQL)}))"
@@ -646,7 +648,7 @@ def q_features_for_splits(spark, sf_dir):
     """Fit on the train split only; transform train, test and val."""
     from ..plans.prepare import features_for_splits
     from ..operators.split import stratified_split
-    splits = stratified_split(_processed(spark, sf_dir)).persist()
+    splits = stratified_split(materialize(_processed(spark, sf_dir), "processed"))
     feats, _ = features_for_splits(splits)
     return feats.groupBy("split", "sel_idx").agg(F.count(F.lit(1)).alias("n_docs"), r6(F.sum("value")).alias("total"))
 
@@ -668,11 +670,9 @@ def q_transform_unseen(spark, sf_dir):
     from ..functions import text as T
     m = _fit(spark, sf_dir)
     bench = table(spark, sf_dir, "benchmark").withColumn("cleaned_text", T.clean_text("text"))
-    f = m.transform(bench, "item_id")
-    agg = f.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_features"), F.sum("value").alias("total"))
-    return (bench.select("item_id").join(agg, "item_id", "left")
-                 .select("item_id", F.coalesce("n_features", F.lit(0)).alias("n_features"),
-                         r6(F.coalesce("total", F.lit(0.0))).alias("total")))
+    f = m.transform(bench, "item_id", zeros=True)
+    return f.groupBy("item_id").agg(F.count("value").alias("n_features"),
+                                    r6(F.coalesce(F.sum("value"), F.lit(0.0))).alias("total"))
 
 
 @register("feature_vectors", f"""WITH {FEAT_SRC}, {features_ctes('src')}, {chi2_ctes('src')},
@@ -971,7 +971,7 @@ def _ml_data(spark, sf_dir):
     from ..operators.split import stratified_folds, stratified_split
     from ..plans.prepare import features_for_splits
     p = _processed(spark, sf_dir)
-    s = stratified_split(p).persist()
+    s = stratified_split(materialize(p, "processed")).persist()
     _, model = features_for_splits(s)
     v = feature_vectors(model, s, "doc_id")
     folds = stratified_folds(p.select("doc_id", "sentiment"), 5).select("doc_id", "fold")
@@ -1039,7 +1039,7 @@ def q_train_nb(spark, sf_dir):
     from ..operators.split import stratified_split
     from ..operators.training import naive_bayes_fit, naive_bayes_predict
     from ..plans.prepare import features_for_splits
-    s = stratified_split(_processed(spark, sf_dir)).persist()
+    s = stratified_split(materialize(_processed(spark, sf_dir), "processed")).persist()
     feats, model = features_for_splits(s)
     lab = s.select("doc_id", F.col("sentiment").alias("label"), "split")
     tr = feats.where("split = 'train'")
@@ -1052,8 +1052,7 @@ def q_train_nb(spark, sf_dir):
 def _fold_docs(spark, sf_dir, k):
     """Processed labelled documents outside the test split with stratified folds."""
     from ..operators.split import stratified_folds, stratified_split
-    from ..session import materialize
-    s = stratified_split(_processed(spark, sf_dir)).where("split <> 'test'")
+    s = stratified_split(materialize(_processed(spark, sf_dir), "processed")).where("split <> 'test'")
     return materialize(stratified_folds(s.select("doc_id", "sentiment", "cleaned_text"), k), "folds")
 
 
@@ -1220,7 +1219,7 @@ def q_write_features(spark, sf_dir):
     from ..sources.writers import write_features
     from .prepare import features_for_splits
     p = _scratch(spark, "wfeat")
-    feats, _ = features_for_splits(stratified_split(_processed(spark, sf_dir)).persist())
+    feats, _ = features_for_splits(stratified_split(materialize(_processed(spark, sf_dir), "processed")).persist())
     write_features(feats, p)
     return spark.read.parquet(p).select("split", "doc_id", "sel_idx", r6(F.col("value")).alias("value"))
 
