@@ -74,3 +74,32 @@ def test_csv_input_keeps_null_languages_and_other_characters(spark, tmpdir_path)
         (i, lang, source, hashlib.md5(text.encode()).hexdigest()) for i, lang, source, text in rows]
     found = QUERIES["detect_encoding"](spark, tmpdir_path).collect()
     assert {(r.folder, r.encoding) for r in found} >= {("latin1", "ISO-8859-1"), ("utf8", "UTF-8")}
+
+
+def test_quoted_csv_is_read_in_splits_like_the_whole_reader(spark, tmpdir_path):
+    from textlathe.sources.readers import scan_csv, scan_csv_split
+    body = 'id,text\n'
+    for i in range(400):
+        body += f'{i},"line one of {i}\nsays ""{"x" * (i % 37)}"", then\r\n\n{"" if i % 5 else "word " * 90}"\n' if i % 3 else f'{i},plain {i}\n'
+    body += '400,NA\n401,"last, ""open"" end"'
+    for k, ending in enumerate(("\n", "\r\n")):
+        for name, text in (("a", body), ("b", 'id,text\n7,"only\none"\n'), ("c", "id,text\n"), ("d", "")):
+            with open(f"{tmpdir_path}/{name}{k}.csv", "wb") as f:
+                f.write((text if k == 0 else text.replace("\r\n", "\n").replace("\n", ending)).encode())
+    schema = "id bigint, text string"
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        for k in (0, 1):
+            files = [f"{tmpdir_path}/{n}{k}.csv" for n in "abcd"]
+            got = scan_csv_split(spark, files, schema)
+            assert spark.read.text(files[0]).rdd.getNumPartitions() > 10
+            rows = sorted(map(tuple, got.collect()), key=str)
+            assert len(rows) == 403
+            want = sorted(map(tuple, scan_csv(spark, files[:3], schema).collect()), key=str)
+            assert rows == want
+            assert (400, None) in rows and (401, 'last, "open" end') in rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")

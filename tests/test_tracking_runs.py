@@ -110,3 +110,45 @@ def test_document_stream_reads_part_files_and_single_files(spark, tmpdir_path):
         out = f"{tmpdir_path}/out{k}"
         featurize.run_available(spark, featurize.document_stream(spark, folder), out, f"{tmpdir_path}/ck{k}")
         assert spark.read.parquet(out).count() == docs.count()
+
+
+def run(experiment, i, artifacts=None):
+    return (experiment, f"r{i}", f"n{i}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), {"a": "1"}, {"f1": 0.5}, None, artifacts)
+
+
+def test_removed_runs_are_gone_after_reading_back(spark, tmpdir_path):
+    p = f"{tmpdir_path}/log"
+    runs.remove_old_runs(spark, p, 2)  # no log yet
+    assert runs.read_runs(spark, p).count() == 0
+    runs.log_runs(spark.createDataFrame([run("a", i) for i in range(5)] + [run(None, i) for i in range(3)], runs.RUN_SCHEMA), p)
+    runs.remove_old_runs(spark, p, 2)
+    left = {(r.experiment, r.run_id) for r in runs.read_runs(spark, p).collect()}
+    assert left == {("a", "r4"), ("a", "r3"), (None, "r2"), (None, "r1")}
+    runs.log_runs(spark.createDataFrame([run("a", 9)], runs.RUN_SCHEMA), p)
+    runs.remove_old_runs(spark, p, 1)
+    back = runs.read_runs(spark, p).collect()
+    assert {(r.experiment, r.run_id) for r in back} == {("a", "r9"), (None, "r2")}
+    assert back[0].params == {"a": "1"}
+
+
+def test_missing_artifact_files_are_not_logged(spark, tmpdir_path):
+    base = f"{tmpdir_path}/files one+two"
+    spark.range(3).write.parquet(base + "/model")
+    part = next(r.path for r in runs.artifact_listing(spark, base).collect() if r.path.endswith(".parquet"))
+    log = runs.run_log_long(spark.createDataFrame(
+        [run("a", 1, [base + "/model", base + "/gone", part, None])], runs.RUN_SCHEMA), runs.artifact_listing(spark, base))
+    rows = {(r.kind, r.key, r.value) for r in log.collect()}
+    assert rows == {("param", "a", "1"), ("metric", "f1", "0.5"), ("artifact", "0", base + "/model"), ("artifact", "2", part)}
+    assert runs.artifact_listing(spark, base + "/none").count() == 0
+
+
+def test_new_experiments_carry_tags_and_missing_stages_raise(spark):
+    import pytest
+    have = spark.createDataFrame([("a",)], "experiment string")
+    new = runs.get_or_create(have, spark.createDataFrame([("a",), ("b",), ("b",)], "experiment string"), {"team": "x"})
+    assert [(r.experiment, r.tags) for r in new.collect()] == [("b", {"team": "x"})]
+    v = spark.createDataFrame([("m", "r1", "Staging", 1), ("m", "r2", "Staging", 2)],
+                              "name string, run_id string, stage string, version int")
+    assert runs.registered_model(v, "m", "Staging").first().run_id == "r2"
+    with pytest.raises(ValueError):
+        runs.registered_model(v, "m", "Production")

@@ -840,6 +840,20 @@ def q_run_log(spark, sf_dir):
     return run_log_long(_runs(spark, sf_dir))
 
 
+@register("run_artifacts", """SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS artifact FROM events
+WHERE event_type <> 'error' AND event_type IS NOT NULL""")
+def q_run_artifacts(spark, sf_dir):
+    """Runs name the folder of their event type; only some folders were written."""
+    from ..operators.runs import artifact_listing, run_log_long
+    p = _scratch(spark, "artifacts")
+    events = table(spark, sf_dir, "events")
+    events.where("event_type <> 'error'").select("event_type", "value").write.partitionBy("event_type").parquet(p)
+    at = F.concat(F.lit(p + "/event_type="), F.col("experiment"))
+    runs = _runs(spark, sf_dir).withColumn("artifacts", F.array(at, F.concat(at, F.lit("-missing"))))
+    log = run_log_long(runs, artifact_listing(spark, p)).where("kind = 'artifact'")
+    return log.select("run_id", F.substring_index("value", "=", -1).alias("artifact"))
+
+
 @register("experiments", """SELECT experiment, created, CAST(row_number() OVER (ORDER BY created, experiment) - 1 AS INTEGER) AS experiment_id
 FROM (SELECT event_type AS experiment, min(ts) AS created FROM events GROUP BY event_type)""")
 def q_experiments(spark, sf_dir):
@@ -896,6 +910,17 @@ def q_retain(spark, sf_dir):
     return retain_last_runs(_runs(spark, sf_dir), 10)
 
 
+@register("remove_old_runs", f"""SELECT experiment, run_id, run_name, start_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id DESC) AS rn FROM ({RUNS_SQL})) WHERE rn <= 10""")
+def q_remove_old(spark, sf_dir):
+    """Runs logged to a stored log, old ones removed, the log read back."""
+    from ..operators.runs import log_runs, read_runs, remove_old_runs
+    p = _scratch(spark, "run-log")
+    log_runs(_runs(spark, sf_dir), p)
+    remove_old_runs(spark, p, 10)
+    return read_runs(spark, p).select("experiment", "run_id", "run_name", "start_time")
+
+
 REG_SQL = """SELECT 'model_' || event_type AS name, CAST(event_id AS VARCHAR) AS run_id, ts,
   ['Staging', 'Production', 'Archived'][CAST(((floor(value) % 3) + 3) % 3 AS INTEGER) + 1] AS stage
 FROM events WHERE event_type IN ('purchase', 'signup')"""
@@ -1142,6 +1167,18 @@ def q_scan_csv(spark, sf_dir):
     return d.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
 
 
+@register("scan_csv_split", """SELECT doc_id, lang, source, md5(replace(text, ' the ', chr(10) || '"the", ')) AS text_md5 FROM documents""")
+def q_scan_csv_split(spark, sf_dir):
+    """Texts with quoted line breaks, quotes and commas, each file read in splits."""
+    from ..sources.readers import scan_csv_split
+    p = _scratch(spark, "csv-split")
+    broken = F.replace("text", F.lit(" the "), F.lit('\n"the", '))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", broken.alias("text"))
+    docs.write.option("header", True).option("escape", '"').csv(p)
+    d = scan_csv_split(spark, p, "doc_id bigint, lang string, source string, text string")
+    return d.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
+
+
 @register("detect_encoding", """SELECT DISTINCT CASE WHEN lang IN ('de', 'fr') THEN 'latin1' ELSE 'utf8' END AS folder,
   CASE WHEN lang IN ('de', 'fr') THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding FROM documents""")
 def q_detect(spark, sf_dir):

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators rely on. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -70,3 +71,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def rooted_files(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(path) of every file below ``folder`` on Spark's file system, listed by
+    Spark and named as ``folder`` was given; None when there is no such folder
+    or no file in it. Contents are not read."""
+    folder = folder.rstrip("/")
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root) or fs.getContentSummary(root).getFileCount() == 0:
+        return None
+    full = fs.makeQualified(root).toString()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select(F.concat(F.lit(folder), F.substr("path", F.lit(len(full) + 1))).alias("path"))

@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -55,7 +55,7 @@ def scan_csv(spark: SparkSession, paths, schema: str | None = None, header: bool
              null_tokens: bool = True, multiline: bool = True) -> DataFrame:
     """A2/A3: CSV with per-file encoding. ``multiline`` allows quoted line
     breaks, and then a file is read by one task; without it UTF-8 files are
-    split over tasks. Only the per-file encoding list (one row per file)
+    split over tasks (:func:`scan_csv_split` does both). Only the per-file encoding list (one row per file)
     reaches the driver."""
     enc = detect_encoding(spark, paths).select(
         "encoding", F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))).alias("file_path")).collect()
@@ -79,6 +79,63 @@ def scan_csv(spark: SparkSession, paths, schema: str | None = None, header: bool
     return out
 
 
+def scan_csv_split(spark: SparkSession, paths, schema: str, header: bool = True, null_tokens: bool = True,
+                   encoding: str = "UTF-8") -> DataFrame:
+    """A2 for large files with quoted line breaks: one file is read by many
+    tasks. Files follow RFC 4180 (a quote stands only around a field or doubled
+    inside one; lines end in LF or CRLF) in UTF-8 or a one-byte ``encoding``.
+
+    A physical line starts a record when the quotes before it in its file are
+    even in number. Splits are counted first (one row a split), which gives
+    every split its number of quotes before; inside a split a running sum does
+    the rest. Records of one line are parsed where they stand; lines of longer
+    records are grouped by (file, first line), also across splits. Fields that do
+    not fit ``schema`` are null, like in the plain reader. A file whose quotes
+    are odd in number ends inside a field: its last record runs to the end."""
+    raw = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_at"))
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        raw = raw.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+    lines = raw.withColumn("_q", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    where = ["_file", "_split"]
+    # text files are cut by the same sizes in every job, so splits agree
+    totals = lines.groupBy(*where).agg(F.sum("_q").alias("_t"), F.min_by(F.endswith("value", F.lit("\r")), "_at").alias("_r"))
+    earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    # the first line's end is the file's; CRLF becomes LF inside fields too
+    crlf = F.first("_r").over(Window.partitionBy("_file").orderBy("_split"))
+    carry = totals.select(*where, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_c"), crlf.alias("_r"))
+    inside = Window.partitionBy(*where).orderBy("_at")
+    before = F.coalesce(F.sum("_q").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = lines.withColumn("_b", before).join(carry, where).withColumn("_b", F.col("_b") + F.col("_c")).drop("_c")
+    lines = lines.withColumn("value", F.when(F.col("_r"), F.regexp_replace("value", r"\r\z", "")).otherwise(F.col("value")))
+    starts, whole = F.col("_b") % 2 == 0, F.col("_q") % 2 == 0
+    first_line = (F.col("_split") == 0) & (F.row_number().over(inside) == 1)
+    lines = lines.withColumn("_first", first_line)
+    single = lines.where(starts & whole).select("value", "_first")
+    # an odd line opens or closes a long record: the quotes before it tell which,
+    # and the records opened so far in the file number them
+    long = lines.where(~(starts & whole))
+    opened = F.when(starts, 1).otherwise(0)
+    sums = long.groupBy(*where).agg(F.sum(opened).alias("_t"))
+    base = sums.select(*where, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_c"))
+    number = F.sum(opened).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    long = long.withColumn("_n", number).join(base, where).withColumn("_n", F.col("_n") + F.col("_c"))
+    joined = long.groupBy("_file", "_n").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_split", "_at", "value"))),
+                                 lambda x: x["value"]), "\n").alias("value"),
+        F.bool_or("_first").alias("_first")).select("value", "_first")
+    records = single.unionByName(joined)
+    if header:
+        records = records.where(~F.col("_first"))
+    records = records.where(F.col("value") != "")
+    out = records.select(F.from_csv("value", F.lit(schema), {"escape": '"', "multiLine": "true"}).alias("_r")).select("_r.*")
+    if null_tokens:
+        from ..operators.cleaning import normalize_nulls
+        out = normalize_nulls(out)
+    return out
+
+
 def one_value_a_line(spark: SparkSession, path: str) -> bool:
     """Whether the JSON under ``path`` is one value a line, judged by its first
     line that is not blank: whole there, or the start of a longer value. Only
