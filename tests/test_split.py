@@ -1,24 +1,106 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from textlathe.operators import split as SP
 
 
+def _draw(counts, share):
+    """Plain stratified draw: (train, test) of each class, in label order."""
+    n = sum(counts)
+    n_test = math.ceil(share * n)
+    shares = [c / n * (n - n_test) for c in counts]
+    take = [math.floor(x) for x in shares]
+    order = sorted(range(len(counts)), key=lambda i: (-(shares[i] - take[i]), i))
+    for i in order[:n - n_test - sum(take)]:
+        take[i] += 1
+    return take, [c - t for c, t in zip(counts, take)]
+
+
+def _train_first(counts, p=SP.SplitParams()):
+    labels = sorted(counts)
+    train, rest = _draw([counts[k] for k in labels], p.test_size + p.val_size)
+    return dict(zip(labels, zip(train, *_draw(rest, p.val_size / (p.test_size + p.val_size)))))
+
+
+def _sizes(split_df, label="sentiment"):
+    out = {}
+    for r in split_df.groupBy(label).pivot("split", ["train", "test", "val"]).count().na.fill(0).collect():
+        out[r[label]] = (r["train"], r["test"], r["val"])
+    return out
+
+
+def _labelled(spark, counts):
+    labels = [k for k, n in counts.items() for _ in range(n)]
+    kind = "string" if isinstance(labels[0], str) else "int"
+    return spark.createDataFrame(list(enumerate(labels)), f"doc_id long, sentiment {kind}")
+
+
 @pytest.mark.parametrize("n,temp", [(10, 4), (20, 7), (100, 31), (1000, 301)])
-def test_first_draw_sizes_follow_float_arithmetic(n, temp):
-    q = SP.quotas_train_first({0: n // 2, 1: n - n // 2}, SP.SplitParams())
+def test_first_draw_sizes_follow_float_arithmetic(spark, n, temp):
+    q = _sizes(SP.stratified_split(_labelled(spark, {0: n // 2, 1: n - n // 2})))
     assert sum(a for a, _, _ in q.values()) == n - temp
     assert sum(b + c for _, b, c in q.values()) == temp
 
 
-def test_approximate_mode_largest_remainder():
-    assert SP.approximate_mode([5, 3, 2], 7) == [4, 2, 1]
-    assert sum(SP.approximate_mode([7, 7, 7], 10)) == 10
-
-
-def test_one_member_class_raises():
-    with pytest.raises(ValueError):
-        SP.quotas_train_first({0: 1, 1: 50}, SP.SplitParams())
+def test_largest_remainder_ties_go_to_smaller_labels(spark):
+    def take(counts, draws):
+        d = spark.createDataFrame(list(enumerate(counts)), "k int, _n long")
+        floors = sum(math.floor(c / sum(counts) * draws) for c in counts)
+        got = SP.largest_remainder(d, "k", sum(counts), draws, floors)
+        return [r["_take"] for r in got.orderBy("k").collect()]
+    assert take([5, 3, 2], 7) == [4, 2, 1]
+    assert take([7, 7, 7], 10) == [4, 3, 3]
+    assert take([4, 4], 4) == [2, 2]
+
+
+@pytest.mark.parametrize("counts,words", [({0: 1, 1: 50}, "only 1 member"), ({i: 2 for i in range(30)}, "test_size")])
+def test_classes_too_small_to_split_raise(spark, counts, words):
+    with pytest.raises(ValueError, match=words):
+        SP.stratified_split(_labelled(spark, counts))
+
+
+def test_null_labels_and_empty_tables_raise(spark):
+    df = spark.createDataFrame([(1, 0), (2, None)], "doc_id long, sentiment int")
+    for call in (SP.stratified_split, SP.stratified_folds):
+        with pytest.raises(ValueError, match="null labels"):
+            call(df)
+    with pytest.raises(ValueError, match="empty"):
+        SP.stratified_split(df.where("false"))
+
+
+def test_many_classes_need_no_list_of_them(spark, monkeypatch):
+    # a hot class and many equal ones (ties)
+    counts = {f"c{i:04d}": 7 + i % 3 for i in range(500)} | {"hot": 2000}
+    df = _labelled(spark, counts)
+    want = _train_first(counts)
+    assert _sizes(SP.stratified_split(df)) == want
+    test, val = SP.SplitParams().test_size, SP.SplitParams().val_size
+    labels = sorted(counts)
+    rest, te = _draw([counts[k] for k in labels], test)
+    tr, va = _draw(rest, val / (1 - test))
+    d = df.withColumn("text", F.lit("x"))
+    assert _sizes(SP.split_test_first(d)) == dict(zip(labels, zip(tr, te, va)))
+    folds = SP.stratified_folds(df, 5)
+    plain = {k: [0] * 5 for k in labels}
+    at = 0
+    for k in labels:
+        for i in range(at, at + counts[k]):
+            plain[k][i % 5] += 1
+        at += counts[k]
+    got = {k: [0] * 5 for k in labels}
+    for r in folds.groupBy("sentiment", "fold").count().collect():
+        got[r.sentiment][r.fold] = r["count"]
+    assert got == plain
+    # the same without any broadcast
+    from textlathe.operators import joins
+    monkeypatch.setattr(SP, "bounded_broadcast", lambda d, n: joins.bounded_broadcast(d, n, 10))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _sizes(SP.stratified_split(df)) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def _frame(spark, n=300):
@@ -29,7 +111,7 @@ def _frame(spark, n=300):
 def test_split_exact_disjoint_and_stable(spark):
     df = _frame(spark)
     counts = {r[0]: r[1] for r in df.groupBy("sentiment").count().collect()}
-    q = SP.quotas_train_first(counts, SP.SplitParams())
+    q = _train_first(counts)
     a = SP.stratified_split(df)
     got = {(r.sentiment, r.split): r["count"] for r in a.groupBy("sentiment", "split").count().collect()}
     for k, (tr, te, va) in q.items():
@@ -46,7 +128,7 @@ def test_split_exact_disjoint_and_stable(spark):
 def test_split_matches_plain_rank(spark):
     df = _frame(spark)
     counts = {r[0]: r[1] for r in df.groupBy("sentiment").count().collect()}
-    q = SP.quotas_train_first(counts, SP.SplitParams())
+    q = _train_first(counts)
     rows = sorted(df.collect(), key=lambda r: (r.sentiment,))
     import hashlib
     exp = {}

@@ -10,11 +10,12 @@ vs. rest with share ``test + val``, then test vs. val of the rest with share
 Membership: inside a class, rows are ordered by ``md5("<seed>:<id>")`` then
 id, so any partitioning and any engine give the same rows.
 
-Scale: only class counts reach the driver (one row per class, bounded). The
-order key's first hex digits form buckets; a small (class, bucket) count table
-gives, per class, the bucket holding each cut. Rows in other buckets are
-assigned by comparison alone (no shuffle); only rows of the (at most two per
-class) cut buckets are ranked with a window, whose partitions are a bucket
+Scale: any number of classes. Class counts and quotas are tables; the driver
+sees their totals only, and the largest remainders are ranked by a
+range-partitioned index. The order key's first hex digits form buckets; a small
+(class, bucket) count table gives, per class, the bucket holding each cut. Rows
+in other buckets are assigned by comparison alone; only rows of the (at most two
+per class) cut buckets are ranked with a window, whose partitions are a bucket
 each, so a class holding most rows does not land on one task.
 """
 
@@ -29,9 +30,8 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..session import ensure_checkpoint_dir
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, global_index, segmented_running
 
-MAX_CLASSES = 1_000_000
 BUCKET_HEX = 4  # 65,536 buckets per class
 
 
@@ -50,21 +50,6 @@ class SplitParams:
                    d.get("val_size", base.val_size), d.get("random_state", base.random_state))
 
 
-def approximate_mode(counts: list[int], n_draws: int) -> list[int]:
-    """Per-class draws proportional to ``counts`` summing to ``n_draws``:
-    floors first, then +1 by largest remainder (ties: earlier class)."""
-    total = sum(counts)
-    cont = [c / total * n_draws for c in counts]
-    floored = [math.floor(x) for x in cont]
-    need = int(n_draws - sum(floored))
-    if need > 0:
-        rem = [x - f for x, f in zip(cont, floored)]
-        order = sorted(range(len(counts)), key=lambda i: (-rem[i], i))
-        for i in order[:need]:
-            floored[i] += 1
-    return floored
-
-
 def _shuffle_sizes(n: int, test_share: float) -> tuple[int, int]:
     n_test = math.ceil(test_share * n)
     n_train = n - n_test
@@ -73,64 +58,62 @@ def _shuffle_sizes(n: int, test_share: float) -> tuple[int, int]:
     return n_train, n_test
 
 
-def _stratified_draw(counts: list[int], test_share: float) -> tuple[list[int], list[int]]:
-    """One stratified draw: (train per class, test per class)."""
-    n = sum(counts)
-    n_train, n_test = _shuffle_sizes(n, test_share)
-    if min(counts) < 2:
-        raise ValueError("The least populated class in y has only 1 member, which is too few. "
-                         "The minimum number of groups for any class cannot be less than 2.")
-    if n_train < len(counts):
-        raise ValueError(f"The train_size = {n_train} should be greater or equal to the number of classes = {len(counts)}")
-    if n_test < len(counts):
-        raise ValueError(f"The test_size = {n_test} should be greater or equal to the number of classes = {len(counts)}")
-    tr = approximate_mode(counts, n_train)
-    rest = [c - t for c, t in zip(counts, tr)]
-    return tr, rest
+def largest_remainder(classes: DataFrame, label_col: str, total: int, n_draws: int, floors: int) -> DataFrame:
+    """``classes`` (label, ``_n``) with ``_take``: draws proportional to ``_n``
+    that sum to ``n_draws``. ``total`` and ``floors`` are the sums of ``_n`` and of
+    :func:`_floor_share`; what the floors leave goes to the largest remainders
+    (ties: smaller label)."""
+    floor = _floor_share(total, n_draws)
+    if n_draws <= floors:
+        return classes.withColumn("_take", floor)
+    left = classes.withColumn("_left", _share(total, n_draws) - floor)
+    ranked = global_index(left, [F.col("_left").desc(), F.col(label_col).asc()], "_rank")
+    return ranked.withColumn("_take", floor + F.when(F.col("_rank") < n_draws - floors, 1).otherwise(0)).drop("_left", "_rank")
 
 
-def _plain_draw(n: int, test_share: float) -> tuple[int, int]:
-    return _shuffle_sizes(n, test_share)
+def _share(total: int, n_draws: int):
+    return F.col("_n").cast("double") / F.lit(float(total)) * F.lit(float(n_draws))
 
 
-def quotas_train_first(class_counts: dict, p: SplitParams, stratify: bool = True) -> dict:
-    """label -> (n_train, n_test, n_val) for the train-first two-step split."""
-    labels = sorted(class_counts)
-    counts = [int(class_counts[k]) for k in labels]
-    first = p.test_size + p.val_size
-    second = p.val_size / (p.test_size + p.val_size)
-    if stratify:
-        tr, rest = _stratified_draw(counts, first)
-        te, va = _stratified_draw(rest, second)
-        return {k: (a, b, c) for k, a, b, c in zip(labels, tr, te, va)}
-    (n,) = counts
-    n_tr, n_rest = _plain_draw(n, first)
-    n_te, n_va = _plain_draw(n_rest, second)
-    return {labels[0]: (n_tr, n_te, n_va)}
+def _floor_share(total: int, n_draws: int):
+    return F.floor(_share(total, n_draws))
+
+
+def stratified_draw(classes: DataFrame, label_col: str, n: int, n_classes: int, test_share: float) -> DataFrame:
+    """One stratified draw from ``n`` rows of ``n_classes`` classes: ``classes``
+    (label, ``_n``) with ``_take``, the train rows of each."""
+    n_train, n_test = _shuffle_sizes(n, test_share)
+    floors, least = classes.agg(F.sum(_floor_share(n, n_train)), F.min("_n")).first()
+    if least < 2:
+        raise ValueError("The least populated class in y has only 1 member, which is too few. "
+                         "The minimum number of groups for any class cannot be less than 2.")
+    if n_train < n_classes:
+        raise ValueError(f"The train_size = {n_train} should be greater or equal to the number of classes = {n_classes}")
+    if n_test < n_classes:
+        raise ValueError(f"The test_size = {n_test} should be greater or equal to the number of classes = {n_classes}")
+    return largest_remainder(classes, label_col, n, n_train, floors)
 
 
-def quotas_test_first(class_counts: dict, test_size: float, validation_size: float) -> dict:
-    """label -> (n_train, n_test, n_val): test drawn first, then validation
-    with share ``validation / (1 - test)`` of the rest."""
-    labels = sorted(class_counts)
-    counts = [int(class_counts[k]) for k in labels]
-    rest, te = _stratified_draw(counts, test_size)
-    tr, va = _stratified_draw(rest, validation_size / (1 - test_size))
-    return {k: (a, b, c) for k, a, b, c in zip(labels, tr, te, va)}
+def two_draws(classes: DataFrame, label_col: str, n: int, n_classes: int, first: float, second: float) -> DataFrame:
+    """(label, ``_kept``, ``_first``, ``_second``): rows of each class that the
+    first draw keeps, and how the second divides the others."""
+    a = stratified_draw(classes, label_col, n, n_classes, first)
+    rest = a.select(label_col, F.col("_take").alias("_kept"), (F.col("_n") - F.col("_take")).alias("_n"))
+    b = stratified_draw(rest, label_col, _shuffle_sizes(n, first)[1], n_classes, second)
+    return b.select(label_col, "_kept", F.col("_take").alias("_first"), (F.col("_n") - F.col("_take")).alias("_second"))
 
 
 def order_key(id_col: str, seed: int):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def _class_counts(buckets: DataFrame, label_col: str) -> dict:
-    rows = buckets.groupBy(label_col).agg(F.sum("_n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    out = {r[0]: r[1] for r in rows}
-    if None in out:
+def class_counts(buckets: DataFrame, label_col: str) -> tuple[DataFrame, int, int]:
+    """(label, ``_n``) of every class, the number of rows and of classes."""
+    classes = buckets.groupBy(label_col).agg(F.sum("_n").alias("_n"))
+    n, k, nulls = classes.agg(F.sum("_n"), F.count(F.lit(1)), F.count_if(F.col(label_col).isNull())).first()
+    if nulls:
         raise ValueError("null labels: drop them before splitting")
-    return out
+    return classes, n or 0, k
 
 
 def bucket_counts(df: DataFrame, label_col: str, id_col: str, seed: int) -> DataFrame:
@@ -141,21 +124,18 @@ def bucket_counts(df: DataFrame, label_col: str, id_col: str, seed: int) -> Data
     return df.groupBy(label_col, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
 
 
-def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quotas: dict, buckets: DataFrame,
-                    names=("train", "test", "val"), out: str = "split") -> DataFrame:
+def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quotas: DataFrame, n_classes: int,
+                    buckets: DataFrame, names=("train", "test", "val"), out: str = "split") -> DataFrame:
     """Give each row ``names[j]`` by its rank inside its class in hash order:
-    ranks 1..q0 -> names[0], next q1 -> names[1], rest -> names[2]. ``buckets``:
-    :func:`bucket_counts` of ``df``."""
-    spark = df.sparkSession
+    ranks up to ``_c1`` -> names[0], up to ``_c2`` -> names[1], rest -> names[2].
+    ``quotas``: (label, ``_c1``, ``_c2``), one row for each of ``n_classes``
+    classes; ``buckets``: :func:`bucket_counts` of ``df``."""
     keyed = (df.withColumn("_h", order_key(id_col, seed))
                .withColumn("_b", F.substring("_h", 1, BUCKET_HEX)))
     bc = buckets
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bc = bc.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    ltype = df.schema[label_col].dataType.simpleString()
-    q = spark.createDataFrame([(k, int(a), int(a) + int(b)) for k, (a, b, _) in quotas.items()],
-                              f"{label_col} {ltype}, _c1 long, _c2 long")
-    bc = bc.join(bounded_broadcast(q, len(quotas)), label_col)  # one row per class
+    bc = bc.join(bounded_broadcast(quotas, n_classes), label_col)  # one row per class
     # Per class: B1 = first bucket holding a rank > c1, B2 = first bucket
     # holding a rank > c2. Buckets before B1 are all names[0]; between B1 and
     # B2 all names[1]; after B2 all names[2]; B1 and B2 themselves are ranked.
@@ -168,8 +148,8 @@ def assign_by_quota(df: DataFrame, label_col: str, id_col: str, seed: int, quota
     cuts = cuts.select(label_col, "_c1", "_c2",
                        F.col("_k1._b").alias("_b1"), F.col("_k1._start").alias("_s1"),
                        F.col("_k2._b").alias("_b2"), F.col("_k2._start").alias("_s2"))
-    # one row per class (bounded by the class count checked on the driver)
-    j = keyed.join(bounded_broadcast(cuts, len(quotas)), label_col)
+    # one row per class; many classes are joined by key
+    j = keyed.join(bounded_broadcast(cuts, n_classes), label_col)
     b, b1, b2 = F.col("_b"), F.col("_b1"), F.col("_b2")
     in1 = b1.isNotNull() & (b == b1)
     in2 = b2.isNotNull() & (b == b2)
@@ -195,17 +175,23 @@ def stratified_split(df: DataFrame, label_col: str | None = "sentiment", id_col:
     ``df`` is read twice, for its bucket counts and for the assignment; an
     expensive plan should be written before. Nothing is kept in memory."""
     seed = params.random_state
+    first, second = params.test_size + params.val_size, params.val_size / (params.test_size + params.val_size)
     if stratify:
         buckets = bucket_counts(df, label_col, id_col, seed)
-        quotas = quotas_train_first(_class_counts(buckets, label_col), params, True)
-        return assign_by_quota(df, label_col, id_col, seed, quotas, buckets)
+        classes, n, k = class_counts(buckets, label_col)
+        quotas = two_draws(classes, label_col, n, k, first, second).select(
+            label_col, F.col("_kept").alias("_c1"), (F.col("_kept") + F.col("_first")).alias("_c2"))
+        return assign_by_quota(df, label_col, id_col, seed, quotas, k, buckets)
     # one class for all rows (an md5 has 32 digits); not a literal, so that the
     # cut table is joined by key like any other
     one = F.coalesce(F.length(order_key(id_col, seed)) - 32, F.lit(0))
     tmp = df.withColumn("_all", one)
     buckets = bucket_counts(tmp, "_all", id_col, seed)
-    quotas = quotas_train_first({0: buckets.agg(F.sum("_n")).first()[0] or 0}, params, False)
-    return assign_by_quota(tmp, "_all", id_col, seed, quotas, buckets).drop("_all")
+    _, n, _ = class_counts(buckets, "_all")
+    n_train, n_rest = _shuffle_sizes(n, first)
+    n_test, _ = _shuffle_sizes(n_rest, second)
+    quotas = df.sparkSession.createDataFrame([(0, n_train, n_train + n_test)], "_all int, _c1 long, _c2 long")
+    return assign_by_quota(tmp, "_all", id_col, seed, quotas, 1, buckets).drop("_all")
 
 
 def reproduce_split(df: DataFrame, split_params: str | dict, label_col: str = "sentiment",
@@ -226,11 +212,14 @@ def split_test_first(df: DataFrame, label_col: str = "sentiment", id_col: str =
         text_col = "cleaned_text" if "cleaned_text" in df.columns else "text"
     d = df.select(id_col, F.col(text_col).alias("text"), label_col).na.drop(subset=["text", label_col])
     buckets = bucket_counts(d, label_col, id_col, random_state)
-    counts = _class_counts(buckets, label_col)
-    quotas = quotas_test_first(counts, test_size, validation_size)
+    classes, n, k = class_counts(buckets, label_col)
+    # the rest of the test draw first; validation has the share validation / (1 - test) of it
+    a = stratified_draw(classes, label_col, n, k, test_size)
+    rest = a.select(label_col, F.col("_take").alias("_n"), (F.col("_n") - F.col("_take")).alias("_c1"))
+    b = stratified_draw(rest, label_col, _shuffle_sizes(n, test_size)[0], k, validation_size / (1 - test_size))
     # rank order: test first, then validation, then train
-    q2 = {k: (b, c, a) for k, (a, b, c) in quotas.items()}
-    return assign_by_quota(d, label_col, id_col, random_state, q2, buckets, names=("test", "val", "train"))
+    quotas = b.select(label_col, "_c1", (F.col("_c1") + F.col("_n") - F.col("_take")).alias("_c2"))
+    return assign_by_quota(d, label_col, id_col, random_state, quotas, k, buckets, names=("test", "val", "train"))
 
 
 def split_report(split_df: DataFrame, label_col: str = "sentiment") -> DataFrame:
@@ -246,23 +235,18 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "sentiment", id
     members chosen by the hash order. Ranks come from a window over (class,
     bucket) slices plus bucket offsets: one balanced shuffle."""
     buckets = bucket_counts(df, label_col, id_col, seed)
-    counts = _class_counts(buckets, label_col)
-    if min(counts.values()) < k:
+    classes, _, n_classes = class_counts(buckets, label_col)
+    n_buckets, least = buckets.count(), classes.agg(F.min("_n")).first()[0]
+    if least is not None and least < k:
         raise ValueError(f"n_splits={k} cannot be greater than the number of members in each class.")
-    spark = df.sparkSession
-    labels = sorted(counts)
-    offs, acc = [], 0
-    for lbl in labels:
-        offs.append((lbl, acc))
-        acc += int(counts[lbl])
-    ltype = df.schema[label_col].dataType.simpleString()
-    o = spark.createDataFrame(offs, f"{label_col} {ltype}, _off long")
+    offsets = segmented_running(classes, [], [F.col(label_col).asc()], sums={"_off": F.col("_n")}, inclusive=False)
     keyed = (df.withColumn("_h", order_key(id_col, seed))
                .withColumn("_b", F.substring("_h", 1, BUCKET_HEX)))
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bc = buckets.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).join(bounded_broadcast(o, len(labels)), label_col) \
-           .select(label_col, "_b", (F.col("_start") + F.col("_off")).alias("_base"))
-    j = keyed.join(bounded_broadcast(bc, len(labels) * 16 ** BUCKET_HEX), [label_col, "_b"])
+    bc = (buckets.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+                 .join(bounded_broadcast(offsets.select(label_col, "_off"), n_classes), label_col)
+                 .select(label_col, "_b", (F.col("_start") + F.col("_off")).alias("_base")))
+    j = keyed.join(bounded_broadcast(bc, n_buckets), [label_col, "_b"])
     pos = F.col("_base") + F.row_number().over(Window.partitionBy(label_col, "_b").orderBy("_h", id_col)) - 1
     return j.withColumn(out, F.pmod(pos, F.lit(k)).cast("int")).drop("_h", "_b", "_base")
 
