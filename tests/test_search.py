@@ -107,6 +107,48 @@ def test_naive_bayes_without_prior_is_the_relational_one(spark):
         got = TR.predictions("naive_bayes", {"fit_prior": prior}, model, data)
         found[prior] = {r.doc_id: r.prediction for r in got.collect()}
         classes, lik = TR.naive_bayes_fit(long, data.select("doc_id", "label"), fit_prior=prior, n_features=6)
-        want = TR.naive_bayes_predict(long, data.select("doc_id"), classes, lik, n_features=6)
+        want = TR.naive_bayes_predict(long, data.select("doc_id"), classes, lik)
         assert found[prior] == {r.doc_id: r.prediction for r in want.collect()}
     assert found[True] != found[False]
+
+
+def test_naive_bayes_with_many_classes_is_the_plain_argmax(spark):
+    import math
+    import random
+    import pytest
+    from textlathe.operators import training as TR
+    rng = random.Random(7)
+    # sizes repeat (equal priors), one class has no feature, some documents share no term with any class
+    train = {i: f"c{i % 150:03d}" if i % 3 else "hot" for i in range(900)}
+    x = {i: {rng.randrange(40): rng.choice((0.25, 0.5, 1.0)) for _ in range(rng.randrange(4))}
+         for i in range(900) if train[i] != "c001"}
+    x.update({1000 + i: {rng.randrange(45): 1.0 for _ in range(i % 4)} for i in range(120)})
+    x[2000] = {}
+    rows = [(i, k, v) for i, t in x.items() for k, v in t.items()]
+    feats = spark.createDataFrame(rows, "doc_id long, sel_idx int, value double")
+    lab = spark.createDataFrame(list(train.items()), "doc_id long, label string")
+    test = [i for i in x if i >= 1000]
+    docs = spark.createDataFrame([(i,) for i in test], "doc_id long")
+    for prior in (True, False):
+        classes, lik = TR.naive_bayes_fit(feats, lab, fit_prior=prior, n_features=45)
+        got = {r.doc_id: r.prediction for r in TR.naive_bayes_predict(
+            feats.where("doc_id >= 1000"), docs, classes, lik).collect()}
+        fc, n = {}, {}
+        for i, c in train.items():
+            n[c] = n.get(c, 0) + 1
+            for k, v in x.get(i, {}).items():
+                fc[c, k] = fc.get((c, k), 0.0) + v
+        total = {c: sum(v for (d, _), v in fc.items() if d == c) + 45 for c in n}
+
+        def score(c, t):
+            p = math.log(n[c] / len(train)) if prior else -math.log(len(n))
+            return p + sum(v * math.log((fc.get((c, k), 0.0) + 1.0) / total[c]) for k, v in t.items())
+        assert set(got) == set(test)
+        for i in test:
+            best = max(score(c, x[i]) for c in n)
+            near = sorted(c for c in n if score(c, x[i]) > best - 1e-9)
+            assert got[i] in near and (x[i] or got[i] == near[0]), (i, got[i], near)
+    with pytest.raises(ValueError, match="alpha"):
+        TR.naive_bayes_fit(feats, lab, alpha=0.0)
+    with pytest.raises(ValueError, match="null labels"):
+        TR.naive_bayes_fit(feats, lab.unionByName(spark.createDataFrame([(5, None)], lab.schema)))

@@ -236,13 +236,13 @@ def tfidf_weights(dt: DataFrame, vocab: DataFrame, id_col: str, keep: list[str],
 # Scores
 # ---------------------------------------------------------------------------
 
-def chi2_scores(weights: DataFrame, label_col: str, class_counts: dict, n_docs: int) -> DataFrame:
-    """(term_idx, score). observed = sum of values per class, expected = class
+def chi2_scores(weights: DataFrame, label_col: str, classes: DataFrame, n_classes: int, n_docs: int) -> DataFrame:
+    """(term_idx, score); ``classes``: (label, ``n_y``), documents of each class. observed = sum of values per class, expected = class
     share x term total. Classes where the term never occurs contribute their
     expected value, summed without a terms x classes grid."""
-    priors = class_priors(weights.sparkSession, label_col, class_counts, n_docs)
+    priors = classes.select(label_col, (F.col("n_y") / F.lit(n_docs)).alias("p"))
     obs = (weights.groupBy("term_idx", label_col).agg(F.sum("value").alias("o"))
-                  .join(bounded_broadcast(priors, len(class_counts)), label_col))
+                  .join(bounded_broadcast(priors, n_classes), label_col))
     tot = Window.partitionBy("term_idx")
     obs = obs.withColumn("F", F.sum("o").over(tot))
     obs = obs.withColumn("e", F.col("p") * F.col("F"))
@@ -251,26 +251,10 @@ def chi2_scores(weights: DataFrame, label_col: str, class_counts: dict, n_docs:
                      + F.first("F") * (F.lit(1.0) - F.sum("p"))).alias("score")))
 
 
-def class_priors(spark: SparkSession, label_col: str, class_counts: dict, n_docs: int) -> DataFrame:
-    rows = [(k, float(v) / n_docs, int(v)) for k, v in class_counts.items()]
-    return spark.createDataFrame(rows, schema=f"{label_col} {_label_type(class_counts)}, p double, n_y long")
-
-
-def _label_type(class_counts: dict) -> str:
-    ks = [k for k in class_counts if k is not None]
-    if ks and all(isinstance(k, bool) for k in ks):
-        return "boolean"
-    if ks and all(isinstance(k, int) for k in ks):
-        return "bigint"
-    if ks and all(isinstance(k, (int, float)) for k in ks):
-        return "double"
-    return "string"
-
-
 MI_CLASSES = 64  # classes counted side by side, one column each
 
 
-def mutual_info_scores(weights: DataFrame, label_col: str, class_counts: dict, n_docs: int,
+def mutual_info_scores(weights: DataFrame, label_col: str, classes: DataFrame, n_classes: int, n_docs: int,
                        vocab: DataFrame) -> DataFrame:
     """(term_idx, score): mutual information (nats) between each term's value
     (as a discrete category; values rounded to 9 decimals) and the label,
@@ -287,15 +271,13 @@ def mutual_info_scores(weights: DataFrame, label_col: str, class_counts: dict, n
     def h(n):
         return F.when(n > 0, n * F.log(n.cast("double"))).otherwise(F.lit(0.0))
 
-    classes = list(class_counts)
-    width = min(len(classes), MI_CLASSES)
-    at = weights.sparkSession.createDataFrame(
-        [(c, i // MI_CLASSES, i % MI_CLASSES) for i, c in enumerate(classes)],
-        f"{label_col} {_label_type(class_counts)}, _block int, _slot int")
+    width = min(n_classes, MI_CLASSES)
+    at = global_index(classes, [F.col(label_col)], "_i").select(
+        label_col, F.floor(F.col("_i") / MI_CLASSES).alias("_block"), (F.col("_i") % MI_CLASSES).alias("_slot"), "n_y")
     w = weights.select("term_idx", F.round("value", 9).alias("v"), label_col).join(
-        bounded_broadcast(at, len(classes)), label_col)
+        bounded_broadcast(at.drop("n_y"), n_classes), label_col)
     slots = [F.count_if(F.col("_slot") == i).alias(f"_n{i}") for i in range(width)]
-    many = len(classes) > MI_CLASSES
+    many = n_classes > MI_CLASSES
     cells = w.groupBy("term_idx", "v", *(["_block"] if many else [])).agg(*slots)
     counts = [F.col(f"_n{i}") for i in range(width)]
     cells = cells.withColumn("_nv", sum(counts[1:], counts[0])).withColumn("_h", sum((h(c) for c in counts[1:]), h(counts[0])))
@@ -308,16 +290,16 @@ def mutual_info_scores(weights: DataFrame, label_col: str, class_counts: dict, n
     per_term = cells.groupBy("term_idx").agg(
         F.sum(F.col("_h") - h(F.col("_nv"))).alias("_s"), F.sum("_nv").alias("_nz"),
         *([] if many else totals))
-    h_classes = sum(n * math.log(n) for n in class_counts.values())
+    h_classes = classes.agg(F.sum(h(F.col("n_y")))).first()[0]
     if many:
         # the zero cell of a class without the term is the class itself
-        own = bounded_broadcast(weights.sparkSession.createDataFrame(
-            [(c, int(n)) for c, n in class_counts.items()], f"{label_col} {_label_type(class_counts)}, _ny long"), len(classes))
+        own = bounded_broadcast(classes.select(label_col, F.col("n_y").alias("_ny")), n_classes)
         zero = present.join(own, label_col).groupBy("term_idx").agg(
             F.sum(h(F.col("_ny") - F.col("_nz")) - h(F.col("_ny"))).alias("_z"))
         per_term = per_term.join(zero, "term_idx").withColumn("_z", F.col("_z") + F.lit(h_classes))
     else:
-        zeros = [h(F.lit(int(class_counts[c])) - F.col(f"_z{i}")) for i, c in enumerate(classes)]
+        sizes = {r["_slot"]: r["n_y"] for r in at.collect()}  # at most MI_CLASSES
+        zeros = [h(F.lit(sizes[i]) - F.col(f"_z{i}")) for i in range(width)]
         per_term = per_term.withColumn("_z", sum(zeros[1:], zeros[0]))
     score = (F.col("_s") + F.col("_z") - h(F.lit(int(n_docs)) - F.col("_nz")) - F.lit(h_classes)
              + F.lit(N * math.log(N))) / N
@@ -404,9 +386,9 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     ``terms``, its stored :func:`doc_terms` with id and label. A null label is
     an error: its documents would count for idf but not for the scores.
 
-    Driver-side values: class counts (one row per class, bounded by the number
-    of classes) and the vocabulary size. The model table is checkpointed to
-    the shared checkpoint folder, so transforms read a small stored table.
+    The driver sees the numbers of documents, classes and terms; class sizes stay
+    a table. The model table is checkpointed to the shared checkpoint folder, so
+    transforms read a small stored table.
     """
     from pyspark import StorageLevel
     from ..session import ensure_checkpoint_dir
@@ -418,15 +400,14 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
     # recomputed from lineage).
     dt = terms if terms is not None else doc_terms(df, text_col, cfg, keep).persist(StorageLevel.MEMORY_AND_DISK)
     if label_col:
-        cc_rows = dt.groupBy(label_col).count().limit(1_000_001).collect()
-        if len(cc_rows) > 1_000_000:
-            raise ValueError("more than 1,000,000 classes")
-        class_counts = {r[0]: r[1] for r in cc_rows}
-        if None in class_counts:
+        classes = dt.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_y"))
+        classes = classes.checkpoint() if checkpoint else classes.persist()
+        n_docs, n_classes, nulls = classes.agg(F.sum("n_y"), F.count(F.lit(1)), F.count_if(F.col(label_col).isNull())).first()
+        if nulls:
             raise ValueError(f"{label_col} holds nulls in the training input")
-        n_docs = int(sum(class_counts.values()))
+        n_docs = n_docs or 0
     else:
-        class_counts, n_docs = {}, dt.count()
+        classes, n_classes, n_docs = None, 0, dt.count()
     if n_docs == 0:
         dt.unpersist()
         raise ValueError("empty training input")
@@ -447,9 +428,9 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
         weights = tfidf_weights(dt, vocab, id_col, keep, n_terms).persist(StorageLevel.MEMORY_AND_DISK)
         cached = [weights]
         if method == "chi2":
-            sc = chi2_scores(weights, label_col, class_counts, n_docs)
+            sc = chi2_scores(weights, label_col, classes, n_classes, n_docs)
         elif method == "mutual_info":
-            sc = mutual_info_scores(weights, label_col, class_counts, n_docs, vocab)
+            sc = mutual_info_scores(weights, label_col, classes, n_classes, n_docs, vocab)
         else:
             raise ValueError(f"Unknown selection method: {method}")
         scored = vocab.join(sc, "term_idx", "left")
@@ -473,10 +454,9 @@ def fit(df: DataFrame, text_col: str = "cleaned_text", label_col: str | None = "
         table.count()
     if terms is None:
         dt.unpersist()
-    for c in cached:
+    for c in cached + ([classes] if classes is not None and not checkpoint else []):
         c.unpersist()
-    return FeatureModel(table, cfg, n_docs, int(n_terms), int(n_selected), text_col,
-                        {"class_counts": class_counts})
+    return FeatureModel(table, cfg, n_docs, int(n_terms), int(n_selected), text_col)
 
 
 def transform(model: FeatureModel, df: DataFrame, id_col: str, keep: list[str] | None = None,
@@ -508,18 +488,28 @@ def fit_transform(df: DataFrame, text_col: str = "cleaned_text", label_col: str
     return m.transform(df, id_col, [id_col] + ([label_col] if label_col else [])), m
 
 
-def feature_vectors(model: FeatureModel, df: DataFrame, id_col: str,
-                    text_col: str | None = None, max_terms: int = 2_000_000) -> DataFrame:
+def feature_vectors(model: FeatureModel, df: DataFrame, id_col: str, text_col: str | None = None) -> DataFrame:
     """(id, features: SparseVector) for every row of ``df``, as Spark ML would
-    consume them: ``CountVectorizerModel`` on the n-grams, idf scaling, L2
-    norm over the whole vocabulary, then ``VectorSlicer`` to the selected
-    terms. All JVM-side and row-wise (no shuffle). The vocabulary (bounded by
-    ``max_features``, checked here) is held by the transformer.
-    """
-    if model.n_terms > max_terms:
-        raise ValueError(f"vocabulary of {model.n_terms} terms is above {max_terms}")
-    rows = model.table.select("term_idx", "term", "idf", "selected").orderBy("term_idx").collect()
+    consume them: TF-IDF with L2 norm over the whole vocabulary, cut to the
+    selected terms.
+
+    While the vocabulary is held by every worker (:func:`held_vocabulary`) this
+    is ``CountVectorizerModel``, idf scaling, ``Normalizer`` and
+    ``VectorSlicer``, row-wise in the JVM. A larger one stays a table: the long
+    features of :func:`transform` are gathered again, one document a group, and
+    ids must be unique."""
     text_col = text_col or model.text_col
-    g = grams(df.select(id_col, text_col), text_col, model.config)
-    x = weight_vectors(g, "grams", rows, [r["term_idx"] for r in rows if r["selected"]])
-    return x.select(id_col, "features")
+    held = held_vocabulary(model.table, model.n_terms)
+    if held is not None:
+        chosen = model.table.where("selected").select("term_idx").orderBy("term_idx").collect()
+        g = grams(df.select(id_col, text_col), text_col, model.config)
+        x = weight_vectors(g, "grams", held, [r["term_idx"] for r in chosen])
+        return x.select(id_col, "features")
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+    size = model.n_selected
+    entries = (transform(model, df.select(id_col, text_col), id_col, text_col=text_col, zeros=True)
+               .groupBy(id_col).agg(F.sort_array(F.collect_list(
+                   F.when(F.col("sel_idx").isNotNull(), F.struct("sel_idx", "value")))).alias("_e")))
+    # Spark has no column function that makes a sparse vector
+    sparse = F.udf(lambda i, v: SparseVector(size, i, v), VectorUDT())
+    return entries.select(id_col, sparse(F.col("_e.sel_idx"), F.col("_e.value")).alias("features"))

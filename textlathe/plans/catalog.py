@@ -1070,7 +1070,7 @@ def q_train_nb(spark, sf_dir):
     tr = feats.where("split = 'train'")
     classes, lik = naive_bayes_fit(tr, lab.where("split = 'train'"), n_features=model.n_selected)
     te_docs = lab.where("split = 'test'")
-    pred = naive_bayes_predict(feats.where("split = 'test'"), te_docs, classes, lik, n_features=model.n_selected)
+    pred = naive_bayes_predict(feats.where("split = 'test'"), te_docs, classes, lik)
     return te_docs.join(pred, "doc_id").select("doc_id", "label", "prediction")
 
 
