@@ -36,6 +36,34 @@ def test_quality_report_and_label_mapping(spark):
     assert sorted(map(tuple, m.collect())) == [("a", 0), ("b", 1), ("c", 2)]
     applied = labels.apply_label_mapping(spark.createDataFrame([("a",), ("z",), (None,)], "sentiment string"), m)
     assert sorted(r.sentiment for r in applied.collect()) == [0, 1, 1]
+    only = spark.createDataFrame([("z",), (None,)], "sentiment string")
+    assert [r.sentiment for r in labels.apply_label_mapping(only, m).collect()] == [0, 0]
+
+
+def test_label_report_sums_to_the_cleaning_report(spark):
+    df = spark.createDataFrame([("a b", "x"), (" ", "x"), (None, "x"), ("c", None), ("d", "y")], "text string, sentiment string")
+    per = {r.sentiment: tuple(r)[1:] for r in cleaning.label_report(df).collect()}
+    assert per == {"x": (3, 1, 1, 1), None: (1, 1, 0, 0), "y": (1, 0, 0, 1)}
+    assert tuple(cleaning.cleaning_report(df).first()) == tuple(sum(v) for v in zip(*per.values()))
+
+
+def test_prepare_reads_its_input_twice(spark, tmpdir_path):
+    from textlathe.plans.prepare import prepare
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        reads.add(1)
+        return text
+    words = ["good value", "bad price", "fine thing", "poor thing", "good price", " "]
+    rows = [(i, words[i % 6], ("neg", "pos")[i % 2] if i % 7 else None) for i in range(84)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sentiment string")
+    df = df.withColumn("text", F.udf(seen, "string").asNondeterministic()("text"))
+    out = {r.stage: r.value for r in prepare(spark, df, tmpdir_path, "d").collect()}
+    kept = sum(1 for _, t, y in rows if y and t.strip())
+    assert (out["raw_rows"], out["processed_rows"]) == (84, kept)
+    assert reads.value == 2 * 84
+    got = {r.sentiment for r in spark.read.parquet(f"{tmpdir_path}/processed").select("sentiment").collect()}
+    assert got == {0, 1}
 
 
 def test_required_columns_default_and_raise(spark):
@@ -68,3 +96,16 @@ def test_cross_validation_scores_the_positive_class(spark):
     data = spark.createDataFrame(rows, ["fold", "label", "features"])
     got = TR.cross_validate("logistic_regression", TR.grid("logistic_regression")[:2], data, num_folds=3)
     assert len(got) == 2 and all(len(x) == 3 and min(x) == 1.0 for x in got)
+
+
+def test_vectors_of_a_large_vocabulary_are_the_row_local_ones(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "good value good price", 1), (2, "bad value", 0), (3, "good", 1), (4, "worse bad", 0),
+                                  (5, "unseen", 1), (6, "", 0), (7, None, 0)], "doc_id long, cleaned_text string, sentiment int")
+    m = FX.fit(docs.where("doc_id < 5"), cfg=replace(FX.LIVE_CONFIG, chi2_k=3))
+    want = {r.doc_id: r.features for r in FX.feature_vectors(m, docs, "doc_id").collect()}
+    monkeypatch.setattr(FX, "VOCABULARY_TERMS", 0)
+    got = {r.doc_id: r.features for r in FX.feature_vectors(m, docs, "doc_id").collect()}
+    assert set(got) == set(want) == set(range(1, 8))
+    for d in want:
+        assert got[d].size == want[d].size == 3
+        assert all(abs(a - b) < 1e-12 for a, b in zip(got[d].toArray(), want[d].toArray()))

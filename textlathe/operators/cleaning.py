@@ -97,31 +97,39 @@ def apply_cleaning(df: DataFrame, text_col: str = "text", label_col: str = "sent
 # B6
 def cleaning_report(df: DataFrame, text_col: str = "text", label_col: str = "sentiment") -> DataFrame:
     """One row: rows_in, dropped_null, dropped_blank, rows_out (one pass)."""
+    return df.agg(*_report_columns(text_col, label_col))
+
+
+def label_report(df: DataFrame, text_col: str = "text", label_col: str = "sentiment") -> DataFrame:
+    """:func:`cleaning_report` of every label, null included: one pass that
+    serves the row counts, the label mapping and the labels left by cleaning."""
+    return df.groupBy(label_col).agg(*_report_columns(text_col, label_col))
+
+
+def _report_columns(text_col: str, label_col: str) -> list:
     null_key = F.col(text_col).isNull() | F.col(label_col).isNull()
     blank = ~null_key & T.is_blank(T.lowercase(text_col))
-    return df.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(null_key).alias("dropped_null"),
-        F.count_if(blank).alias("dropped_blank"),
-        F.count_if(~null_key & ~blank).alias("rows_out"))
+    return [F.count(F.lit(1)).alias("rows_in"), F.count_if(null_key).alias("dropped_null"),
+            F.count_if(blank).alias("dropped_blank"), F.count_if(~null_key & ~blank).alias("rows_out")]
 
 
 # B14 / B15 / B16
 def process_data(df: DataFrame, text_col: str = "text", label_col: str = "sentiment",
                  mapping: DataFrame | None = None, timestamp: bool = True, lexicon: DataFrame | None = None,
-                 id_col: str = "doc_id") -> DataFrame:
+                 id_col: str = "doc_id", present: DataFrame | None = None) -> DataFrame:
     """Cleaning, optional label mapping, ``cleaned_text``, metadata columns,
     and removal of rows whose cleaned text is empty. One lazy plan.
 
     ``mapping`` is a ``(label, label_idx)`` table from
     :func:`textlathe.operators.labels.label_mapping`; when given, the label
-    column is replaced by its index. ``lexicon`` is a ``(form, lemma)`` table
+    column is replaced by its index (``present``: the labels that cleaning
+    leaves, if the caller has them). ``lexicon`` is a ``(form, lemma)`` table
     that goes before the built-in lemma rules; it needs ``id_col``, unique.
     """
     from .labels import apply_label_mapping
     out = apply_cleaning(df, text_col, label_col)
     if mapping is not None:
-        out = apply_label_mapping(out, mapping, label_col)
+        out = apply_label_mapping(out, mapping, label_col, present=present)
     if lexicon is None:
         out = with_computed(out, {"cleaned_text": T.clean_text(text_col)})
     else:

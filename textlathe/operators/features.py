@@ -503,6 +503,7 @@ def feature_vectors(model: FeatureModel, df: DataFrame, id_col: str, text_col: s
     if held is not None:
         chosen = model.table.where("selected").select("term_idx").orderBy("term_idx").collect()
         g = grams(df.select(id_col, text_col), text_col, model.config)
+        g = g.withColumn("grams", F.coalesce("grams", F.array().cast("array<string>")))  # a null text has none
         x = weight_vectors(g, "grams", held, [r["term_idx"] for r in chosen])
         return x.select(id_col, "features")
     from pyspark.ml.linalg import SparseVector, VectorUDT

@@ -20,20 +20,19 @@ def label_mapping(df: DataFrame, label_col: str = "sentiment") -> DataFrame:
 
 
 def apply_label_mapping(df: DataFrame, mapping: DataFrame, label_col: str = "sentiment",
-                        mapping_rows: int | None = None) -> DataFrame:
+                        mapping_rows: int | None = None, present: DataFrame | None = None) -> DataFrame:
     """Replace the label by its index. Labels missing from the mapping (and
     nulls) get ``max(mapped index present in df) + 1`` (0 when none is
     mapped). The mapping is broadcast when the caller knows that it has at most
-    ``mapping_rows`` rows; otherwise runtime sizes decide."""
+    ``mapping_rows`` rows; otherwise runtime sizes decide.
+
+    Nothing runs here: the value for missing labels is a scalar subquery over
+    ``present``, the labels of ``df`` (``label_col``; read from ``df`` unless given)."""
     m = bounded_broadcast(mapping.select(F.col("label").alias("_lbl"), "label_idx"), mapping_rows)
-    # One small aggregate over the distinct labels decides the fill value.
-    present = df.select(label_col).distinct()
-    unmapped, mx = present.join(m, present[label_col] == m["_lbl"], "left").agg(
-        F.count_if(F.col("label_idx").isNull()), F.max("label_idx")).first()
-    fill = (-1 if mx is None else mx) + 1
+    present = (df if present is None else present).select(F.col(label_col).alias("_lbl")).distinct()
+    fill = present.join(m, "_lbl").agg(F.coalesce(F.max("label_idx"), F.lit(-1)) + 1).scalar()
     j = df.join(m, df[label_col] == m["_lbl"], "left").drop("_lbl")
-    idx = F.col("label_idx") if not unmapped else F.coalesce("label_idx", F.lit(fill))
-    return j.withColumn(label_col, idx.cast("int")).drop("label_idx")
+    return j.withColumn(label_col, F.coalesce("label_idx", fill).cast("int")).drop("label_idx")
 
 
 def label_distribution(df: DataFrame, mapping: DataFrame, label_col: str = "sentiment") -> DataFrame:
@@ -54,8 +53,3 @@ def save_label_mapping(mapping: DataFrame, path: str, mode: str = "overwrite") -
 
 def load_label_mapping(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def mapping_as_map(mapping: DataFrame) -> DataFrame:
-    """One row with ``MAP<label, label_idx>`` for export."""
-    return mapping.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "label_idx")))).alias("mapping"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, features, labels, split, tracking
 from ..operators.features import LIVE_CONFIG, FeatureConfig
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def features_for_splits(split_df: DataFrame, text_col: str = "cleaned_text", label_col: str = "sentiment",
@@ -54,12 +54,16 @@ def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
     df = cleaning.standardize_columns(df, text_column, label_column)
     if id_col not in df.columns:
         df = cleaning.with_row_id(df, id_col)
-    raw_rows = df.count()
-    mapping = None
+    # the raw input is read twice: for this report, and for cleaning
+    ensure_checkpoint_dir(spark)
+    report = cleaning.label_report(df).checkpoint()
+    raw_rows = report.agg(F.sum("rows_in")).first()[0] or 0
+    mapping = present = None
     if map_labels:
-        mapping = labels.label_mapping(cleaning.drop_null_keys(df), "sentiment").persist()
-        labels.save_label_mapping(mapping, f"{out_dir}/label_mapping")
-    processed = cleaning.process_data(df, "text", "sentiment", mapping, lexicon=lexicon, id_col=id_col)
+        labels.save_label_mapping(labels.label_mapping(report.where("rows_in > dropped_null")), f"{out_dir}/label_mapping")
+        mapping = labels.load_label_mapping(spark, f"{out_dir}/label_mapping")
+        present = report.where("rows_out > 0")
+    processed = cleaning.process_data(df, "text", "sentiment", mapping, lexicon=lexicon, id_col=id_col, present=present)
     processed.write.mode("overwrite").parquet(f"{out_dir}/processed")
     processed = spark.read.parquet(f"{out_dir}/processed")
     n_processed = processed.count()
@@ -87,8 +91,6 @@ def prepare(spark: SparkSession, df: DataFrame, out_dir: str, dataset: str,
                ("val_features", f"{out_dir}/features/split=val"),
                ("feature_params", feature_params)]
     tracking.append_artifacts(spark, log_path, dataset, [(t, v) for t, v in entries if v is not None], current)
-    if mapping is not None:
-        mapping.unpersist()
     rows = [("raw_rows", raw_rows), ("processed_rows", n_processed),
             ("train_rows", sizes.get("train", 0)), ("test_rows", sizes.get("test", 0)),
             ("val_rows", sizes.get("val", 0)), ("num_features", model.n_selected)]
