@@ -59,3 +59,28 @@ def test_chi2_fit_caches_no_weights(spark, monkeypatch):
     monkeypatch.setattr(FX, "chi2_scores", spy)
     FX.fit(small_docs(spark))
     assert seen == [False]
+
+
+def test_stream_takes_files_by_cores_and_reads_the_vocabulary_once(spark, tmpdir_path, monkeypatch):
+    import os
+    from textlathe.operators import features as FX
+    from textlathe.streaming import featurize as S
+    docs = small_docs(spark, 48).select(F.col("doc_id").cast("long"), F.concat(F.lit("The "), "cleaned_text").alias("text"), "sentiment")
+    docs.select("doc_id", "text").repartition(12).write.parquet(f"{tmpdir_path}/documents.parquet")
+    model = FX.fit(docs.withColumn("cleaned_text", T.clean_text("text")))
+    calls, parts = counted(monkeypatch, FX, "held_vocabulary"), []
+
+    def prepare(batch):
+        out = S.clean_batch(batch.coalesce(1))
+        parts.append(out.rdd.getNumPartitions())
+        return out
+    out = f"{tmpdir_path}/out"
+    run = S.featurize_batches(model, "doc_id", out, "", prepare)
+    (S.document_stream(spark, tmpdir_path).writeStream.foreachBatch(run).option("checkpointLocation", f"{tmpdir_path}/ck")
+      .trigger(availableNow=True).start().awaitTermination())
+    batches = [d for d in os.listdir(out) if d.startswith("batch_id=")]
+    assert len(batches) == -(-12 // spark.sparkContext.defaultParallelism) and len(calls) == 1
+    assert set(parts) == {spark.sparkContext.defaultParallelism}
+    want = model.transform(docs.withColumn("cleaned_text", T.clean_text("text")), "doc_id")
+    key = lambda df: sorted((r.doc_id, r.sel_idx, r.term, r.value) for r in df.collect())
+    assert key(spark.read.parquet(out)) == key(want)
