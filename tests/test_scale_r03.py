@@ -84,3 +84,20 @@ def test_stream_takes_files_by_cores_and_reads_the_vocabulary_once(spark, tmpdir
     want = model.transform(docs.withColumn("cleaned_text", T.clean_text("text")), "doc_id")
     key = lambda df: sorted((r.doc_id, r.sel_idx, r.term, r.value) for r in df.collect())
     assert key(spark.read.parquet(out)) == key(want)
+
+
+def test_fit_table_has_partitions_by_rows(spark, monkeypatch):
+    from textlathe.operators import training as TR
+    monkeypatch.setattr(TR, "ROWS_A_PARTITION", 40)
+    rows = spark.range(100).repartition(16)
+    for n in (None, 100):
+        t = TR.fit_table(rows, n=n)
+        assert t.rdd.getNumPartitions() == 3 and sorted(r.id for r in t.collect()) == list(range(100))
+
+
+def test_registered_fits_count_n_grams_once(spark, monkeypatch):
+    from textlathe.operators import features as FX
+    from textlathe.plans import catalog
+    calls = counted(monkeypatch, FX, "grams")
+    d = catalog._ml_data(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1 and d.columns == ["doc_id", "split", "label", "features", "fold"]

@@ -24,18 +24,25 @@ from ..operators.features import LIVE_CONFIG, FeatureConfig
 from ..session import ensure_checkpoint_dir, materialize
 
 
-def features_for_splits(split_df: DataFrame, text_col: str = "cleaned_text", label_col: str = "sentiment",
-                        id_col: str = "doc_id", cfg: FeatureConfig = LIVE_CONFIG):
-    """Fit on ``split == 'train'`` rows only, transform every split.
-
-    Returns (long features ``(split, id, sel_idx, term, value)``, model)."""
+def fit_on_train(split_df: DataFrame, text_col: str = "cleaned_text", label_col: str = "sentiment",
+                 id_col: str = "doc_id", cfg: FeatureConfig = LIVE_CONFIG):
+    """(stored term counts ``(id, split, label, terms)`` of every split, model
+    fitted on ``split == 'train'`` rows only)."""
     for c in (text_col, label_col, "split"):
         if c not in split_df.columns:
             raise ValueError(f"{c} column not found in split data.")
     # n-grams are counted once, for all splits; fit and transform read the stored counts
     terms = materialize(features.doc_terms(split_df, text_col, cfg, [id_col, "split", label_col]), "doc-terms")
     train = terms.where(F.col("split") == "train").select(id_col, label_col, "terms")
-    model = features.fit(split_df, text_col, label_col, id_col, cfg, terms=train)
+    return terms, features.fit(split_df, text_col, label_col, id_col, cfg, terms=train)
+
+
+def features_for_splits(split_df: DataFrame, text_col: str = "cleaned_text", label_col: str = "sentiment",
+                        id_col: str = "doc_id", cfg: FeatureConfig = LIVE_CONFIG):
+    """Fit on ``split == 'train'`` rows only, transform every split.
+
+    Returns (long features ``(split, id, sel_idx, term, value)``, model)."""
+    terms, model = fit_on_train(split_df, text_col, label_col, id_col, cfg)
     out = features.transform(model, split_df, id_col, [id_col, "split"], text_col, terms.drop(label_col))
     return out, model
 
