@@ -101,3 +101,17 @@ def test_registered_fits_count_n_grams_once(spark, monkeypatch):
     calls = counted(monkeypatch, FX, "grams")
     d = catalog._ml_data(spark, "/root/testdata/sf0.001")
     assert len(calls) == 1 and d.columns == ["doc_id", "split", "label", "features", "fold"]
+
+
+def test_folds_share_one_count_of_n_grams_and_terms(spark, monkeypatch):
+    from textlathe.operators import features as FX
+    from textlathe.operators import training as TR
+    docs = small_docs(spark)
+    grams, passes = counted(monkeypatch, FX, "grams"), counted(monkeypatch, FX, "exploded_terms")
+    TR.fold_vectors(docs, num_folds=3)
+    assert len(grams) == 1 and len(passes) == 1
+    terms = FX.doc_terms(docs, "cleaned_text", FX.LIVE_CONFIG, ["doc_id", "fold"])
+    stats = TR.fold_statistics(terms, "fold", 3)
+    for f in range(3):
+        want = FX.term_statistics(terms.where(F.col("fold") != f))
+        assert sorted(map(tuple, TR.training_statistics(stats, f).collect())) == sorted(map(tuple, want.collect()))
