@@ -115,3 +115,42 @@ def test_folds_share_one_count_of_n_grams_and_terms(spark, monkeypatch):
     for f in range(3):
         want = FX.term_statistics(terms.where(F.col("fold") != f))
         assert sorted(map(tuple, TR.training_statistics(stats, f).collect())) == sorted(map(tuple, want.collect()))
+
+
+def fold_rows(folds):
+    return [[sorted((r.label, r.features.size, *(round(x, 9) for x in r.features.toArray())) for r in side.collect())
+             for side in fold] for fold in folds]
+
+
+def test_folds_read_the_n_grams_of_their_vocabularies_alone(spark, monkeypatch):
+    from textlathe.operators import features as FX
+    from textlathe.operators import training as TR
+    again = [counted(monkeypatch, FX, name) for name in ("counted_grams", "tfidf_weights")]
+    (train, _), *_ = TR.fold_vectors(small_docs(spark), num_folds=3)
+    assert train.count() == 20 and again == [[], []]
+
+
+def test_fold_vocabularies_are_whole_when_few_n_grams_are_tried_first(spark, monkeypatch):
+    from dataclasses import replace
+    from textlathe.operators import features as FX
+    from textlathe.operators import training as TR
+    # "rare" is frequent in fold 0 alone, "all" is in every row, null and empty texts have no n-gram
+    docs = small_docs(spark).select("doc_id", "sentiment", "fold", F.concat(
+        F.lit("all "), "cleaned_text", F.when(F.col("fold") == 0, F.lit(" rare rare rare")).otherwise("")).alias("cleaned_text"))
+    docs = docs.unionByName(spark.createDataFrame([(90, 0, 0, None), (91, 1, 1, "")], docs.schema))
+    for cfg in (replace(FX.LIVE_CONFIG, max_features=4, chi2_k=3, max_df=0.9),
+                replace(FX.LIVE_CONFIG, max_features=9, min_df=3, use_chi2=False)):
+        want = []
+        for fold in range(3):
+            model = FX.fit(docs.where(F.col("fold") != fold), cfg=cfg)
+            rows = docs.select("doc_id", F.col("sentiment").cast("double").alias("label"), "fold").join(
+                FX.feature_vectors(model, docs, "doc_id"), "doc_id")
+            want.append((rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)))
+        want = fold_rows(want)
+        with monkeypatch.context() as m:
+            m.setattr(TR, "CANDIDATES_A_FEATURE", 1)
+            tries = counted(m, TR, "frequent_grams")
+            assert fold_rows(TR.fold_vectors(docs, num_folds=3, cfg=cfg)) == want and len(tries) > 1
+            m.setattr(FX, "VOCABULARY_TERMS", 0)
+            assert TR.fold_counts(FX.grams(docs, "cleaned_text", cfg), ["doc_id"], "fold", 3, cfg) is None
+            assert fold_rows(TR.fold_vectors(docs, num_folds=3, cfg=cfg)) == want
